@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, neighbours, token_counts, topk
+from . import bpe, html, mixing, neighbours, pii, token_counts, topk
 
 QUERIES = {
+    "op1_html_extraction": html.op1_html_extraction,
     "op2_exact_topk": topk.op2_exact_topk,
+    "op4_pii": pii.op4_pii,
     "op5_neighbours": neighbours.op5_neighbours,
+    "op6_bpe": bpe.op6_bpe,
     "op7_mixing": mixing.op7_mixing,
     "op8_token_counts": token_counts.op8_token_counts,
 }
