@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from . import bpe, html, mixing, neighbours, pii, token_counts, topk
+import corpus_pipeline
+
+from . import bpe, html, language, mixing, near_dedup, neighbours, pii, quality, token_counts, topk
+
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
 
 QUERIES = {
     "op1_html_extraction": html.op1_html_extraction,
     "op2_exact_topk": topk.op2_exact_topk,
+    "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_pii": pii.op4_pii,
     "op5_neighbours": neighbours.op5_neighbours,
     "op6_bpe": bpe.op6_bpe,
     "op7_mixing": mixing.op7_mixing,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_language_id": language.op9_language_id,
+    "op10_quality": quality.op10_quality,
+    "pipeline": pipeline,
 }
 
 SQL = {
