@@ -47,7 +47,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> Dat
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, *, keep_text: bool = False
 ) -> DataFrame:
-    """The documents with size, source_size, target, copies and taken (= size * copies).
+    """doc_id, source, size, source_size, target, copies and taken (= size * copies) of every document, with
+    ``keep_text`` also ``doc``, a struct of all its columns.
 
     Every document of a source is taken ``base`` times; the rest of the target goes once more to the documents whose
     hash lies below the source's threshold. Histograms of words by source and hash bucket find it: the first level's
@@ -94,15 +95,15 @@ def mix(
         F.col("source").alias("of"), "source_size", "target", "base", "rest",
         threshold.alias("threshold"), F.coalesce(with_edge, F.lit(False)).alias("with_edge"),
     )
-    rows = docs.select("*", size.alias("size"), digest.alias("digest")) if keep_text else slim.withColumn("digest", threshold)
+    sized = docs.select(F.struct("*").alias("doc"), "doc_id", "source", size.alias("size"), digest.alias("digest"))
+    rows = sized if keep_text else slim.withColumn("digest", threshold)
     own = F.substring("digest", 1, DIGITS * LEVELS)
     once_more = (F.col("rest") > 0) & (
         F.col("threshold").isNull() | (own < F.col("threshold")) | ((own == F.col("threshold")) & F.col("with_edge"))
     )
     copies = F.least(F.col("base") + once_more.cast("long"), F.lit(most))
     mixed = rows.join(cuts, F.col("source").eqNullSafe(F.col("of"))).withColumn("copies", copies)
-    names = docs.columns if keep_text else ["doc_id", "source"]
-    return mixed.select(*names, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return mixed.select(*["doc"] * keep_text, "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +112,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: each document as often as it is taken; documents without words add nothing and stay once."""
-    names = docs.columns
-    mixed = mix(docs.select("doc_id", "text", "source", *[c for c in names if c not in ("doc_id", "text", "source")]), keep_text=True)
     times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int")
-    return mixed.withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>")))).select(*names)
+    each = F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))
+    return mix(docs, keep_text=True).withColumn("copy", F.explode(each)).select("doc.*")
 
 
 OP7_SQL = r"""

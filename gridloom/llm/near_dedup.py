@@ -84,11 +84,11 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(salted, kind="stable")
     same = np.zeros(len(order), bool)
     same[1:] = salted[order[1:]] == salted[order[:-1]]
-    if same.any():
-        run = np.arange(len(order))
-        run[same] = 0
-        occurrence = np.arange(len(order)) - np.maximum.accumulate(run)
-        whole[order] = mixed(whole[order] + occurrence.astype(np.uint64) * MIX_A)
+    run = np.arange(len(order))
+    run[same] = 0
+    occurrence = np.arange(len(order)) - np.maximum.accumulate(run)
+    again = order[same]  # a shingle's first occurrence keeps its hash
+    whole[again] = mixed(whole[again] + occurrence[same].astype(np.uint64) * MIX_A)
     return whole, counts
 
 
