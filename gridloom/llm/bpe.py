@@ -18,12 +18,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table
+from .common import shared_dir, stored, table
 from .token_counts import pieces
 
 LEXICON_WORDS = 65_536
 CACHED_WORDS = 150_000
-PIECE_CHARS = 1 << 18
+PIECE_CHARS = 1 << 20
 LONG_WORD = 48
 # The pattern of the vocabulary file in the two dialects used, and what counts as white space in it.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -43,6 +43,12 @@ class Merger:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.byte_ids = np.array([self.ids[self.letters[b]] for b in range(256)])
+        self.end_ids = np.array([self.ids[self.letters[b] + self.end] for b in range(256)])
+        keys = np.array([self.ids[a] << 20 | self.ids[b] for a, b in self.ranks])
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], order
+        self.pair_ids = np.array([self.ids[a + b] for a, b in self.ranks])
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.pattern = regex.compile(WORD)
         self.odd_space = regex.compile(f"[{SPACE}]+")
@@ -63,6 +69,65 @@ class Merger:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ids[x] for x in parts]
 
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """The ids of many words at once: in each step every word makes its merge of lowest rank, leftmost first."""
+        coded = [w.encode() for w in words]
+        out: list[list[int]] = [[] for _ in words]
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(coded):
+            by_length.setdefault(-(-len(w) // 4), []).append(i)
+        for size, members in by_length.items():
+            if 4 * size > LONG_WORD:
+                merged = [self.merge(words[i]) for i in members]
+            else:
+                merged = self.merge_like([coded[i] for i in members])
+            for i, ids in zip(members, merged, strict=True):
+                out[i] = ids
+        return out
+
+    def merge_like(self, coded: list[bytes]) -> list[list[int]]:
+        """`merge_all` of words of about the same length."""
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.frombuffer(b"".join(coded), np.uint8)
+        width = int(lengths.max())
+        places = np.arange(width)
+        ids = np.zeros((len(coded), width + 1), np.int64)
+        ids[:, :width][places < lengths[:, None]] = self.byte_ids[flat]
+        rows = np.arange(len(coded))
+        ids[rows, lengths - 1] = self.end_ids[flat[np.cumsum(lengths) - 1]]
+        none = len(self.pair_ids)
+        ranks = np.full((len(coded), width), none)
+        inside = places < (lengths - 1)[:, None]
+        ranks[inside] = self.rank_of(ids[:, :-1][inside], ids[:, 1:][inside])
+        left = lengths.copy()
+        live = rows
+        while len(live):
+            own = ranks[live]
+            at = own.argmin(axis=1)
+            rank = own[np.arange(len(live)), at]
+            done = rank == none
+            if done.any():
+                live, at, rank = live[~done], at[~done], rank[~done]
+                if not len(live):
+                    break
+            shifted = np.minimum(places + (places > at[:, None]), width)
+            ids[live, :width] = np.take_along_axis(ids[live], shifted, axis=1)
+            ids[live, at] = self.pair_ids[rank]
+            kept = np.take_along_axis(np.concatenate([ranks[live], np.full((len(live), 1), none)], axis=1), shifted, axis=1)
+            left[live] -= 1
+            kept[np.arange(len(live)), at] = none
+            ranks[live] = kept
+            for near in (at - 1, at):
+                ok = (near >= 0) & (near + 1 < left[live])
+                who, where = live[ok], near[ok]
+                ranks[who, where] = self.rank_of(ids[who, where], ids[who, where + 1])
+        return [row[:n] for n, row in zip(left.tolist(), ids.tolist(), strict=True)]
+
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 20 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], len(self.pair_ids))
+
     def merge_long(self, parts: list[str]) -> list[str]:
         """The same merges for a long word: pairs wait in a heap by rank and place."""
         ranks, n = self.ranks, len(parts)
@@ -195,13 +260,20 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, words: int) -> DataFrame:
-    """(word, n): the most frequent normalised words of all texts, ties by code point."""
+    """(word): the most frequent normalised words of all texts, ``words`` at most.
+
+    Counts are dealt into classes of an eighth of a power of two; the classes that fit are taken whole. So nothing is
+    sorted and the driver sees a few hundred class sizes.
+    """
     found = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
-    return (
-        docs.select(F.explode(found).alias("word"))
-        .groupBy("word").agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word").limit(words)
-    )
+    counts = docs.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = stored(counts.where("n > 1").withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "word-counts")
+    sizes = {r["class"]: r["n"] for r in counts.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    least, held = max(sizes, default=0) + 1, 0
+    while least > 0 and held + sizes.get(least - 1, 0) <= words:
+        least -= 1
+        held += sizes.get(least, 0)
+    return counts.where(F.col("class") >= least).select("word")
 
 
 def publish_lexicon(docs: DataFrame, model: bytes, words: int = LEXICON_WORDS) -> str:
@@ -211,10 +283,9 @@ def publish_lexicon(docs: DataFrame, model: bytes, words: int = LEXICON_WORDS) -
     """
     spark = docs.sparkSession
     merger = Merger(model)
-    lexicon: dict[bytes, list[int]] = {}
-    for row in frequent_words(docs, words).toLocalIterator():
-        for word in merger.pattern.findall(merger.normal(row["word"])):
-            lexicon[word.encode()] = merger.merge(word)
+    found = {y for r in frequent_words(docs, words).toLocalIterator() for y in merger.pattern.findall(merger.normal(r["word"]))}
+    listed = sorted(found)
+    lexicon = {w.encode(): ids for w, ids in zip(listed, merger.merge_all(listed), strict=True)}
     name = f"lexicon-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
@@ -225,19 +296,28 @@ def publish_lexicon(docs: DataFrame, model: bytes, words: int = LEXICON_WORDS) -
 
 
 class WordEncoder:
-    """Encodes and decodes runs between white space, each once as long as it stays in a bounded cache."""
+    """Encodes and decodes runs between white space, each once as long as it stays in a cache of two generations: a run
+    of the older one that recurs moves to the younger, and the older one goes when the younger is full."""
 
-    def __init__(self, merger: Merger, lexicon: Lexicon, most: int = CACHED_WORDS):
+    def __init__(self, merger: Merger, lexicon: Lexicon, outputs: tuple[str, ...], most: int = CACHED_WORDS):
         self.merger, self.lexicon, self.most = merger, lexicon, most
-        self.known: dict[str, tuple[int, bytes, str, str]] = {}
+        self.numbers, self.texts, self.decoded = "ids" in outputs, "ids_sha256" in outputs, bool({"decoded", "decoded_sha256"} & set(outputs))
+        self.known: dict[str, tuple[int, tuple[int, ...], str, str]] = {}
+        self.older: dict[str, tuple[int, tuple[int, ...], str, str]] = {}
+        self.id_text = {i: str(i) for i in merger.tokens}
 
     def learn(self, runs: set[str]) -> None:
-        """Put what is new of ``runs`` into the cache; if that would pass its bound, it starts anew with all of them."""
-        new = [x for x in runs if x not in self.known]
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = list(runs)
-        m = self.merger
+        """Make all of ``runs`` known."""
+        if len(self.known) + len(runs) > self.most:
+            self.older, self.known = self.known, {}
+        known, older, m = self.known, self.older, self.merger
+        new = []
+        for run in runs:
+            if run not in known:
+                if run in older:
+                    known[run] = older[run]
+                else:
+                    new.append(run)
         split: list[list[str | int]] = []
         for run in new:
             parts: list[str | int] = []
@@ -245,17 +325,25 @@ class WordEncoder:
                 if part in m.special:
                     parts.append(m.special[part])
                 elif part:
-                    parts += m.pattern.findall(m.normal(part))
+                    normal = m.normal(part)
+                    if normal.isalpha():
+                        parts.append(normal)
+                    else:
+                        parts += m.pattern.findall(normal)
             split.append(parts)
         words = list({x for parts in split for x in parts if isinstance(x, str)})
         found = self.lexicon.look_up([w.encode() for w in words])
-        ids_of = {w: m.merge(w) if ids is None else ids for w, ids in zip(words, found, strict=True)}
-        tokens = m.tokens
+        unseen = [w for w, ids in zip(words, found, strict=True) if ids is None]
+        ids_of = dict(zip(words, found, strict=True)) | dict(zip(unseen, m.merge_all(unseen), strict=True))
+        tokens, id_text = m.tokens, self.id_text
         for run, parts in zip(new, split, strict=True):
-            ids = [i for x in parts for i in (ids_of[x] if isinstance(x, str) else (x,))]
-            self.known[run] = (len(ids), array("i", ids).tobytes(), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
+            ids = ids_of[parts[0]] if len(parts) == 1 and isinstance(parts[0], str) else [i for x in parts for i in (ids_of[x] if isinstance(x, str) else (x,))]
+            known[run] = (
+                len(ids), tuple(ids) if self.numbers else (), " ".join([id_text[i] for i in ids]) if self.texts else "",
+                " ".join([tokens[i] for i in ids]) if self.decoded else "",
+            )
 
-    def encode(self, texts: list[str]) -> Iterator[Iterator[list[tuple[int, bytes, str, str]]]]:
+    def encode(self, texts: list[str]) -> Iterator[Iterator[list[tuple[int, tuple[int, ...], str, str]]]]:
         """For each text the entries of its runs, a bounded part of the text after another."""
         split: list[list[str] | None] = [self.merger.split(x) if len(x) <= PIECE_CHARS else None for x in texts]
         self.learn(set().union(*[x for x in split if x is not None]))
@@ -263,7 +351,7 @@ class WordEncoder:
         for text, entries in zip(texts, whole, strict=True):
             yield self.parts(text) if entries is None else iter([entries] if entries else [])
 
-    def parts(self, text: str) -> Iterator[list[tuple[int, bytes, str, str]]]:
+    def parts(self, text: str) -> Iterator[list[tuple[int, tuple[int, ...], str, str]]]:
         for piece in pieces(text, PIECE_CHARS):
             runs = self.merger.split(piece)
             self.learn(set(runs))
@@ -304,18 +392,19 @@ def encode_decode(
     name = publish_lexicon(docs, model.value, lexicon_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(Merger(model.value), Lexicon(SparkFiles.get(name)))
+        encoder = WordEncoder(Merger(model.value), Lexicon(SparkFiles.get(name)), outputs)
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
                 got: dict[str, list] = {x: [] for x in outputs}
                 texts = pc.fill_null(batch.column("gridloom_text"), "").to_pylist()
                 for encoded in (x for call in calls(texts, PIECE_CHARS) for x in encoder.encode(call)):
-                    n, ids, id_hash, text_hash, decoded, first = 0, [], hashlib.sha256(), hashlib.sha256(), [], True
+                    n, ids, id_hash, text_hash, decoded, first = 0, array("i"), hashlib.sha256(), hashlib.sha256(), [], True
                     for entries in encoded:
                         n += sum([x[0] for x in entries])
                         if "ids" in got:
-                            ids += [x[1] for x in entries]
+                            for x in entries:
+                                ids.extend(x[1])
                         if "ids_sha256" in got:
                             id_hash.update(("" if first else " ").encode() + " ".join([x[2] for x in entries]).encode())
                         if "decoded" in got or "decoded_sha256" in got:
@@ -325,7 +414,7 @@ def encode_decode(
                             if "decoded" in got:
                                 decoded.append(part)
                         first = False
-                    one = {"ids": b"".join(ids), "decoded": " ".join(decoded), "n_tokens": n, "ids_sha256": id_hash.hexdigest(), "decoded_sha256": text_hash.hexdigest()}
+                    one = {"ids": ids.tobytes(), "decoded": " ".join(decoded), "n_tokens": n, "ids_sha256": id_hash.hexdigest(), "decoded_sha256": text_hash.hexdigest()}
                     for x, values in got.items():
                         values.append(one[x])
                 columns = [batch.column(x) for x in keep]
