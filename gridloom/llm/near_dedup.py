@@ -12,16 +12,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import in_batches, stored, table
 from .components import connected
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, MINIMA = 16, 3
-#: In buckets of up to so many texts all are compared; in larger ones with hubs, in so many rounds.
+#: In buckets of up to so many texts all are compared; in larger ones with hubs, in so many rounds, then in tiles.
 SMALL_BUCKET = 12
-ROUNDS = 4
-SLICE_BYTES = 4 << 20
+ROUNDS = 2
+TILE_A, TILE_B = 128, 512
+SLICE_BYTES = 1 << 20
 # Odd constants for hashing, ASCII white space.
 PRIME = np.uint64(0x100000001B3)
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -177,9 +178,8 @@ def sketched(docs: DataFrame) -> DataFrame:
                     ["doc_id", "digest", "keys"],
                 )
 
-    return docs.select("doc_id", F.md5("text").alias("digest"), F.encode("text", "UTF-8").alias("text")).mapInArrow(
-        run, "doc_id long, digest string, keys array<long>"
-    )
+    read = docs.select("doc_id", F.md5("text").alias("digest"), F.encode("text", "UTF-8").alias("text"))
+    return in_batches(read, run, "doc_id long, digest string, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -196,21 +196,98 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
+    return in_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text"), run, "a long, b long")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text as bytes) of the documents in ``ids``; one row an id, the text of its representative."""
+    # A merge at every size: what is shuffled grows in proportion, and no list of ids is sent whole to every executor.
+    found = docs.where(F.col("text").isNotNull()).join(ids.hint("merge"), "doc_id", "left_semi")
+    return found.groupBy("doc_id").agg(F.encode(F.min("text"), "UTF-8").alias("text"))
+
+
+def shingle_lists(texts: list[bytes]) -> list[np.ndarray]:
+    """The labelled shingles of each text, computed about SLICE_BYTES at a time."""
+    out: list[np.ndarray] = []
+    part: list[bytes] = []
+    held = 0
+    for text in [*texts, None]:
+        if part and (text is None or held + len(text) > SLICE_BYTES):
+            labelled, counts = shingles(part)
+            out += np.split(labelled, np.cumsum(counts)[:-1])
+            part, held = [], 0
+        if text is not None:
+            part.append(text)
+            held += len(text)
+    return out
+
+
+def links_of_tile(a_texts: list[bytes], b_texts: list[bytes], apart: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row of a, row of b) of similarity ``least`` or more where ``apart`` is true. Common shingles of one text with
+    all others are counted at once; only pairs with enough of them are aligned."""
+    a_lists, b_lists = shingle_lists(a_texts), shingle_lists(b_texts)
+    a_sizes, b_sizes = np.array(list(map(len, a_lists))), np.array(list(map(len, b_lists)))
+    known, inverse = np.unique(np.concatenate(b_lists), return_inverse=True)
+    begins = np.cumsum(b_sizes) - b_sizes
+    flags = np.zeros(len(known) + 1, np.int64)
+    rows, cols = [], []
+    for i, own in enumerate(a_lists):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        at = at[known[at] == own]
+        flags[at] = 1
+        common = np.add.reduceat(flags[inverse], begins)
+        flags[at] = 0
+        enough = np.flatnonzero(apart[i] & (common >= (least - 1e-9) * (a_sizes[i] + b_sizes - common)))
+        found = [j for j in enough.tolist() if similarity(own, b_lists[j], least) >= least]
+        rows += [i] * len(found)
+        cols += found
+    return np.array(rows, np.int64), np.array(cols, np.int64)
+
+
+def rest_of_buckets(known: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) among (bucket, rep, component): in each bucket every text outside its largest component is compared
+    with all texts of other components, in tiles of bounded size, so that a bucket of any size is shared out."""
+    counts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    shape = counts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("n_all"), (F.sum("n") - F.max("n")).alias("n_out")
+    ).where("n_out > 0").select(
+        "bucket", "largest", F.ceil(F.col("n_out") / TILE_A).cast("int").alias("a_blocks"), F.ceil(F.col("n_all") / TILE_B).cast("int").alias("b_blocks")
+    )
+    rows = known.join(stored(shape, "open-shapes"), "bucket")
 
+    def dealt(own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("rep", "bucket"), F.col(n_own)).cast("int")
+        return rows.withColumn(own, block).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
 
-def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, text as bytes) of the documents that stand in ``pairs``; one row an id, the text of its representative."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    return docs.where(F.col("text").isNotNull()).join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.encode(F.min("text"), "UTF-8").alias("text"))
+    a = dealt("a_block", "a_blocks", "b_block", "b_blocks").where("component <> largest")
+    b = dealt("b_block", "b_blocks", "a_block", "a_blocks")
+    named = ["bucket", "a_block", "b_block", "rep", "component", "text"]
+    text = texts.select(F.col("doc_id").alias("rep"), "text")
+    tile = ["bucket", "a_block", "b_block"]
+
+    def compare(x, y):
+        import pandas as pd
+
+        if x.empty or y.empty:
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        apart = x["component"].to_numpy()[:, None] != y["component_2"].to_numpy()[None]
+        i, j = links_of_tile(list(x["text"]), list(y["text_2"]), apart, least)
+        one, two = x["rep"].to_numpy()[i], y["rep_2"].to_numpy()[j]
+        return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)})
+
+    # The sides come of the same rows, so one gets names and columns of its own.
+    left = a.join(text, "rep").select(*named).groupBy(*tile)
+    right = b.join(text, "rep").select(*named).toDF(*[f"{c}_2" for c in named]).groupBy(*[f"{c}_2" for c in tile])
+    return left.cogroup(right).applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, class_size, n_links, is_first of every row of ``docs``.
 
     Equal texts are one class at once, by digest. Representatives that share an order-MinHash bucket are candidates:
-    all pairs in small buckets; in larger ones each text with the bucket's hub, then, in further rounds, texts that are
-    not in the hub's component with other hubs. Links are pairs of similarity ``least`` or more, classes their connected
+    all pairs in small buckets; in larger ones each text with the bucket's hub, then texts that are not in the hub's
+    component with another hub, then, in tiles, what still lies outside a bucket's largest component with all texts of
+    other components. So each pair that shares a bucket is compared or already of one class. Links are pairs of similarity ``least`` or more, classes their connected
     components, class_id the smallest doc_id. n_links counts the links found of the text to different texts. is_first
     marks the rows whose doc_id is their class_id.
 
@@ -231,7 +308,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     large = held.where(F.col("n") > SMALL_BUCKET)
     star = large.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     tried = stored(inner.union(star).distinct(), "pairs")
-    links = stored(verified(tried, stored(texts_of(docs, tried), "pair-texts"), least), "found")
+    bodies = stored(texts_of(docs, held.select(F.col("rep").alias("doc_id")).distinct()), "pair-texts")
+    links = stored(verified(tried, bodies, least), "found")
     component = connected(links)
 
     for turn in range(1, ROUNDS):
@@ -247,11 +325,17 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             break
-        more = stored(verified(pairs, stored(texts_of(docs, pairs), "pair-texts"), least), "found")
+        more = stored(verified(pairs, bodies, least), "found")
         tried, links = tried.union(pairs), links.union(more)
         if not more.isEmpty():
             component = connected(links)
 
+    known = large.select("bucket", "rep").join(component, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    more = stored(rest_of_buckets(stored(known, "open-buckets"), bodies, least), "found")
+    if not more.isEmpty():
+        links = links.union(more).distinct()
+        component = connected(links)
+
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     by_text = (
         texts.select("digest", "rep", "copies")
@@ -275,6 +359,6 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, the one of the smallest id; of rows repeating that id, one."""
     classes = near_duplicates(docs)
-    kept = docs.join(classes.where("is_first").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    kept = docs.join(classes.where("is_first").select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     repeated = classes.groupBy("doc_id").count().where("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
