@@ -107,12 +107,13 @@ def iban_remainder(iban: Column) -> Column:
 
 
 def letters_and_digits(text: Column, tweak: str, key: str) -> Column:
-    """Each ASCII letter as a letter, each digit as a digit, by a keyed hash of the whole; the rest stays."""
+    """Each ASCII letter as a letter, each digit as a digit, by a keyed hash of the whole in lower case; case and the
+    rest stay."""
     places = F.sequence(F.lit(1), F.length(text))
 
     def other(i: Column) -> Column:
         c = F.substr(text, i, F.lit(1))
-        draw = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), text, i.cast("string")), 256), 1, 8), 16, 10).cast("long")
+        draw = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), F.lower(text), i.cast("string")), 256), 1, 8), 16, 10).cast("long")
         return (
             F.when(c.rlike("[0-9]"), F.chr(48 + draw % 10)).when(c.rlike("[a-z]"), F.chr(97 + draw % 26))
             .when(c.rlike("[A-Z]"), F.chr(65 + draw % 26)).otherwise(c)
@@ -125,7 +126,7 @@ def email_pseudonym(m: Column, key: str) -> Column:
     """Local part and domain names are exchanged, the top-level domain stays."""
     top = F.substring_index(m, ".", -1)
     rest = F.substr(m, F.lit(1), F.length(m) - F.length(top))
-    return F.concat(letters_and_digits(F.lower(rest), "email", key), top)
+    return F.concat(letters_and_digits(rest, "email", key), top)
 
 
 def phone_pseudonym(m: Column, key: str) -> Column:
