@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ARROW_ROWS = 1000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local one only where that is unset."""
@@ -29,6 +31,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow in batches of ARROW_ROWS rows, unless the session sets another number: what a task holds outside the
+    heap and in its Python worker is a thousand rows, not ten thousand."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key, None) in (None, "10000"):
+        df.sparkSession.conf.set(key, str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

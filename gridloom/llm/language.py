@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remainder, table
+from .common import in_batches, remainder, table
 from .runs import RunTable, slices
 
 UNDETERMINED = "und"
@@ -204,14 +204,14 @@ def label_languages(docs: DataFrame, field: Field, with_words: bool = False, kee
     model = docs.sparkSession.sparkContext.broadcast(field)  # BUCKETS weights a language
     added = ["lang_pred", "lang_score", "lang_has_letter"] + ["lang_words"] * with_words
     kept = [c for c in keep or docs.columns if c not in added]
-    base = docs.select(*kept, F.col("text").alias("gridloom_text"))
+    base = docs.select(*kept, *["text"] * ("text" not in kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = model.value
         k = len(field.labels)
         runs = RunTable(field.emissions)
         for whole in batches:
-            texts = whole.column("gridloom_text").to_pylist()
+            texts = whole.column("text").to_pylist()
             for start, end in slices(texts):
                 split = [(x or "").split() for x in texts[start:end]]
                 lengths = np.fromiter(map(len, split), np.int64, end - start)
@@ -223,11 +223,11 @@ def label_languages(docs: DataFrame, field: Field, with_words: bool = False, kee
                 if k:
                     marginals = forward_backward_marginals(rows[numbers, :k], lengths, field.transitions)
                     mean = np.stack([np.bincount(owner, marginals[:, j] * lettered, len(split)) for j in range(k)], axis=1)
-                    mean /= np.maximum(letters, 1)[:, None]
+                    mean = mean / np.maximum(letters, 1)[:, None]
                     best, at = mean.argmax(axis=1), marginals.argmax(axis=1)
                     score = np.where(letters > 0, mean.max(axis=1), 0.0)
                 named = [field.labels[b] if k and n else UNDETERMINED for b, n in zip(best, letters, strict=True)]
-                columns = [*whole.slice(start, end - start).columns[:-1], pa.array(named, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(letters > 0)]
+                columns = [*whole.select(kept).slice(start, end - start).columns, pa.array(named, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(letters > 0)]
                 if with_words:
                     columns.append(pa.array(list(language_runs(split, lengths, at, field.labels)), pa.list_(pa.struct([("lang", pa.string()), ("words", pa.string())]))))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
@@ -235,7 +235,7 @@ def label_languages(docs: DataFrame, field: Field, with_words: bool = False, kee
     kinds = {"lang_pred": "string", "lang_score": "double", "lang_has_letter": "boolean", "lang_words": "array<struct<lang:string,words:string>>"}
     types = dict(docs.dtypes) | kinds
     schema = ", ".join(f"`{c}` {types[c]}" for c in [*kept, *added])
-    return base.mapInArrow(run, schema)
+    return in_batches(base, run, schema)
 
 
 def forward_backward_marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:

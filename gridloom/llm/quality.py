@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remainder, table
+from .common import in_batches, remainder, table
 from .runs import RunTable, slices
 
 #: The bound of the labelled sample, chosen by a hash of the ids.
@@ -175,9 +175,9 @@ def score_quality(docs: DataFrame, model: Bags | None, threshold: float = THRESH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        table = RunTable(run_features, most=100_000)
+        table = RunTable(run_features, most=60_000)
         for whole in batches:
-            texts = whole.column("gridloom_text").to_pylist()
+            texts = whole.column("text").to_pylist()
             for start, end in slices(texts):
                 split = [(x or "").split() for x in texts[start:end]]
                 score, attention = np.full(len(split), 0.5), [[] for _ in split]
@@ -188,14 +188,14 @@ def score_quality(docs: DataFrame, model: Bags | None, threshold: float = THRESH
                     score = out["score"]
                     if with_passages:
                         attention = [a.tolist() for a in np.split(out["a"], np.cumsum(counts)[:-1])]
-                columns = [*whole.slice(start, end - start).columns[:-1], pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))]
+                columns = [*whole.select(kept).slice(start, end - start).columns, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))]
                 if with_passages:
                     columns.append(pa.array(attention, pa.list_(pa.float64())))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
     types = dict(docs.dtypes) | added
     schema = ", ".join(f"`{c}` {types[c]}" for c in [*kept, *added])
-    return docs.select(*kept, F.col("text").alias("gridloom_text")).mapInArrow(run, schema)
+    return in_batches(docs.select(*kept, *["text"] * ("text" not in kept)), run, schema)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

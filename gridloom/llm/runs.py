@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 
-MOST_RUNS = 250_000
-SLICE_CHARS = 1 << 23
+MOST_RUNS = 120_000
+SLICE_CHARS = 1 << 20
+NEW_RUNS = 8_192
 
 
 class RunTable:
@@ -16,10 +18,12 @@ class RunTable:
 
     def __init__(self, compute: Callable[[list[str]], np.ndarray], most: int = MOST_RUNS):
         self.compute, self.most = compute, most
+        self.index: dict[str, int] = defaultdict()
         self.start()
 
     def start(self) -> None:
-        self.index: dict[str, int] = defaultdict()
+        self.index.default_factory = None  # it refers to the index, which would not be freed
+        self.index = defaultdict()
         self.index.default_factory = self.index.__len__
         self.rows: np.ndarray | None = None
 
@@ -30,8 +34,9 @@ class RunTable:
         have = len(self.index)
         numbers = np.fromiter((i for runs in texts for i in map(self.index.__getitem__, runs)), np.int64, sum(map(len, texts)))
         if len(self.index) > have:
-            new = self.compute(list(self.index)[have:])
-            self.rows = new if self.rows is None else np.concatenate([self.rows, new])
+            new = list(islice(self.index, have, None))
+            parts = [self.compute(new[i : i + NEW_RUNS]) for i in range(0, len(new), NEW_RUNS)]  # bounds what computing takes
+            self.rows = np.concatenate(parts if self.rows is None else [self.rows, *parts])
         return numbers, self.rows if self.rows is not None else self.compute([])
 
 
