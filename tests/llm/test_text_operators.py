@@ -8,6 +8,8 @@ from gridloom.llm import bpe, html, language, mixing, near_dedup, pii, quality,
 from gridloom.llm.common import remainder, table
 from gridloom.llm.components import connected
 
+from . import brute
+
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string"
@@ -92,43 +94,11 @@ def test_token_counts_of_other_vocabularies(spark, name, texts):
 # Mixing
 
 
-def brute_mix(rows):
-    """(doc_id, size, source_size, target, taken) by resharing round after round and by sorting the hashes."""
-    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, (t, _) in enumerate(rows)}
-    sources = sorted({s for _, s in rows}, key=lambda s: (s is None, s or ""))
-    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
-    total = {s: sum(size[i] for i, (_, x) in enumerate(rows) if x == s) for s in sources}
-    target, capped = {}, set()
-    while True:
-        rest = sum(total.values()) - sum(3 * total[s] for s in capped)
-        weights = sum(weight[s] for s in sources if s not in capped)
-        target = {s: 3.0 * total[s] if s in capped else rest * weight[s] / weights for s in sources}
-        over = {s for s in sources if s not in capped and target[s] > 3 * total[s]}
-        if not over:
-            break
-        capped |= over
-    out = {}
-    for s in sources:
-        base = int(target[s] // total[s]) if total[s] else 0
-        rest = target[s] - base * total[s]
-        held, more = 0, set()
-        for i in sorted((i for i, (_, x) in enumerate(rows) if x == s), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()):
-            if held + size[i] <= rest or (held <= rest and held + size[i] - rest < rest - held):
-                more.add(i)
-                held += size[i]
-            else:
-                break
-        for i, (_, x) in enumerate(rows):
-            if x == s:
-                out[i] = (size[i], total[s], target[s], size[i] * min(3, base + (i in more and rest > 0)))
-    return out
-
-
 def test_mixing_against_brute_force(spark, texts):
     every = [*texts, None, "", "one", *ODD]
     source = [["b", "a", None, "c", "é", "Z"][i * i % 6] for i in range(len(every))]
     found = {r["doc_id"]: r for r in mixing.mix(docs_of(spark, every, source=source)).collect()}
-    for i, (size, total, target, taken) in brute_mix(list(zip(every, source, strict=True))).items():
+    for i, (size, total, target, taken) in brute.mixed(list(zip(range(len(every)), every, source, strict=True))).items():
         r = found[i]
         assert (r["size"], r["source_size"]) == (size, total)
         assert r["target"] == pytest.approx(target, rel=1e-12)
@@ -178,26 +148,6 @@ def test_feistel_is_a_permutation(spark):
 # Near-duplicates
 
 
-def aligned_by_table(a, b):
-    """The longest common subsequence by the whole table."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before, row = row, [0]
-        for j, y in enumerate(b):
-            row.append(before[j] + 1 if x == y else max(row[-1], before[j + 1]))
-    return row[-1]
-
-
-def labelled(text):
-    words = text.split()
-    seen, out = {}, []
-    for i in range(max(1, len(words) - 4) if words else 0):
-        s = tuple(words[i : i + 5])
-        seen[s] = seen.get(s, -1) + 1
-        out.append((s, seen[s]))
-    return out
-
-
 def test_near_duplicates_against_brute_force(spark, texts):
     import random
 
@@ -211,28 +161,12 @@ def test_near_duplicates_against_brute_force(spark, texts):
             every.append(" ".join(words))
     every += [every[0], every[0], "one two", "one two", "one two three", "", "", None, None, " \n"]
     found = {r["doc_id"]: r for r in near_dedup.near_duplicates(docs_of(spark, every)).collect()}
-    parent = list(range(len(every)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    lists = [labelled(t) if t is not None else [] for t in every]
-    for i in range(len(every)):
-        for j in range(i):
-            if every[i] is None or every[j] is None:
-                continue
-            a, b = lists[i], lists[j]
-            common = aligned_by_table(a, b) if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) else 0
-            if every[i] == every[j] or (common and common / (len(a) + len(b) - common) >= 0.8):
-                x, y = sorted((root(i), root(j)))
-                parent[y] = x
-    assert [found[i]["class_id"] for i in range(len(every))] == [root(i) for i in range(len(every))]
-    assert all(found[i]["is_first"] == (root(i) == i) for i in found)
-    assert found[0]["class_size"] == sum(root(i) == 0 for i in range(len(every)))
+    root = brute.classes(dict(enumerate(every)))
+    assert [found[i]["class_id"] for i in range(len(every))] == [root[i] for i in range(len(every))]
+    assert all(found[i]["is_first"] == (root[i] == i) for i in found)
+    assert found[0]["class_size"] == sum(root[i] == 0 for i in range(len(every)))
     kept = near_dedup.near_dedup_stage(spark, docs_of(spark, every), "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({root(i) for i in range(len(every))})
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({root[i] for i in range(len(every))})
 
 
 def test_repeated_rows_leave_one(spark):
