@@ -34,6 +34,8 @@ class ArchiveConfig:
     block_shape: Mapping[str, int] = field(default_factory=lambda: {"y": -1, "x": -1})
     attrs: Mapping[str, Any] = field(default_factory=dict)
     variable_attrs: Mapping[str, Any] = field(default_factory=dict)
+    key: str | None = None
+    original_units: str = ""
     frequencies: Mapping[str, str] = field(default_factory=lambda: {"daily": "day"})
 
     @property

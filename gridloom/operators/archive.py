@@ -13,6 +13,7 @@ from ..config import ArchiveConfig
 from ..functions.cells import NAN, fill_values, mask_fill
 from ..functions.naming import block_message
 from . import attributes, axis, blocks, grid
+from .provenance import nomenclature
 
 COMMITS = "seq long, id string, parent string, message string, kind string, written_at timestamp, folder string, n_days long"
 ADMIN = ("attributes", "tag", "gc")
@@ -183,8 +184,10 @@ def build(spark: SparkSession, config: ArchiveConfig, cells: DataFrame, stop_aft
     shape = config.chunk_shape(whole.days)
     write = build_append if config.write_strategy == "append" else build_region
     write(store, config, prepared(cells, config, days), days, whole, shape, stop_after)
-    derived = attributes.coverage(cells).first().asDict()
-    write_attributes(store, {k: v for k, v in derived.items() if v is not None} | {"source_fill_values_masked": list(config.source_fill_values), "layout": config.suffix} | config.attributes)
+    derived = {k: v for k, v in attributes.coverage(cells).first().asDict().items() if v is not None}
+    named = nomenclature(spark, config, config.original_units) if config.key else {}
+    # Later ones win: what the data says, the key, the masks, the config.
+    write_attributes(store, derived | named | {"source_fill_values_masked": list(config.source_fill_values), "layout": config.suffix} | config.attributes)
     return store
 
 
