@@ -41,6 +41,10 @@ NO_ARTICLE_WORDS = frozenset(
     "comments disqus reply replies share sharing social subscribe subscription newsletter signup login popup modal overlay related "
     "recommended widget toolbar pagination pager hidden copyright skip".split()
 )
+# Of these words, those that also name a page's layout: they do not make what holds most of the text no article. And
+# those by which an article or main element is none.
+LAYOUT_WORDS = frozenset("sidebar header footer menu nav navbar banner topbar masthead widget hidden overlay modal popup notice".split())
+NOT_THE_ARTICLE = frozenset("comment comments disqus reply replies related recommended sponsored promo promotion ad ads advert".split())
 
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)",
@@ -53,29 +57,35 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 class Node:
     """An element that can hold blocks; ``items`` are its nodes and the texts of its blocks, in page order."""
 
-    __slots__ = ("tag", "label", "up", "items", "words", "main", "digest", "kept_header")
+    __slots__ = ("tag", "label", "up", "items", "out", "main", "digest", "size")
 
-    def __init__(self, tag: str, label: str, up: Node | None, words: bool, main: bool):
-        self.tag, self.label, self.up, self.words, self.main = tag, label, up, words, main
+    def __init__(self, tag: str, label: str, up: Node | None, out: int, main: bool):
+        self.tag, self.label, self.up, self.out, self.main = tag, label, up, out, main
         self.items: list[Node | str] = []
-        self.digest = 0
-        self.kept_header = False
+        self.digest = self.size = 0
 
 
 def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if text else {}
 
 
-def judged(tag: str, attrs: dict[str, str]) -> tuple[str, bool, bool]:
-    """(label, is no article, is the page's main part) of an element."""
+def judged(tag: str, attrs: dict[str, str]) -> tuple[str, int, bool]:
+    """(label, whether it is no article, whether it is a main part) of an element. No article: 2 for sure, 1 by a word
+    that may also name a page's layout, 0 not."""
     role = attrs.get("role", "").lower()
     label = f"{attrs.get('class', '')} {attrs.get('id', '')}".strip()
-    words = {x.lower() for x in NAME_PART.findall(label)} if label else set()
+    words = {x.lower() for x in NAME_PART.findall(label)} & NO_ARTICLE_WORDS if label else set()
     main = tag in ("article", "main") or role in ("main", "article") or "articlebody" in attrs.get("itemprop", "").lower()
-    out = tag in NO_ARTICLE or role in NO_ARTICLE_ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
-    out = out or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I))
-    out = out or (tag not in ("html", "body") and not words.isdisjoint(NO_ARTICLE_WORDS))
-    return label, out, main
+    hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or bool(
+        re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I)
+    )
+    if tag in NO_ARTICLE or role in NO_ARTICLE_ROLES or hidden:
+        return label, 2, main
+    if main:
+        words &= NOT_THE_ARTICLE
+    if not words or tag in ("html", "body"):
+        return label, 0, main
+    return label, 1 if words <= LAYOUT_WORDS else 2, main
 
 
 def parse(text: str) -> Node:
@@ -85,7 +95,7 @@ def parse(text: str) -> Node:
     passed over, one with a start ends all that is open above it. Elements inside a line only matter where they are no
     article.
     """
-    root = Node("#page", "", None, False, False)
+    root = Node("#page", "", None, 0, False)
     at, here, run, skip_inline = 0, root, [], []
 
     def flush() -> None:
@@ -151,7 +161,7 @@ def parse(text: str) -> Node:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(text, at)
             at = end.end() if end else len(text)
             continue
-        node = Node(tag, label, here, out or (tag == "header"), main)
+        node = Node(tag, label, here, max(out, 1) if tag == "header" else out, main)
         here.items.append(node)
         here = node
     if at < len(text) and not skip_inline:
@@ -176,11 +186,14 @@ def hashed(root: Node) -> int:
     longest = ""
     for x in nodes(root):
         h = xxhash.xxh64(f"{x.tag}\0{x.label}")
+        x.size = 0
         for y in x.items:
             if isinstance(y, Node):
                 h.update(y.digest.to_bytes(8, "little"))
+                x.size += y.size
             else:
                 h.update(b"\1")
+                x.size += len(y)
                 h.update(y.encode("utf-8", "surrogatepass"))
                 if len(y) > len(longest):
                     longest = y
@@ -194,7 +207,7 @@ def main_parts(root: Node) -> list[Node]:
         found, todo = [], [root]
         while todo:
             x = todo.pop()
-            if x.words and x.tag != "header":
+            if x.out == 2:
                 continue
             if wanted(x):
                 found.append(x)
@@ -220,9 +233,11 @@ def candidates(root: Node, parts: list[Node]) -> list[int]:
 
 
 def article_text(parts: list[Node], template: set[int], whole: bool) -> str:
-    """The blocks of ``parts`` in page order without template and without what is no article."""
+    """The blocks of ``parts`` in page order without template and without what is no article. What only has a
+    layout's name stays if it holds most of the text, and an article's own header if it has a heading."""
     out: list[str] = []
     article = {id(x) for x in parts}
+    half = sum(x.size for x in parts) / 2
     todo: list[Node | str] = list(reversed(parts))
     while todo:
         x = todo.pop()
@@ -230,7 +245,8 @@ def article_text(parts: list[Node], template: set[int], whole: bool) -> str:
             out.append(x)
             continue
         if id(x) not in article:
-            if x.words and not (x.tag == "header" and not whole and any(isinstance(y, Node) and y.tag in HEADINGS for y in x.items)):
+            headed = x.tag == "header" and not whole and any(isinstance(y, Node) and y.tag in HEADINGS for y in x.items)
+            if x.out == 2 or x.out == 1 and x.size <= half and not headed:
                 continue
             if x.digest in template and (whole or x.tag not in LEAVES):
                 continue

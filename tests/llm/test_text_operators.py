@@ -314,3 +314,16 @@ def test_broken_pages_do_not_fail(page):
     parts = html.main_parts(root)
     html.candidates(root, parts)
     assert isinstance(html.article_text(parts, set(), parts == [root]), str)
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<body><div class='page-with-sidebar'><div class=sidebar><p>side</p></div><article class='post header-big'><h1>T</h1><p>long text here for all</p></article></div>", "T\nlong text here for all"),
+    ("<body><div class='layout no-menu'><div class=menu><a>m</a></div><div class=content><p>The text is long enough here.</p></div></div>", "The text is long enough here."),
+    ("<body><article><p>short</p><section class=comments><p>a very long comment that is much longer than the text itself</p></section></article>", "short"),
+    ("<body><div class=comments><article><p>c</p></article></div><article><p>real</p></article>", "real"),
+])
+def test_layout_words_do_not_hide_an_article(page, text):
+    root = html.parse(page)
+    html.hashed(root)
+    parts = html.main_parts(root)
+    assert html.article_text(parts, set(), parts == [root]) == text
