@@ -18,16 +18,16 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stored, table
+from .common import in_batches, shared_dir, stored, table
 from .token_counts import pieces
 
 LEXICON_WORDS = 65_536
-CACHED_WORDS = 150_000
+CACHED_WORDS = 120_000
 PIECE_CHARS = 1 << 20
 LONG_WORD = 48
 # The pattern of the vocabulary file in the two dialects used, and what counts as white space in it.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Merger:
@@ -295,68 +295,96 @@ def publish_lexicon(docs: DataFrame, model: bytes, words: int = LEXICON_WORDS) -
     return name
 
 
+Entry = tuple[int, tuple[int, ...], str, str]
+
+
+class Kept:
+    """A cache of two generations: an entry of the older one that is asked for moves to the younger; when that is full
+    it becomes the older one, and what was not asked for goes."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[str, Entry] = {}
+        self.old: dict[str, Entry] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that are not kept; afterwards all others are in the younger generation."""
+        if len(self.young) + len(keys) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = []
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    out.append(key)
+        return out
+
+
 class WordEncoder:
-    """Encodes and decodes runs between white space, each once as long as it stays in a cache of two generations: a run
-    of the older one that recurs moves to the younger, and the older one goes when the younger is full."""
+    """Encodes and decodes runs between white space. A run's words, and the run, are worked out once while they are kept."""
 
     def __init__(self, merger: Merger, lexicon: Lexicon, outputs: tuple[str, ...], most: int = CACHED_WORDS):
-        self.merger, self.lexicon, self.most = merger, lexicon, most
+        self.merger, self.lexicon = merger, lexicon
         self.numbers, self.texts, self.decoded = "ids" in outputs, "ids_sha256" in outputs, bool({"decoded", "decoded_sha256"} & set(outputs))
-        self.known: dict[str, tuple[int, tuple[int, ...], str, str]] = {}
-        self.older: dict[str, tuple[int, tuple[int, ...], str, str]] = {}
+        self.runs, self.words = Kept(most), Kept(most)
         self.id_text = {i: str(i) for i in merger.tokens}
+        self.special = {x: self.entry([i]) for x, i in merger.special.items()}
+
+    def entry(self, ids: list[int]) -> Entry:
+        id_text, tokens = self.id_text, self.merger.tokens
+        return (
+            len(ids), tuple(ids) if self.numbers else (), " ".join([id_text[i] for i in ids]) if self.texts else "",
+            " ".join([tokens[i] for i in ids]) if self.decoded else "",
+        )
 
     def learn(self, runs: set[str]) -> None:
-        """Make all of ``runs`` known."""
-        if len(self.known) + len(runs) > self.most:
-            self.older, self.known = self.known, {}
-        known, older, m = self.known, self.older, self.merger
-        new = []
-        for run in runs:
-            if run not in known:
-                if run in older:
-                    known[run] = older[run]
-                else:
-                    new.append(run)
-        split: list[list[str | int]] = []
-        for run in new:
-            parts: list[str | int] = []
-            for part in m.special_at.split(run) if "<|" in run else (run,):
-                if part in m.special:
-                    parts.append(m.special[part])
-                elif part:
-                    normal = m.normal(part)
-                    if normal.isalpha():
-                        parts.append(normal)
-                    else:
-                        parts += m.pattern.findall(normal)
-            split.append(parts)
-        words = list({x for parts in split for x in parts if isinstance(x, str)})
-        found = self.lexicon.look_up([w.encode() for w in words])
-        unseen = [w for w, ids in zip(words, found, strict=True) if ids is None]
-        ids_of = dict(zip(words, found, strict=True)) | dict(zip(unseen, m.merge_all(unseen), strict=True))
-        tokens, id_text = m.tokens, self.id_text
-        for run, parts in zip(new, split, strict=True):
-            ids = ids_of[parts[0]] if len(parts) == 1 and isinstance(parts[0], str) else [i for x in parts for i in (ids_of[x] if isinstance(x, str) else (x,))]
-            known[run] = (
-                len(ids), tuple(ids) if self.numbers else (), " ".join([id_text[i] for i in ids]) if self.texts else "",
-                " ".join([tokens[i] for i in ids]) if self.decoded else "",
+        """Put all of ``runs`` into the younger generation."""
+        m, whole, mixed = self.merger, {}, {}
+        for run in self.runs.missing(runs):
+            normal = m.normal(run)
+            if normal.isalpha():
+                whole[run] = normal
+            elif "<|" not in run:
+                mixed[run] = m.pattern.findall(normal)
+            else:
+                mixed[run] = [y for x in m.special_at.split(run) if x for y in ([x] if x in m.special else m.pattern.findall(m.normal(x)))]
+        words = set(whole.values()).union(*mixed.values()).difference(m.special)
+        unseen = []
+        kept = self.words
+        new = kept.missing(words)
+        for word, ids in zip(new, self.lexicon.look_up([w.encode() for w in new]), strict=True):
+            if ids is None:
+                unseen.append(word)
+            else:
+                kept.young[word] = self.entry(ids)
+        for word, ids in zip(unseen, m.merge_all(unseen), strict=True):
+            kept.young[word] = self.entry(ids)
+        entries, known = kept.young, self.runs.young
+        for run, word in whole.items():
+            known[run] = entries[word]
+        for run, parts in mixed.items():
+            own = [self.special.get(x) or entries[x] for x in parts]
+            known[run] = own[0] if len(own) == 1 else (
+                sum([x[0] for x in own]), tuple([i for x in own for i in x[1]]), " ".join([x[2] for x in own]), " ".join([x[3] for x in own])
             )
 
-    def encode(self, texts: list[str]) -> Iterator[Iterator[list[tuple[int, tuple[int, ...], str, str]]]]:
+    def encode(self, texts: list[str]) -> Iterator[Iterator[list[Entry]]]:
         """For each text the entries of its runs, a bounded part of the text after another."""
         split: list[list[str] | None] = [self.merger.split(x) if len(x) <= PIECE_CHARS else None for x in texts]
         self.learn(set().union(*[x for x in split if x is not None]))
-        whole = [None if x is None else [self.known[run] for run in x] for x in split]
+        known = self.runs.young
+        whole = [None if x is None else [known[run] for run in x] for x in split]
         for text, entries in zip(texts, whole, strict=True):
             yield self.parts(text) if entries is None else iter([entries] if entries else [])
 
-    def parts(self, text: str) -> Iterator[list[tuple[int, tuple[int, ...], str, str]]]:
+    def parts(self, text: str) -> Iterator[list[Entry]]:
         for piece in pieces(text, PIECE_CHARS):
             runs = self.merger.split(piece)
             self.learn(set(runs))
             if runs:
-                yield [self.known[x] for x in runs]
+                yield [self.runs.young[x] for x in runs]
 
 
 def calls(texts: list[str], size: int) -> Iterator[list[str]]:
@@ -429,7 +457,7 @@ def encode_decode(
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([f"`{x}` {kinds[x]}" for x in keep] + [f"{x} {OUTPUTS[x]}" for x in outputs])
-    return docs.select(*keep, F.col("text").cast("string").alias("gridloom_text")).mapInArrow(run, schema)
+    return in_batches(docs.select(*keep, F.col("text").cast("string").alias("gridloom_text")), run, schema)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
