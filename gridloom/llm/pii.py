@@ -20,10 +20,13 @@ FIRST_DAY, DAYS = "1900-01-01", 73_049  # to 2099-12-31
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    # American numbers (any digits behind +1 or with the area code in brackets), then others by their digits alone: no
+    # group of a card that follows is taken in, and none is left that a dot, hyphen or slash joins to what was taken.
     "phone": (
-        r"(?<![0-9A-Za-z+])(?:\+1[ .\-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .\-]?[2-9][0-9]{2}[ .\-]?[0-9]{4}"
-        r"|\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[.\-][0-9]{4}|[2-9][0-9]{2}([.\-])[2-9][0-9]{2}\1[0-9]{4}"
-        r"|\+(?!1)[1-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,4})(?![0-9A-Za-z])"
+        r"(?<![0-9A-Za-z+])(?:\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
+        r"|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-][0-9]{4}|[2-9][0-9]{2}([ .\-])[2-9][0-9]{2}\1[0-9]{4}"
+        r"|\+(?!1)[1-9](?:(?:[ .\-/](?![0-9]{4}(?:[ \-][0-9]{4}){3}|3[0-9]{3}[ \-][0-9]{6}[ \-][0-9]{5}))?\(?[0-9]\)?){7,14}(?![.\-/][0-9])"
+        r")(?![0-9A-Za-z])"
     ),
     "card": r"(?<![0-9A-Za-z.\-])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}(?:[ \-][0-9]{4}){3}|3[0-9]{3}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
