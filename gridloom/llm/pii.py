@@ -16,10 +16,41 @@ KEY = "gridloom"
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # to 2099-12-31
 
+# The countries of the IBAN registry by the length of their numbers.
+IBAN_COUNTRIES = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+LISTED = "|".join(IBAN_COUNTRIES.values()).replace(" ", "|")
+IBAN_BODIES = "|".join(  # groups of four and what is left
+    f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, c in IBAN_COUNTRIES.items()
+)
+
 # What may be personal, in the order in which a place of the text is tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    # Of a country's own length, so that a word behind it is not taken in; of countries not listed, any length.
+    "iban": (
+        rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN_BODIES}"
+        rf"|(?!{LISTED})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![0-9A-Za-z])"
+    ),
     # American numbers (any digits behind +1 or with the area code in brackets), then others by their digits alone: no
     # group of a card that follows is taken in, and none is left that a dot, hyphen or slash joins to what was taken.
     "phone": (
@@ -31,7 +62,11 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z.\-])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}(?:[ \-][0-9]{4}){3}|3[0-9]{3}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z\-])",
-    "date": r"(?<![0-9A-Za-z./\-])(?:[12][0-9]{3}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[12][0-9]{3}|[0-9]{2}\.[0-9]{2}\.[12][0-9]{3})(?![0-9A-Za-z/\-])",
+    "date": (
+        r"(?<![0-9A-Za-z./\-])(?:[12][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}|[12][0-9]{3}/[0-9]{1,2}/[0-9]{1,2}"
+        r"|[0-9]{1,2}/[0-9]{1,2}/[12][0-9]{3}|[0-9]{1,2}-[0-9]{1,2}-[12][0-9]{3}|[0-9]{1,2}\.[0-9]{1,2}\.[12][0-9]{3})"
+        r"(?![0-9/\-]|(?![Tt][0-9]{2}|Z(?![0-9A-Za-z]))[A-Za-z])"
+    ),
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -180,13 +215,30 @@ def iban_pseudonym(m: Column, key: str) -> Column:
 
 
 def date_of(m: Column) -> Column:
-    """The date, in order year-month-day, day.month.year, day/month/year or, where that is none, month/day/year."""
-    day_first = F.try_to_timestamp(m, F.lit("dd/MM/yyyy"))
-    return F.when(m.contains("-"), F.try_to_timestamp(m, F.lit("yyyy-MM-dd"))).when(m.contains("."), F.try_to_timestamp(m, F.lit("dd.MM.yyyy"))).otherwise(
-        F.coalesce(day_first, F.try_to_timestamp(m, F.lit("MM/dd/yyyy")))
+    """The date, in order year-month-day, day.month.year, day/month/year or, where that is none, month/day/year, with
+    hyphens as with slashes; zeros in front may be there or not."""
+    plain = F.translate(m, "./", "--")
+    day_first = F.try_to_timestamp(plain, F.lit("d-M-yyyy"))
+    return F.when(year_first(m), F.try_to_timestamp(plain, F.lit("yyyy-M-d"))).when(m.contains("."), day_first).otherwise(
+        F.coalesce(day_first, F.try_to_timestamp(plain, F.lit("M-d-yyyy")))
     ).cast("date")
 
 
+def year_first(m: Column) -> Column:
+    return m.rlike("^[0-9]{4}")
+
+
+def date_shown(d: Column, like: Column) -> Column:
+    """``d`` in the form of the date ``like``: its order, its signs, and zeros in front unless ``like`` goes without."""
+    sign = F.regexp_extract(like, "[./\\-]", 0)
+    bare = like.rlike("(?<![0-9])[0-9](?![0-9])")
+    part = lambda x: F.when(bare, x.cast("string")).otherwise(F.lpad(x.cast("string"), 2, "0"))
+    year, month, day = F.year(d).cast("string"), part(F.month(d)), part(F.day(d))
+    day_first = like.contains(".") | F.try_to_timestamp(F.translate(like, "./", "--"), F.lit("d-M-yyyy")).isNotNull()
+    parts = lambda *x: F.concat(x[0], sign, x[1], sign, x[2])
+    return F.when(year_first(like), parts(year, month, day)).when(day_first, parts(day, month, year)).otherwise(parts(month, day, year))
+
+
 def date_pseudonym(m: Column, key: str) -> Column:
     """Another day of the same two centuries, permuted until it is one of them."""
     left, right = F.lit(271).cast("long"), F.lit(270).cast("long")
@@ -197,9 +249,7 @@ def date_pseudonym(m: Column, key: str) -> Column:
 
     n = F.datediff(date_of(m), F.lit(FIRST_DAY).cast("date")).cast("long")
     day = F.aggregate(F.sequence(F.lit(1), F.lit(12)), step(n), lambda x, _: F.when(x < DAYS, x).otherwise(step(x)))
-    shown = lambda d: F.when(m.contains("-"), F.date_format(d, "yyyy-MM-dd")).when(m.contains("."), F.date_format(d, "dd.MM.yyyy")).when(
-        F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull(), F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy"))
-    return with_value(F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int")), shown)
+    return with_value(F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int")), lambda d: date_shown(d, m))
 
 
 def is_valid(kind: str, m: Column) -> Column:

@@ -48,3 +48,25 @@ def test_a_phone_takes_in_nothing_of_what_follows(spark):
 @pytest.mark.parametrize("text", ["+1 (017) 555-77134", "12 (017) 55-7713", "1,743 555 units", "+12 34", "017 555 7713", "+33 1 23 45"])
 def test_what_is_no_phone_stays(spark, text):
     assert pseudonymised(spark, [text])[0]["text"] == text
+
+
+def test_ibans_whatever_follows(spark):
+    values = ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "BE68539007547034",
+              "PL61 1090 1014 0000 0712 1981 2874", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32",
+              "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    for behind in ("BIC CAIXESBB", "ABCD", "THIS 1234", "x"):
+        each_is_exchanged(spark, values, "iban", "see {} " + behind)
+
+
+def test_date_forms(spark):
+    values = ["2020/02/29", "1/5/2020", "01/05/2020", "25/12/2001", "12/25/2001", "1.5.2020", "31.12.1999", "2020-2-9", "29-02-2020", "2020-02-29"]
+    each_is_exchanged(spark, values, "date")
+    each_is_exchanged(spark, ["2020-02-29"], "date", "at {}T10:00:00Z")
+    each_is_exchanged(spark, ["2020-02-29"], "date", "on {}Z")
+    padded = pseudonymised(spark, ["2020/02/29", "02/29/2020", "29.02.2020"])
+    assert all(re.fullmatch(r"\d{4}/\d\d/\d\d|\d\d([./])\d\d\1\d{4}", r["text"]) for r in padded)
+
+
+@pytest.mark.parametrize("text", ["2020/02/30", "31/4/2020", "1.13.2020", "2020-02-29X", "1/5/20205", "ES9121000418450200051333 BIC"])
+def test_what_fails_calendar_or_check_digits_stays(spark, text):
+    assert pseudonymised(spark, [text])[0]["text"] == text
