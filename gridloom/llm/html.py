@@ -181,9 +181,8 @@ def nodes(node: Node) -> Iterator[Node]:
 
 
 def hashed(root: Node) -> int:
-    """Put its hash on every subtree (element, label and all below); returns the hash of the longest block, by which
-    copies of a page are known as one content."""
-    longest = ""
+    """Put its hash on every subtree (element, label and all below); returns the hash of the page's text outside what is
+    surely no article, by which copies of a page are known as one content."""
     for x in nodes(root):
         h = xxhash.xxh64(f"{x.tag}\0{x.label}")
         x.size = 0
@@ -195,10 +194,16 @@ def hashed(root: Node) -> int:
                 h.update(b"\1")
                 x.size += len(y)
                 h.update(y.encode("utf-8", "surrogatepass"))
-                if len(y) > len(longest):
-                    longest = y
         x.digest = h.intdigest()
-    return xxhash.xxh64_intdigest(longest.encode("utf-8", "surrogatepass"))
+    whole = xxhash.xxh64()
+    todo: list[Node | str] = [root]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            whole.update(x.encode("utf-8", "surrogatepass") + b"\n")
+        elif x.out < 2:
+            todo += reversed(x.items)
+    return whole.intdigest()
 
 
 def main_parts(root: Node) -> list[Node]:
@@ -257,7 +262,8 @@ def article_text(parts: list[Node], template: set[int], whole: bool) -> str:
 def host_templates(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
     """(host, template): the hashes of subtrees that stand on many pages of a host. One row a host.
 
-    Pages with the same longest block count as one, so an article that a host serves a thousand times is no template.
+    Pages of the same text (outside what is surely no article) count as one, so an article that a host serves a thousand
+    times is no template.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +297,8 @@ def extract_articles(
 
     Pass one hashes every page's element subtrees and counts, per host, on how many pages of different content each
     stands; pass two parses again and leaves out a host's recurring subtrees, then what elements, roles or names mark
-    as no article. Paragraphs inside an article stay though other pages repeat them. A null or empty page gives an
+    as no article. Paragraphs inside an article stay though other pages repeat them. Copies of a page that differ in a
+    block which nothing marks as no article are different pages. A null or empty page gives an
     empty text; a null or odd url is a host of its own (""); repeated rows give repeated rows; other columns are not
     read. Blocks are joined by a line feed, white space in a block is one space.
     """
