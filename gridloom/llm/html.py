@@ -206,23 +206,72 @@ def hashed(root: Node) -> int:
     return whole.intdigest()
 
 
-def main_parts(root: Node) -> list[Node]:
-    """The outermost articles that are not within a part that is no article; else such main parts; else the page."""
-    for wanted in (lambda x: x.tag == "article" or x.main and x.tag not in ("main",) and "main" not in x.label.lower(), lambda x: x.main):
-        found, todo = [], [root]
+def is_article(x: Node) -> bool:
+    return x.tag == "article" or x.main and x.tag != "main" and "main" not in x.label.lower()
+
+
+def goes(x: Node, template: set[int], half: float, whole: bool, in_article: bool) -> bool:
+    """Whether ``x`` is template or no article. What only has a layout's name stays if it holds most of the text, and an
+    article's own header if it has a heading. Blocks within an article are no template."""
+    headed = x.tag == "header" and not whole and any(isinstance(y, Node) and y.tag in HEADINGS for y in x.items)
+    return x.out == 2 or x.out == 1 and x.size <= half and not headed or x.digest in template and not (in_article and x.tag in LEAVES)
+
+
+def main_parts(root: Node, template: set[int] = frozenset()) -> list[Node]:
+    """The outermost main parts and articles that are not within a part that is no article, and the page's headings of
+    the first order before them, if they hold most of the text that is left without template and without what is no
+    article; else the page. Main parts that are template themselves count only if there are no others."""
+    for skipped in (template, frozenset()) if template else (template,):
+        found, headings, todo = [], [], [(root, False)]
         while todo:
-            x = todo.pop()
+            x, doubtful = todo.pop()
             if x.out == 2:
                 continue
-            if wanted(x):
+            if x.main and x.digest not in skipped:
                 found.append(x)
+            elif x.tag == "h1" and not found and not doubtful and x.digest not in template:
+                headings.append(x)
             else:
-                todo += [y for y in reversed(x.items) if isinstance(y, Node)]
+                todo += [(y, doubtful or y.out > 0) for y in reversed(x.items) if isinstance(y, Node)]
         if found:
-            return found
+            inside, all_left = text_left(root, found, template)
+            return headings + found if 2 * inside > all_left or inside == all_left else [root]
     return [root]
 
 
+def text_left(root: Node, parts: list[Node], template: set[int]) -> tuple[int, int]:
+    """How much text is left in ``parts``, and in all, without template and without what is no article."""
+    own, half = {id(x) for x in parts}, root.size / 2
+    inside = everywhere = 0
+    todo: list[tuple[Node | str, bool, bool]] = [(root, False, False)]
+    while todo:
+        x, within, in_article = todo.pop()
+        if isinstance(x, str):
+            everywhere += len(x)
+            inside += len(x) if within else 0
+            continue
+        if id(x) in own:
+            within = True
+            in_article = is_article(x) or not has_article(x)
+        elif within and not in_article and x.out < 2 and is_article(x):
+            in_article = True
+        elif x.up is not None and goes(x, template, half, not within, in_article):
+            continue
+        todo += [(y, within, in_article) for y in x.items]
+    return inside, everywhere
+
+
+def has_article(part: Node) -> bool:
+    todo = [y for y in part.items if isinstance(y, Node)]
+    while todo:
+        x = todo.pop()
+        if x.out < 2:
+            if is_article(x):
+                return True
+            todo += [y for y in x.items if isinstance(y, Node)]
+    return False
+
+
 def candidates(root: Node, parts: list[Node]) -> list[int]:
     """Hashes of the subtrees that may be template: inside an article its containers, elsewhere blocks too."""
     whole = parts == [root]
@@ -238,24 +287,23 @@ def candidates(root: Node, parts: list[Node]) -> list[int]:
 
 
 def article_text(parts: list[Node], template: set[int], whole: bool) -> str:
-    """The blocks of ``parts`` in page order without template and without what is no article. What only has a
-    layout's name stays if it holds most of the text, and an article's own header if it has a heading."""
+    """The blocks of ``parts`` in page order without template and without what is no article."""
     out: list[str] = []
-    article = {id(x) for x in parts}
     half = sum(x.size for x in parts) / 2
-    todo: list[Node | str] = list(reversed(parts))
+    own = {id(x) for x in parts}
+    todo: list[tuple[Node | str, bool]] = [(x, False) for x in reversed(parts)]
     while todo:
-        x = todo.pop()
+        x, in_article = todo.pop()
         if isinstance(x, str):
             out.append(x)
             continue
-        if id(x) not in article:
-            headed = x.tag == "header" and not whole and any(isinstance(y, Node) and y.tag in HEADINGS for y in x.items)
-            if x.out == 2 or x.out == 1 and x.size <= half and not headed:
-                continue
-            if x.digest in template and (whole or x.tag not in LEAVES):
-                continue
-        todo += reversed(x.items)
+        if id(x) in own:
+            in_article = not whole and (is_article(x) or not has_article(x))
+        elif not whole and not in_article and x.out < 2 and is_article(x):
+            in_article = True
+        elif goes(x, template, half, whole, in_article):
+            continue
+        todo += [(y, in_article) for y in reversed(x.items)]
     return "\n".join(out)
 
 
@@ -263,7 +311,8 @@ def host_templates(pages: DataFrame, least_pages: int, least_share: float) -> Da
     """(host, template): the hashes of subtrees that stand on many pages of a host. One row a host.
 
     Pages of the same text (outside what is surely no article) count as one, so an article that a host serves a thousand
-    times is no template.
+    times is no template. All subtrees are counted; whether a page's blocks within an article are kept is said when
+    its template is known.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +323,7 @@ def host_templates(pages: DataFrame, least_pages: int, least_share: float) -> Da
                 for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                     root = parse(text or "")
                     content = hashed(root)
-                    own = {x - (1 << 64) if x >= 1 << 63 else x for x in candidates(root, main_parts(root))} | {0}  # 0 counts contents
+                    own = {x - (1 << 64) if x >= 1 << 63 else x for x in candidates(root, [root])} | {0}  # 0 counts contents
                     hosts += [host] * len(own)
                     contents += [content - (1 << 64) if content >= 1 << 63 else content] * len(own)
                     found += own
@@ -297,8 +346,9 @@ def extract_articles(
 
     Pass one hashes every page's element subtrees and counts, per host, on how many pages of different content each
     stands; pass two parses again and leaves out a host's recurring subtrees, then what elements, roles or names mark
-    as no article. Paragraphs inside an article stay though other pages repeat them. Copies of a page that differ in a
-    block which nothing marks as no article are different pages. A null or empty page gives an
+    as no article. Paragraphs inside an article stay though other pages repeat them. Articles and main parts narrow the
+    page only if they hold most of what is then left. Copies of a page that differ in a block which nothing marks as no
+    article are different pages. A null or empty page gives an
     empty text; a null or odd url is a host of its own (""); repeated rows give repeated rows; other columns are not
     read. Blocks are joined by a line feed, white space in a block is one space.
     """
@@ -316,8 +366,9 @@ def extract_articles(
                 for text, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
                     root = parse(text or "")
                     hashed(root)
-                    parts = main_parts(root)
-                    texts.append(article_text(parts, {x % (1 << 64) for x in template or ()}, parts == [root]))
+                    known = {x % (1 << 64) for x in template or ()}
+                    parts = main_parts(root, known)
+                    texts.append(article_text(parts, known, parts == [root]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     ["page_id", "url", "text", "n_chars"],

@@ -1,5 +1,7 @@
 """Hosts and pages on which the longest block or the first article is not the page's content."""
 
+import pytest
+
 from gridloom.llm import html
 
 
@@ -27,3 +29,23 @@ def test_articles_that_share_a_passage_are_different_contents(spark):
 def test_copies_with_changing_adverts_are_one_content(spark):
     pages = [("http://a.example/", f"<body><div class=ad>Buy {i}</div><div><p>The one story of this host.</p></div></body>") for i in range(12)]
     assert texts_of(spark, pages) == ["The one story of this host."] * 12
+
+
+STORY = "<p>The story is told at length here, in many words.</p><p>And it goes on for a while.</p>"
+TOLD = "The story is told at length here, in many words.\nAnd it goes on for a while."
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<body><div class=content>{STORY}</div><section><article class=card><p>Teaser</p></article></section>", TOLD + "\nTeaser"),
+    (f"<body><main>{STORY}</main><section><article class=card><p>Teaser</p></article></section>", TOLD + "\nTeaser"),
+    (f"<body><main><h1>Headline</h1><article>{STORY}</article></main><div>else</div>", "Headline\n" + TOLD),
+    (f"<body><h1>Headline</h1><article>{STORY}</article><div>else</div>", "Headline\n" + TOLD),
+    (f"<body><div>else</div><article>{STORY}</article>", TOLD),
+])
+def test_an_article_narrows_the_page_only_if_it_holds_most(spark, page, text):
+    assert texts_of(spark, [("http://a.example/", page)]) == [text]
+
+
+def test_what_recurs_in_main_beside_the_article_goes(spark):
+    page = lambda i: f"<body><main><p>Read all our letters</p><article><p>Same first line.</p><p>Story {i} has words.</p></article></main></body>"
+    assert texts_of(spark, [("http://a.example/", page(i)) for i in range(12)]) == [f"Same first line.\nStory {i} has words." for i in range(12)]
