@@ -52,8 +52,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(store.collect_garbage(args.apply)))
     elif not args.name:
         p.error("tag needs --name")
-    elif args.apply:
-        store.tag(args.name)
+    else:
+        archive.clean_audit(store.small("checks", evidence), audit.PHASES)
+        if args.apply:
+            store.tag(args.name)
     return 0
 
 

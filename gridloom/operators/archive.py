@@ -89,8 +89,13 @@ class Archive:
 
     def manifest(self) -> DataFrame:
         """(tc, ty, tx, n_cells) of the chunks there are, read without their cells."""
+        return self.chunked().select("tc", "ty", "tx", "n_cells")
+
+    def chunked(self) -> DataFrame:
+        """(tc, ty, tx, cells, n_cells) of the chunks there are."""
         folders = [f"{self.path}/{r['folder']}" for r in self.history().where("folder is not null").collect()]
-        return self.spark.read.parquet(*folders).select("tc", "ty", "tx", "n_cells") if folders else self.spark.createDataFrame([], "tc long, ty int, tx int, n_cells int")
+        empty = "tc long, ty int, tx int, cells array<struct<t: date, y: int, x: int, v: float>>, n_cells int"
+        return self.spark.read.parquet(*folders) if folders else self.spark.createDataFrame([], empty)
 
     def dense(self, y: tuple[int, int], x: tuple[int, int], t0, t1) -> DataFrame:
         """A box of the whole grid, with NaN where no cell is stored."""
@@ -232,14 +237,20 @@ def build_region(store, config, cells, days, whole, shape, stop_after) -> None:
         store.commit(b["message"], "build", folder)
 
 
-def finalize_attributes(store: Archive, config: ArchiveConfig, checks: DataFrame, phases: list[str], apply: bool = False) -> int:
-    """Provenance, written only if the last audit had all phases and no failure; returns how many attributes differ."""
+def clean_audit(checks: DataFrame, phases: list[str]):
+    """The totals of the last audit; refused unless it had all phases and no failure."""
     latest = attributes.totals(checks, ["run"]).orderBy(F.desc("run")).first()
     if latest is None or latest["n_failures"]:
         raise PermissionError("no audit without failures")
     there = {r["phase"] for r in checks.where(F.col("run") == latest["run"]).select("phase").distinct().collect()}
     if set(phases) - there:
         raise PermissionError(f"the audit left out {sorted(set(phases) - there)}")
+    return latest
+
+
+def finalize_attributes(store: Archive, config: ArchiveConfig, checks: DataFrame, phases: list[str], apply: bool = False) -> int:
+    """Provenance, written only if the last audit had all phases and no failure; returns how many attributes differ."""
+    latest = clean_audit(checks, phases)
     built = attributes.builds(store.history().withColumn("one", F.lit(1)), ["one"], ADMIN).first()
     values = {
         "date_created": built["first_build"].strftime("%Y-%m-%dT%H:%M:%SZ"), "verification": f"{latest['n_checks']} checks, 0 failures",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from functools import reduce
 
@@ -9,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ArchiveConfig
-from ..functions.cells import fill_values, is_fill
+from ..functions.cells import DECLARED_FILL, fill_values, is_fill
 from . import attributes, axis, grid
 from .archive import BY_LAYOUT, Archive
+from .provenance import nomenclature
 
 PHASES = ["structure", "index", "samples", "sweep", "sentinel"]
 REQUIRED = ("time_coverage_start", "time_coverage_end", "time_coverage_resolution", "time_coverage_duration", "source_fill_values_masked", "layout")
@@ -33,6 +35,8 @@ def structure(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[Dat
     attrs = store.attributes().agg(F.array_sort(F.collect_set("key")).alias("keys"))
     missing = F.array_except(F.array(*map(F.lit, [*REQUIRED, *config.attributes])), F.col("keys"))
     strategy = config.write_strategy
+    chunk = config.chunk_shape(axis.bounds(store.axis()).days)
+    layout = "temporal" if config.chunks["time"] == -1 else "spatial"
     cells = store.read().agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
     return [
         check(one, "structure", "cells are (date, int, int, float)", F.lit(kinds == {"t": "date", "y": "int", "x": "int", "v": "float"}), F.lit(str(kinds))),
@@ -40,10 +44,35 @@ def structure(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[Dat
         check(attrs, "structure", "required attributes", F.size(missing) == 0, F.concat_ws(",", missing)),
         check(one, "structure", "commits of the strategy", (F.col("builds") >= 1) & (F.col("skeletons") == (1 if strategy == "region" else 0)), F.col("builds")),
         check(one, "structure", "directory is the layout", F.lit(f"/{config.suffix}/" in store.path), F.lit(store.path)),
+        check(one, "structure", "directory names the layout of the chunks", F.lit(layout in config.suffix), F.lit(config.suffix)),
+        none(misplaced(store, chunk), "structure", f"chunks have the shape {chunk}"),
         none(store.read().where(F.isnan("v")), "structure", "fill is not stored"),
+        *names(store, config),
     ]
 
 
+def misplaced(store: Archive, chunk: tuple[int, int, int]) -> DataFrame:
+    """Cells that do not lie in the chunk of shape ``chunk`` (days, rows, columns) that holds them."""
+    days, ny, nx = chunk
+    first = axis.bounds(store.axis()).first
+    place = (F.floor(F.datediff("t", F.lit(first)) / days) != F.col("tc")) | (F.floor(F.col("y") / ny) != F.col("ty")) | (F.floor(F.col("x") / nx) != F.col("tx"))
+    return store.chunked().select("tc", "ty", "tx", F.inline("cells")).where(place)
+
+
+def names(store: Archive, config: ArchiveConfig) -> list[DataFrame]:
+    """A verdict for each attribute that the nomenclature key gives; none without a key."""
+    if not config.key:
+        return []
+    spark, out = store.spark, []
+    for key, value in nomenclature(spark, config, config.original_units).items():
+        found = store.attributes().where(F.col("key") == key).agg(F.max("value").alias("value"))
+        ok = F.col("value") == json.dumps(value)
+        if key == "original_units":
+            ok &= F.lit(bool(value))
+        out.append(check(found, "structure", f"{key} is the key's", ok, F.col("value")))
+    return out
+
+
 def index(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFrame]:
     expected = axis.complete_axis(raw.select("t"))
     steps = axis.steps(store.axis()).where("step is not null").agg(F.count_distinct("step").alias("n"), F.max("step").alias("step"))
@@ -104,15 +133,22 @@ def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFra
     ]
 
 
+def footprints(store: Archive, raw: DataFrame) -> DataFrame:
+    """(t, n, footprint) of every day with a file: how many cells are not masked, and which, as an order-free hash of
+    their places. Cells that the raw marks as missing by the declared fill value are no mask: they may come and go."""
+    missing = raw.where(F.col("v") == F.lit(DECLARED_FILL).cast("float")).select("t", "y", "x")
+    place = F.xxhash64("y", "x").cast("decimal(38,0)")
+    shown = store.read().select("t", "y", "x").unionByName(missing).groupBy("t").agg(F.count("*").alias("n"), F.sum(place).cast("string").alias("footprint"))
+    return raw.select("t").distinct().join(shown, "t", "left").select("t", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("footprint", F.lit("0")).alias("footprint"))
+
+
 def sentinel(store: Archive, config: ArchiveConfig, raw: DataFrame, planes: int = 40) -> list[DataFrame]:
     fills = fill_values(config.source_fill_values)
     days = grid.spaced_days(raw.select("t").distinct(), planes)
-    present = raw.select("t").distinct()
-    counts = store.read().join(present.join(days, "t", "left_semi"), "t").groupBy("t").agg(F.count("*").alias("n"))
     return [
         none(grid.undeclared_negatives(raw.join(days, "t", "left_semi"), fills), "sentinel", "negative raw values are declared"),
         none(store.read().where("v < 0"), "sentinel", "no stored value is negative"),
-        check(counts.agg(F.count_distinct("n").alias("n")), "sentinel", "note: days with different numbers of cells", F.lit(True), F.col("n")),
+        check(footprints(store, raw).agg(F.count_distinct("n", "footprint").alias("n")), "sentinel", "the masked footprint is the same on all days with a file", F.col("n") <= 1, F.col("n")),
         check(grid.physical_range(store.read()), "sentinel", "note: cells above the ceiling", F.lit(True), F.col("above")),
     ]
 
