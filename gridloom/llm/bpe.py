@@ -8,7 +8,7 @@ import json
 import unicodedata
 import uuid
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, shared_dir, stored, table
+from .common import fresh, shared_dir, sliced, stored, table
 from .token_counts import pieces
 
 LEXICON_WORDS = 65_536
@@ -404,28 +404,29 @@ OUTPUTS = {"ids": "array<int>", "decoded": "string", "n_tokens": "long", "ids_sh
 
 
 def encode_decode(
-    docs: DataFrame, tokenizer_path: str, outputs: tuple[str, ...] = ("ids", "decoded"), keep: tuple[str, ...] = ("doc_id",),
+    docs: DataFrame, tokenizer_path: str, outputs: Sequence[str] = ("ids", "decoded"), keep: Sequence[str] = ("doc_id",),
     lexicon_words: int = LEXICON_WORDS,
 ) -> DataFrame:
     """The columns ``keep`` and, of ``outputs``: the ids of every whole text, the text that decodes from them, the
     number of ids, and digests of ids and decoded text.
 
     A null text counts as empty (no ids, decoded ""); repeated rows give repeated rows; an empty table gives an empty
-    one. The ids are those of the vocabulary file's normaliser, splitter and merges whether or not a word stands in the
+    one; a column of ``keep`` that is named as an output gives way to it. The ids are those of the vocabulary file's normaliser, splitter and merges whether or not a word stands in the
     lexicon, which only saves time. After the count of words this is one narrow stage.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, "rb") as f:
         model = spark.sparkContext.broadcast(f.read())  # a vocabulary file, of fixed size
     name = publish_lexicon(docs, model.value, lexicon_words)
+    keep = [x for x in keep if x.lower() not in outputs]
+    read = fresh(docs, "text_read")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(Merger(model.value), Lexicon(SparkFiles.get(name)), outputs)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            for batch in sliced(whole, [read]):
                 got: dict[str, list] = {x: [] for x in outputs}
-                texts = pc.fill_null(batch.column("gridloom_text"), "").to_pylist()
+                texts = pc.fill_null(batch.column(read), "").to_pylist()
                 for encoded in (x for call in calls(texts, PIECE_CHARS) for x in encoder.encode(call)):
                     n, ids, id_hash, text_hash, decoded, first = 0, array("i"), hashlib.sha256(), hashlib.sha256(), [], True
                     for entries in encoded:
@@ -457,7 +458,7 @@ def encode_decode(
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([f"`{x}` {kinds[x]}" for x in keep] + [f"{x} {OUTPUTS[x]}" for x in outputs])
-    return in_batches(docs.select(*keep, F.col("text").cast("string").alias("gridloom_text")), run, schema)
+    return docs.select(*[F.col(f"`{x}`") for x in keep], F.col("text").cast("string").alias(read)).mapInArrow(run, schema)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,7 +469,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents as token ids, with the number of ids."""
+    """The kept documents as token ids: all columns but the text, the number of ids, the ids, and the digest of the text
+    that decodes from them. Every row gives a row; a null text has no ids; an empty table stays empty."""
     import public_tokenizers
 
-    return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), ("n_tokens", "ids"), ("doc_id", "lang", "source"))
+    keep = [x for x in docs.columns if x != "text"]
+    return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), ("n_tokens", "ids", "decoded_sha256"), keep)

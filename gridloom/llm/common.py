@@ -4,17 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_ROWS = 1000
+#: What a Python worker turns into objects at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``. Where that is unset, a local folder
+    serves a local session; on a cluster there is none that all machines see, so it is refused."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -28,16 +36,34 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def in_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """mapInArrow in batches of ARROW_ROWS rows, unless the session sets another number: what a task holds outside the
-    heap and in its Python worker is a thousand rows, not ten thousand."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(key, None) in (None, "10000"):
-        df.sparkSession.conf.set(key, str(ARROW_ROWS))
-    return df.mapInArrow(run, schema)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `stored` wrote and that nothing later will read."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def sliced(batch: pa.RecordBatch, names: list[str], size: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose columns ``names`` have about ``size`` bytes, of at most ``rows`` rows."""
+    sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(x)), 0)).astype(np.int64) for x in names)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+        for at in range(start, end, rows):
+            yield batch.slice(at, min(rows, end - at))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

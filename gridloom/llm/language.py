@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, remainder, table
-from .runs import RunTable, slices
+from .common import fresh, remainder, sliced, table
+from .runs import RunTable
 
 UNDETERMINED = "und"
 #: The bound of the labelled sample: about so many documents of a language, chosen by a hash of their ids.
@@ -108,8 +108,11 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
     last = np.zeros(len(scores), bool)
     last[(np.cumsum(lengths) - 1)[lengths > 0]] = True
     here = np.flatnonzero(~last)
-    pairs = forward[here][:, :, None] * moves[None] * (local[here + 1] * backward[here + 1])[:, None, :] if len(here) and k <= 64 else np.zeros((0, k, k))
-    return both, (pairs / pairs.sum(axis=(1, 2), keepdims=True)).sum(axis=0) if len(pairs) else np.zeros((k, k))
+    # The marginal of a move from a to b at a place is left[a] * moves[a, b] * right[b] over their sum; the sum over all
+    # places is one product of matrices, whatever the number of labels.
+    left, right = forward[here], local[here + 1] * backward[here + 1]
+    whole = np.einsum("ij,ij->i", left @ moves, right)
+    return both, moves * ((left / whole[:, None]).T @ right)
 
 
 def train_field(rows: list[tuple[str, str]], seed: int = 7) -> Field:
@@ -192,50 +195,48 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, column: str = "lang")
     return train_field([(r[column], r["text"]) for r in sample.toLocalIterator()])
 
 
-def label_languages(docs: DataFrame, field: Field, with_words: bool = False, keep: list[str] | None = None) -> DataFrame:
+def label_languages(docs: DataFrame, field: Field, with_words: bool = False, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """The columns ``keep`` (default: all) of ``docs`` with lang_pred, lang_score and lang_has_letter, and with ``with_words`` lang_words, an array of (lang,
     words), the runs of words of one most likely language.
 
     The prediction is the language with the largest mean marginal over the words, the score is that mean. A text that
     is null, empty or without a letter is "und" with score 0, as is every text of a field that has learnt no label.
-    Texts are read whole; rows are independent of each other, so repeated rows agree; no shuffle. Columns of these
-    names in ``docs`` are overwritten.
+    Texts are read whole; rows are independent of each other, so repeated rows agree; an empty table gives an empty one;
+    no shuffle. Columns of these names in ``docs`` are overwritten; ``prefix`` gives the new ones other names.
     """
     model = docs.sparkSession.sparkContext.broadcast(field)  # BUCKETS weights a language
-    added = ["lang_pred", "lang_score", "lang_has_letter"] + ["lang_words"] * with_words
-    kept = [c for c in keep or docs.columns if c not in added]
-    base = docs.select(*kept, *["text"] * ("text" not in kept))
+    names = [prefix + x for x in ["lang_pred", "lang_score", "lang_has_letter"] + ["lang_words"] * with_words]
+    kept = [c for c in keep or docs.columns if c.lower() not in names]
+    base = docs.select(*[F.col(f"`{c}`") for c in kept], *["text"] * ("text" not in kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = model.value
         k = len(field.labels)
         runs = RunTable(field.emissions)
-        for whole in batches:
-            texts = whole.column("text").to_pylist()
-            for start, end in slices(texts):
-                split = [(x or "").split() for x in texts[start:end]]
-                lengths = np.fromiter(map(len, split), np.int64, end - start)
-                numbers, rows = runs.look_up(split)
-                lettered = rows[numbers, k].astype(np.float64)
-                owner = np.repeat(np.arange(len(split)), lengths)
-                letters = np.bincount(owner, lettered, len(split))
-                best, score, at = np.zeros(len(split), np.int64), np.zeros(len(split)), np.zeros(0, np.int64)
-                if k:
-                    marginals = forward_backward_marginals(rows[numbers, :k], lengths, field.transitions)
-                    mean = np.stack([np.bincount(owner, marginals[:, j] * lettered, len(split)) for j in range(k)], axis=1)
-                    mean = mean / np.maximum(letters, 1)[:, None]
-                    best, at = mean.argmax(axis=1), marginals.argmax(axis=1)
-                    score = np.where(letters > 0, mean.max(axis=1), 0.0)
-                named = [field.labels[b] if k and n else UNDETERMINED for b, n in zip(best, letters, strict=True)]
-                columns = [*whole.select(kept).slice(start, end - start).columns, pa.array(named, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(letters > 0)]
-                if with_words:
-                    columns.append(pa.array(list(language_runs(split, lengths, at, field.labels)), pa.list_(pa.struct([("lang", pa.string()), ("words", pa.string())]))))
-                yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
-
-    kinds = {"lang_pred": "string", "lang_score": "double", "lang_has_letter": "boolean", "lang_words": "array<struct<lang:string,words:string>>"}
-    types = dict(docs.dtypes) | kinds
-    schema = ", ".join(f"`{c}` {types[c]}" for c in [*kept, *added])
-    return in_batches(base, run, schema)
+        for batch in (x for whole in batches for x in sliced(whole, ["text"])):
+            split = [(x or "").split() for x in batch.column("text").to_pylist()]
+            lengths = np.fromiter(map(len, split), np.int64, len(split))
+            numbers, rows = runs.look_up(split)
+            lettered = rows[numbers, k].astype(np.float64)
+            owner = np.repeat(np.arange(len(split)), lengths)
+            letters = np.bincount(owner, lettered, len(split))
+            best, score, at = np.zeros(len(split), np.int64), np.zeros(len(split)), np.zeros(0, np.int64)
+            if k:
+                marginals = forward_backward_marginals(rows[numbers, :k], lengths, field.transitions)
+                mean = np.stack([np.bincount(owner, marginals[:, j] * lettered, len(split)) for j in range(k)], axis=1)
+                mean = mean / np.maximum(letters, 1)[:, None]
+                best, at = mean.argmax(axis=1), marginals.argmax(axis=1)
+                score = np.where(letters > 0, mean.max(axis=1), 0.0)
+            named = [field.labels[b] if k and n else UNDETERMINED for b, n in zip(best, letters, strict=True)]
+            columns = [*batch.select(kept).columns, pa.array(named, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(letters > 0)]
+            if with_words:
+                columns.append(pa.array(list(language_runs(split, lengths, at, field.labels)), pa.list_(pa.struct([("lang", pa.string()), ("words", pa.string())]))))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
+
+    kinds = ["string", "double", "boolean", "array<struct<lang:string,words:string>>"]
+    types = dict(docs.dtypes) | dict(zip(names, kinds, strict=False))
+    schema = ", ".join(f"`{c}` {types[c]}" for c in [*kept, *names])
+    return base.mapInArrow(run, schema)
 
 
 def forward_backward_marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -290,7 +291,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is undetermined go: null texts and texts without a letter."""
-    names = docs.columns
-    found = label_languages(docs, learn(docs))
-    return found.where((F.col("lang_pred") != UNDETERMINED) & F.col("lang_has_letter")).select(*names)
+    """Documents without a language go: null texts, empty ones and texts without a letter. Where ``lang`` is null the
+    predicted label is filled in; labels that are there stay.
+
+    The field is learnt from what is labelled. Where nothing is, no label can be told, so ``lang`` stays null, and the
+    documents with a letter stay. Rows are independent, so repeated rows agree; other columns stay, whatever they are
+    named; an empty table stays empty.
+    """
+    prefix = ""
+    while any(c.lower().startswith(prefix + "lang_") for c in docs.columns):
+        prefix += "_"
+    found = label_languages(docs, learn(docs), prefix=prefix)
+    known = F.when(F.col(f"{prefix}lang_pred") != UNDETERMINED, F.col(f"{prefix}lang_pred"))
+    own = [F.coalesce(F.col("lang"), known).alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns]
+    return found.where(F.col(f"{prefix}lang_has_letter")).select(*own)

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, stored, table
+from .common import sliced, stored, table
 from .components import connected
 
 SHINGLE = 5
@@ -179,7 +179,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 )
 
     read = docs.select("doc_id", F.md5("text").alias("digest"), F.encode("text", "UTF-8").alias("text"))
-    return in_batches(read, run, "doc_id long, digest string, keys array<long>")
+    return read.mapInArrow(run, "doc_id long, digest string, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:

@@ -1,20 +1,26 @@
-"""PII: validated numbers and dates become keyed permutations of themselves within their format.
+"""PII: validated numbers, dates and addresses become keyed permutations of themselves within their format.
 
-Column functions only. Equal values get equal pseudonyms in every document, different ones different pseudonyms.
+Column functions only. Equal values get equal pseudonyms in every document, different ones different pseudonyms: all
+kinds go through a Feistel network over exactly the values of their format, so nothing is drawn again until it fits.
 """
 
 from __future__ import annotations
 
+import secrets
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh, shared_dir, table
 
-KEY = "gridloom"
+#: The setting that holds the key of the pseudonyms.
+KEY_SETTING = "spark.gridloom.pii.key"
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # to 2099-12-31
+DAYS_LEFT, DAYS_RIGHT = 17, 4_297  # two factors of DAYS
+# Valid social security numbers: areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999.
+AREAS, GROUPS, SERIALS = 898, 99, 9_999
 
 # The countries of the IBAN registry by the length of their numbers.
 IBAN_COUNTRIES = {
@@ -43,9 +49,10 @@ IBAN_BODIES = "|".join(  # groups of four and what is left
     for n, c in IBAN_COUNTRIES.items()
 )
 
-# What may be personal, in the order in which a place of the text is tried.
+# What may be personal, in the order in which a place of the text is tried. Every repetition of a group is bounded,
+# for Java's regex recurses once for each: a local part has at most 64 characters, a label 63, a name 127 labels.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}+\.){1,126}[A-Za-z]{2,63}",
     # Of a country's own length, so that a word behind it is not taken in; of countries not listed, any length.
     "iban": (
         rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN_BODIES}"
@@ -69,6 +76,23 @@ PATTERNS = {
     ),
 }
 ANY = "|".join(PATTERNS.values())
+#: What a match that looks like an IBAN but fails its check digits is searched for once more.
+INSIDE = "|".join(p for k, p in PATTERNS.items() if k != "iban")
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key from KEY_SETTING; where that is unset, one drawn at random and kept in the shared folder, so that later
+    runs on the same cluster give the same pseudonyms."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if key:
+        return key
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gridloom-pii-key")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        out = files.create(path, False)
+        out.write(bytearray(secrets.token_hex(32).encode()))
+        out.close()
+    return spark.read.text(path.toString()).first()["value"]
 
 
 def feistel(left: Column, right: Column, left_size: Column, right_size: Column, tweak: Column, key: str) -> Column:
@@ -144,27 +168,42 @@ def iban_remainder(iban: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
 
 
-def letters_and_digits(text: Column, tweak: str, key: str) -> Column:
-    """Each ASCII letter as a letter, each digit as a digit, by a keyed hash of the whole in lower case; case and the
-    rest stay."""
-    places = F.sequence(F.lit(1), F.length(text))
+def shifted(text: Column, other: Column, forth: str, i: Column, key: str) -> Column:
+    """Each ASCII letter of ``text`` moved on in the alphabet and each digit in 0 to 9, by a keyed hash of ``other``."""
+    blocks = F.sequence(F.lit(0), (F.length(text) / 32).cast("int"))
+    hashes = F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lit(forth), i.cast("string"), b.cast("string"), other), 512)), "")
 
-    def other(i: Column) -> Column:
-        c = F.substr(text, i, F.lit(1))
-        draw = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), F.lower(text), i.cast("string")), 256), 1, 8), 16, 10).cast("long")
+    def moved(c: Column, draw: Column) -> Column:
+        code = F.ascii(c)
         return (
-            F.when(c.rlike("[0-9]"), F.chr(48 + draw % 10)).when(c.rlike("[a-z]"), F.chr(97 + draw % 26))
-            .when(c.rlike("[A-Z]"), F.chr(65 + draw % 26)).otherwise(c)
+            F.when(c.between("0", "9"), F.chr((code - 48 + draw) % 10 + 48)).when(c.between("a", "z"), F.chr((code - 97 + draw) % 26 + 97))
+            .when(c.between("A", "Z"), F.chr((code - 65 + draw) % 26 + 65)).otherwise(c)
         )
 
-    return F.array_join(F.transform(places, other), "")
+    def all_moved(h: Column) -> Column:
+        places = F.sequence(F.lit(1), F.length(text))
+        draw = lambda k: F.conv(F.substr(h, k * 4 - 3, F.lit(4)), 16, 10).cast("long")
+        return F.array_join(F.transform(places, lambda k: moved(F.substr(text, k, F.lit(1)), draw(k))), "")
+
+    return F.when(F.length(text) == 0, text).otherwise(with_value(hashes, all_moved))
 
 
 def email_pseudonym(m: Column, key: str) -> Column:
-    """Local part and domain names are exchanged, the top-level domain stays."""
+    """Letters and digits before the top-level domain are permuted among the addresses of the same form; case and the
+    rest stay, and addresses that only differ in case stay so. Each round moves one half by a hash of the other."""
     top = F.substring_index(m, ".", -1)
     rest = F.substr(m, F.lit(1), F.length(m) - F.length(top))
-    return F.concat(letters_and_digits(rest, "email", key), top)
+    half = (F.length(rest) / 2).cast("int")
+
+    def one(acc: Column, i: Column) -> Column:
+        l, r = acc["l"], acc["r"]
+        return F.when(i % 2 == 1, F.struct(shifted(l, F.lower(r), "l", i, key).alias("l"), r.alias("r"))).otherwise(
+            F.struct(l.alias("l"), shifted(r, F.lower(l), "r", i, key).alias("r"))
+        )
+
+    start = F.struct(F.substr(rest, F.lit(1), half).alias("l"), F.substr(rest, half + 1, F.length(rest)).alias("r"))
+    rounds = F.array(*[F.lit(i) for i in range(1, ROUNDS + 1)])
+    return with_value(F.aggregate(rounds, start, one), lambda p: F.concat(p["l"], p["r"], top))
 
 
 def phone_pseudonym(m: Column, key: str) -> Column:
@@ -198,10 +237,17 @@ def ip_pseudonym(m: Column, key: str) -> Column:
 
 
 def ssn_pseudonym(m: Column, key: str) -> Column:
-    """Permuted again until the result is valid, which keeps it a permutation of the valid numbers."""
-    step = lambda d: permuted_digits(d, F.lit("ssn"), key)
-    valid = lambda d: d.rlike("^(?!000|666|9)[0-9]{3}(?!00)[0-9]{2}(?!0000)[0-9]{4}$")
-    return in_format(m, F.aggregate(F.sequence(F.lit(1), F.lit(60)), step(only_digits(m)), lambda d, _: F.when(valid(d), d).otherwise(step(d))))
+    """The number's place among the valid ones, permuted."""
+    part = lambda i: F.split_part(m, F.lit("-"), F.lit(i)).cast("long")
+    area = part(1) - F.when(part(1) > 666, 2).otherwise(1)
+    pair = feistel(area * GROUPS + part(2) - 1, part(3) - 1, F.lit(AREAS * GROUPS).cast("long"), F.lit(SERIALS).cast("long"), F.lit("ssn"), key)
+
+    def shown(p: Column) -> Column:
+        place = (p["l"] / GROUPS).cast("long")
+        of = lambda n, width: F.lpad(n.cast("string"), width, "0")
+        return F.concat_ws("-", of(place + F.when(place >= 665, 2).otherwise(1), 3), of(p["l"] % GROUPS + 1, 2), of(p["r"] + 1, 4))
+
+    return with_value(pair, shown)
 
 
 def iban_pseudonym(m: Column, key: str) -> Column:
@@ -240,16 +286,12 @@ def date_shown(d: Column, like: Column) -> Column:
 
 
 def date_pseudonym(m: Column, key: str) -> Column:
-    """Another day of the same two centuries, permuted until it is one of them."""
-    left, right = F.lit(271).cast("long"), F.lit(270).cast("long")
-
-    def step(n: Column) -> Column:
-        pair = feistel((n / right).cast("long"), n % right, left, right, F.lit("date"), key)
-        return with_value(pair, lambda p: p["l"] * right + p["r"])
-
+    """Another day of the same two centuries."""
+    left, right = F.lit(DAYS_LEFT).cast("long"), F.lit(DAYS_RIGHT).cast("long")
     n = F.datediff(date_of(m), F.lit(FIRST_DAY).cast("date")).cast("long")
-    day = F.aggregate(F.sequence(F.lit(1), F.lit(12)), step(n), lambda x, _: F.when(x < DAYS, x).otherwise(step(x)))
-    return with_value(F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int")), lambda d: date_shown(d, m))
+    pair = feistel((n / right).cast("long"), n % right, left, right, F.lit("date"), key)
+    day = lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * right + p["r"]).cast("int"))
+    return with_value(with_value(pair, day), lambda d: date_shown(d, m))
 
 
 def is_valid(kind: str, m: Column) -> Column:
@@ -272,52 +314,78 @@ PSEUDONYMS = {
 }
 
 
-def kind_of(m: Column) -> Column:
+def kind_of(m: Column, kinds: list[str] | None = None) -> Column:
     """The kind of a match, null if it fails its kind's test: then it stays as it is."""
-    whole = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
-    return reduce(lambda c, k: c.when(whole[k], F.when(is_valid(k, m), F.lit(k))), PATTERNS, F.when(F.lit(False), F.lit("")))
+    whole = {k: m.rlike(f"^(?:{PATTERNS[k]})$") for k in kinds or PATTERNS}
+    return reduce(lambda c, k: c.when(whole[k], F.when(is_valid(k, m), F.lit(k))), whole, F.when(F.lit(False), F.lit("")))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` pseudonymised and two further columns: pii_kinds (map of kind to count) and pii_found
-    (array of kind, value, pseudonym in text order).
+def parts_of(m: Column) -> Column:
+    """Array of (value, kind), joined together ``m``: itself, or, where it failed as an IBAN, what it holds of other
+    kinds and what lies between (kind null)."""
+    part = lambda value, kind: F.struct(value.alias("value"), kind.alias("kind"))
+    nothing = F.lit(None).cast("string")
+    others = [k for k in PATTERNS if k != "iban"]
 
-    Handles e-mail addresses, IBANs, phone numbers, payment cards, IPv4 addresses, social security numbers and dates.
-    What fails its check digits or calendar stays. A null text stays null with nothing found; an empty one stays empty;
-    rows are independent, so repeated rows and hot groups change nothing; no shuffle. Two columns of that name are
-    overwritten.
-    """
-    may_hold = F.col(text).rlike("[0-9@]")  # most texts have no digit: they skip the long pattern
-    matches = F.when(may_hold, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    kinds = F.transform(F.col("pii_matches"), lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind")))
+    def searched() -> Column:
+        inner = F.transform(F.regexp_extract_all(m, F.lit(INSIDE), F.lit(0)), lambda x: part(x, kind_of(x, others)))
+        gaps = F.transform(F.split(m, INSIDE, -1), lambda x: part(x, nothing))
+        return F.flatten(F.zip_with(gaps, inner, lambda gap, own: F.filter(F.array(gap, own), lambda x: x.isNotNull())))
+
+    alone = lambda kind: F.array(part(m, kind))
+    return with_value(kind_of(m), lambda kind: F.when(kind.isNull() & m.rlike("^[A-Z]{2}[0-9]{2}"), searched()).otherwise(alone(kind)))
+
+
+def with_pseudonyms(docs: DataFrame, key: str, text: str, found: str, counts: str) -> DataFrame:
+    """``docs`` with ``text`` pseudonymised and the columns ``found`` and ``counts``; working columns get names that
+    ``docs`` does not have."""
+    column = F.col(f"`{text}`")
+    parts, done = fresh(docs, "pii_parts"), fresh(docs, "pii_done")
+    may_hold = column.rlike("[0-9@]")  # most texts have no digit: they skip the long pattern
+    none = F.array().cast("array<string>")
+    matches = F.coalesce(F.when(may_hold, F.regexp_extract_all(column, F.lit(ANY), F.lit(0))).otherwise(none), none)
 
     def pseudonym(x: Column) -> Column:
         chain = reduce(lambda c, k: c.when(x["kind"] == k, PSEUDONYMS[k](x["value"], key)), PSEUDONYMS, F.when(F.lit(False), F.lit("")))
         return F.struct(x["kind"].alias("kind"), x["value"].alias("value"), chain.otherwise(x["value"]).alias("pseudonym"))
 
+    shown = lambda all_parts: F.array_join(F.transform(all_parts, lambda x: x["pseudonym"]), "")
     replaced = F.array_join(
-        F.transform(
-            F.split(text, ANY, -1),
-            lambda gap, i: F.concat(gap, F.coalesce(F.get(F.col("pii_all"), i)["pseudonym"], F.lit(""))),
-        ), "",
+        F.transform(F.split(column, ANY, -1), lambda gap, i: F.concat(gap, F.coalesce(shown(F.get(F.col(done), i)), F.lit("")))), "",
     )
-    found = F.filter("pii_all", lambda x: x["kind"].isNotNull())
-    names = F.transform("pii_found", lambda x: x["kind"])
-    counts = F.map_from_entries(F.transform(F.array_sort(F.array_distinct(names)), lambda k: F.struct(k, F.size(F.filter(names, lambda y: y == k)))))
+    kinds = F.transform(found, lambda x: x["kind"])
+    counted = F.map_from_entries(F.transform(F.array_sort(F.array_distinct(kinds)), lambda k: F.struct(k, F.size(F.filter(kinds, lambda y: y == k)))))
     return (
-        docs.withColumn("pii_matches", F.coalesce(matches, F.array().cast("array<string>")))
-        .withColumn("pii_all", F.transform(kinds, pseudonym))
-        .withColumn("pii_found", found)
-        .withColumn(text, F.when(F.size("pii_found") == 0, F.col(text)).otherwise(replaced))
-        .withColumn("pii_kinds", counts)
-        .drop("pii_matches", "pii_all")
+        docs.withColumn(parts, F.transform(matches, parts_of))
+        .withColumn(done, F.transform(parts, lambda of_match: F.transform(of_match, pseudonym)))
+        .withColumn(found, F.filter(F.flatten(done), lambda x: x["kind"].isNotNull()))
+        .withColumn(text, F.when(F.size(found) == 0, column).otherwise(replaced))
+        .withColumn(counts, counted)
+        .drop(parts, done)
     )
 
 
+def pseudonymise(docs: DataFrame, key: str | None = None, text: str = "text") -> DataFrame:
+    """``docs`` with ``text`` pseudonymised and two further columns: pii_kinds (map of kind to count) and pii_found
+    (array of kind, value, pseudonym in text order). The key is an argument, the session's or the cluster's own
+    (`session_key`); who has it can undo the permutations.
+
+    Handles e-mail addresses, IBANs, phone numbers, payment cards, IPv4 addresses, social security numbers and dates.
+    What fails its check digits or calendar stays, but for what it holds of other kinds. A null text stays null with
+    nothing found; an empty one stays empty; texts of any length and shape take time in proportion; rows are
+    independent, so repeated rows and hot groups change nothing; an empty table gives an empty one; no shuffle. Input
+    columns named pii_kinds and pii_found are replaced, all others stay.
+    """
+    return with_pseudonyms(docs, key or session_key(docs.sparkSession), text, "pii_found", "pii_kinds")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymise(docs).select("doc_id", "text", F.size("pii_found").cast("long").alias("n_found"), "pii_kinds")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pseudonymise(docs).select(*docs.columns)
+    """The documents with their texts pseudonymised. All rows and columns stay, whatever they are named; null and empty
+    texts stay as they are; repeated rows stay alike; an empty table stays empty."""
+    found, counts = fresh(docs, "pii_found"), fresh(docs, "pii_kinds")
+    return with_pseudonyms(docs, session_key(spark), "text", found, counts).drop(found, counts)

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, remainder, table
-from .runs import RunTable, slices
+from .common import remainder, sliced, table
+from .runs import RunTable
 
 #: The bound of the labelled sample, chosen by a hash of the ids.
 SAMPLE_DOCS = 4000
@@ -152,13 +152,14 @@ def train_bags(rows: list[tuple[str, int]], seed: int = 5) -> Bags | None:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Bags | None:
-    """A model from at most ``sample_docs`` labelled documents with a crc32(doc_id) mod 5 that is not 0."""
+    """A model from at most ``sample_docs`` labelled documents with a crc32(doc_id) mod 5 that is not 0, chosen by a hash
+    of the id. Of ids that repeat, the smallest text and the highest label count, so that reruns learn the same."""
     usable = labels.where((remainder("doc_id", 5) != 0) & F.col("quality").isin(0, 1)).select("doc_id", "quality")
     # Sorted by a hash of the id and limited: at most sample_docs rows of two numbers, which is what makes them fit to broadcast.
     sample = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality")
-    # One text of each id, and no more rows than the sample has ids.
-    rows = sorted(((r["doc_id"], r["text"], r["quality"]) for r in texts.limit(2 * sample_docs).toLocalIterator()))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("quality").alias("quality"))  # a repeated id is one document
+    rows = sorted((r["doc_id"], r["text"], r["quality"]) for r in one.toLocalIterator())
     return train_bags([(text, quality) for _, text, quality in rows])
 
 
@@ -171,31 +172,29 @@ def score_quality(docs: DataFrame, model: Bags | None, threshold: float = THRESH
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
     added = {"quality_score": "double", "quality_label": "int"} | ({"quality_attention": "array<double>"} if with_passages else {})
-    kept = [c for c in keep or docs.columns if c not in added]
+    kept = [c for c in keep or docs.columns if c.lower() not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         table = RunTable(run_features, most=60_000)
-        for whole in batches:
-            texts = whole.column("text").to_pylist()
-            for start, end in slices(texts):
-                split = [(x or "").split() for x in texts[start:end]]
-                score, attention = np.full(len(split), 0.5), [[] for _ in split]
-                if model is not None and split:
-                    numbers, rows = table.look_up(split)
-                    x, counts = passages(numbers, np.fromiter(map(len, split), np.int64, len(split)), rows)
-                    out = model.forward(x, counts)
-                    score = out["score"]
-                    if with_passages:
-                        attention = [a.tolist() for a in np.split(out["a"], np.cumsum(counts)[:-1])]
-                columns = [*whole.select(kept).slice(start, end - start).columns, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))]
+        for batch in (x for whole in batches for x in sliced(whole, ["text"])):
+            split = [(x or "").split() for x in batch.column("text").to_pylist()]
+            score, attention = np.full(len(split), 0.5), [[] for _ in split]
+            if model is not None and split:
+                numbers, rows = table.look_up(split)
+                x, counts = passages(numbers, np.fromiter(map(len, split), np.int64, len(split)), rows)
+                out = model.forward(x, counts)
+                score = out["score"]
                 if with_passages:
-                    columns.append(pa.array(attention, pa.list_(pa.float64())))
-                yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
+                    attention = [a.tolist() for a in np.split(out["a"], np.cumsum(counts)[:-1])]
+            columns = [*batch.select(kept).columns, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))]
+            if with_passages:
+                columns.append(pa.array(attention, pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
     types = dict(docs.dtypes) | added
     schema = ", ".join(f"`{c}` {types[c]}" for c in [*kept, *added])
-    return in_batches(docs.select(*kept, *["text"] * ("text" not in kept)), run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept], *["text"] * ("text" not in kept)).mapInArrow(run, schema)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

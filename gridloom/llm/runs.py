@@ -9,7 +9,6 @@ from itertools import islice
 import numpy as np
 
 MOST_RUNS = 120_000
-SLICE_CHARS = 1 << 20
 NEW_RUNS = 8_192
 
 
@@ -38,15 +37,3 @@ class RunTable:
             parts = [self.compute(new[i : i + NEW_RUNS]) for i in range(0, len(new), NEW_RUNS)]  # bounds what computing takes
             self.rows = np.concatenate(parts if self.rows is None else [self.rows, *parts])
         return numbers, self.rows if self.rows is not None else self.compute([])
-
-
-def slices(texts: list[str | None], size: int = SLICE_CHARS):
-    """(start, end) of slices of about ``size`` characters."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= size:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)

@@ -11,23 +11,26 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 BATCH_BYTES = 1 << 20
 PIECE_BYTES = 1 << 16
 LIMIT = 2048
-SLICE = 1024
 CACHED_RUNS = 400_000
 ASCII_SPACE = dict.fromkeys(map(ord, "\t\n\r\x0b\x0c"), " ")
 
 
+def utf8_size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 def pieces(text: str, size: int) -> Iterator[str]:
-    """``text`` in parts of about ``size`` characters, cut before a space or line feed.
+    """``text`` in parts of about ``size`` bytes, cut before a space or line feed.
 
     No word, no special string and no composed character reaches across white space, so the parts' counts add up. A
     text without white space stays whole.
     """
-    at = 0
+    at, size = 0, max(1, size * len(text) // max(1, utf8_size(text)))  # as many characters as have so many bytes
     while len(text) - at > size:
         cut = max(text.rfind(" ", at + 1, at + size), text.rfind("\n", at + 1, at + size))
         if cut < 0:
@@ -41,15 +44,15 @@ def pieces(text: str, size: int) -> Iterator[str]:
 
 
 def balanced(texts: list[str], batch_bytes: int, piece_bytes: int | None) -> Iterator[tuple[list[int], list[str]]]:
-    """(which text, its part) in calls of about ``batch_bytes``."""
+    """(which text, its part) in calls of about ``batch_bytes`` bytes of UTF-8."""
     owners: list[int] = []
     call: list[str] = []
     held = 0
     for i, text in enumerate(texts):
-        for piece in pieces(text, piece_bytes) if piece_bytes and len(text) > piece_bytes else (text,):
+        for piece in pieces(text, piece_bytes) if piece_bytes and len(text) * 4 > piece_bytes and utf8_size(text) > piece_bytes else (text,):
             owners.append(i)
             call.append(piece)
-            held += len(piece)
+            held += utf8_size(piece)
             if held >= batch_bytes:
                 yield owners, call
                 owners, call, held = [], [], 0
@@ -115,8 +118,7 @@ def count_tokens(
         count = encoder_of(model.value, is_json)
         known: dict[str, int] = {}
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(start, SLICE)
+            for batch in sliced(whole, ["text"]):
                 texts = pc.fill_null(batch.column("text"), "")
                 totals = [0] * batch.num_rows
                 for owners, call in balanced(texts.to_pylist(), batch_bytes, piece_bytes if is_json else None):

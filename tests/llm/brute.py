@@ -1,5 +1,6 @@
 """Plain versions of what the pipeline's stages do, a document after another, for small tables."""
 
+import datetime
 import hashlib
 import re
 
@@ -54,7 +55,10 @@ def classes(docs):
     return {i: root(i) for i in ids}
 
 
-def feistel(left, right, left_size, right_size, tweak, key=pii.KEY):
+KEY = "a key of the tests"
+
+
+def feistel(left, right, left_size, right_size, tweak, key=KEY):
     for i in range(1, 9):
         hashed = lambda half: int(hashlib.sha256(f"{key}|{tweak}|{i}|{half}".encode()).hexdigest()[:15], 16)  # noqa: B023, E731
         if i % 2:
@@ -70,6 +74,34 @@ def permuted(d, tweak):
     return f"{left:0{half}d}{right:0{rest}d}"
 
 
+def moved(text, other, side, i):
+    draws = "".join(hashlib.sha512(f"{KEY}|email|{side}|{i}|{b}|{other}".encode()).hexdigest() for b in range(len(text) // 32 + 1))
+    out = ""
+    for k, c in enumerate(text):
+        draw = int(draws[4 * k : 4 * k + 4], 16)
+        low, size = ("0", 10) if c in "0123456789" else ("a", 26) if "a" <= c <= "z" else ("A", 26) if "A" <= c <= "Z" else (c, 1)
+        out += chr((ord(c) - ord(low) + draw) % size + ord(low))
+    return out
+
+
+def iban_rest(text):
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
+
+
+def as_date(m):
+    """(date, order of the parts) or None."""
+    parts = list(map(int, re.split(r"[./\-]", m)))
+    orders = ("ymd",) if re.match(r"\d{4}", m) else ("dmy",) if "." in m else ("dmy", "mdy")
+    for order in orders:
+        y, mo, d = (parts[order.index(x)] for x in "ymd")
+        try:
+            found = datetime.date(y, mo, d)
+        except ValueError:
+            continue
+        return (found, order) if 1900 <= y <= 2099 else None
+    return None
+
+
 def luhn(d):
     total = 0
     for i, c in enumerate(reversed(d)):
@@ -84,33 +116,61 @@ def refilled(text, digits):
 
 
 def pseudonym(kind, m):
+    """The pseudonym of a match, None if its check digits or the calendar say that it is none."""
     d = re.sub("[^0-9]", "", m)
     if kind == "email":
         rest, top = m[: m.rindex(".") + 1], m[m.rindex(".") + 1 :]
-        out = ""
-        for i, c in enumerate(rest, 1):
-            draw = int(hashlib.sha256(f"{pii.KEY}|email|{rest.lower()}|{i}".encode()).hexdigest()[:8], 16)
-            out += chr(48 + draw % 10) if c.isdigit() else chr(97 + draw % 26) if c.islower() else chr(65 + draw % 26) if c.isupper() else c
-        return out + top
+        left, right = rest[: len(rest) // 2], rest[len(rest) // 2 :]
+        for i in range(1, 9):
+            if i % 2:
+                left = moved(left, right.lower(), "l", i)
+            else:
+                right = moved(right, left.lower(), "r", i)
+        return left + right + top
+    if kind == "phone" and m.startswith("+") and not m.startswith("+1"):
+        return refilled(m, d[:3] + permuted(d[3:], "phone" + d[:3]))
     if kind == "phone":
         ten = d[-10:]
         p = permuted(ten[1:3] + ten[4:], "phone")
         return refilled(m, d[:-10] + ten[0] + p[:2] + ten[3] + p[2:])
     if kind == "card":
-        return refilled(m, luhn(d[0] + permuted(d[1:-1], d[0]))) if luhn(d[:-1]) == d else m
+        return refilled(m, luhn(d[0] + permuted(d[1:-1], d[0]))) if luhn(d[:-1]) == d else None
     if kind == "ip":
         a, b, c, e = map(int, m.split("."))
         left, right = feistel(a * 256 + b, c * 256 + e, 65536, 65536, "ip")
         return ".".join(map(str, (left // 256, left % 256, right // 256, right % 256)))
-    raise NotImplementedError(kind)
+    if kind == "ssn":
+        a, g, n = map(int, m.split("-"))
+        place, serial = feistel((a - (2 if a > 666 else 1)) * 99 + g - 1, n - 1, 898 * 99, 9999, "ssn")
+        area = place // 99 + 1
+        return f"{area + (area >= 666):03d}-{place % 99 + 1:02d}-{serial + 1:04d}"
+    if kind == "iban":
+        plain = m.replace(" ", "")
+        if iban_rest(plain) != 1:
+            return None
+        digits = re.sub("[^0-9]", "", plain[4:])
+        account = refilled(plain[4:], permuted(digits, plain[:2])) if len(digits) > 1 else plain[4:]
+        check = 98 - iban_rest(plain[:2] + "00" + account)
+        return refilled(m, f"{check:02d}" + re.sub("[^0-9]", "", account))
+    found = as_date(m)
+    if found is None:
+        return None
+    n = (found[0] - datetime.date(1900, 1, 1)).days
+    left, right = feistel(n // 4297, n % 4297, 17, 4297, "date")
+    other = datetime.date(1900, 1, 1) + datetime.timedelta(left * 4297 + right)
+    bare = re.search(r"(?<!\d)\d(?!\d)", m)
+    shown = {"y": str(other.year), "m": str(other.month) if bare else f"{other.month:02d}", "d": str(other.day) if bare else f"{other.day:02d}"}
+    return re.search(r"[./\-]", m)[0].join(shown[x] for x in found[1])
 
 
 def pseudonymised(text):
-    """For American phones, cards, addresses of both kinds; the other kinds do not occur in the given tables."""
-
-    def one(m):
-        kind = next(k for k, p in pii.PATTERNS.items() if regex.fullmatch(p, m[0]))
-        return pseudonym(kind, m[0])
+    def one(m, kinds=tuple(pii.PATTERNS)):
+        kind = next(k for k in kinds if regex.fullmatch(pii.PATTERNS[k], m[0]))
+        other = pseudonym(kind, m[0])
+        if other is None and re.match(r"[A-Z]{2}\d\d", m[0]):
+            rest = tuple(k for k in kinds if k != "iban")
+            return regex.sub(pii.INSIDE, lambda x: one(x, rest), m[0])
+        return m[0] if other is None else other
 
     return regex.sub(pii.ANY, one, text)
 

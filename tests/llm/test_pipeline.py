@@ -9,6 +9,13 @@ from . import brute
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
+@pytest.fixture(autouse=True)
+def the_key(spark):
+    spark.conf.set(pii.KEY_SETTING, brute.KEY)
+    yield
+    spark.conf.unset(pii.KEY_SETTING)
+
+
 def test_pii_query_against_brute_force(spark, small):
     texts = {r["doc_id"]: r["text"] for r in table(spark, small.replace("sf0.001", "sf0.01"), "documents").collect()}
     found = pii.op4_pii(spark, small.replace("sf0.001", "sf0.01")).collect()
