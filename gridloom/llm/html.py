@@ -11,40 +11,46 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import sliced, stored, table
 
 #: A subtree is template if it stands on so many pages of different content of its host and on such a share of them.
 TEMPLATE_PAGES = 5
 TEMPLATE_SHARE = 0.3
-SLICE = 256
 
-# Fixed values of HTML: elements without content, elements whose content is no markup, elements that do not begin a
-# block, and elements that end an open one of the same kind.
+# Fixed values of HTML: elements without content, elements whose content is no markup, elements that begin a block (all
+# others, known or not, stand within a line), and elements that end an open one of the same kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr br".split()
+BLOCKS = frozenset(
+    "html head body address article aside blockquote caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr legend li listing main menu nav ol optgroup option p pre search section "
+    "summary table tbody td tfoot th thead tr ul".split()
 )
 ALONE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption address".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# What is no article: elements, roles, and words in class or id.
-NO_ARTICLE = frozenset(
-    "head nav footer aside form dialog menu button select textarea script style noscript template iframe svg canvas "
-    "object audio video title xmp noembed noframes math datalist".split()
-)
+# What is no article: elements that go with all they hold and end no block, elements that begin one, roles.
+LEFT_OUT = frozenset("script style noscript template iframe svg canvas object audio video math datalist select button textarea title xmp noembed noframes".split())
+NO_ARTICLE = frozenset("head nav footer aside form dialog menu".split())
 NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-NO_ARTICLE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent gdpr "
-    "notice notices notification sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar header comment "
-    "comments disqus reply replies share sharing social subscribe subscription newsletter signup login popup modal overlay related "
-    "recommended widget toolbar pagination pager hidden copyright skip".split()
+# Words that name what is no article: for sure, if it holds no more than half of the text, and within a line.
+SURE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "comment comments disqus reply replies related recommended".split()
+)
+DOUBTFUL_WORDS = frozenset(
+    "banner notice notices notification sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar header share sharing "
+    "social subscribe subscription newsletter signup login popup modal overlay widget toolbar pagination pager hidden copyright skip".split()
 )
-# Of these words, those that also name a page's layout: they do not make what holds most of the text no article. And
-# those by which an article or main element is none.
-LAYOUT_WORDS = frozenset("sidebar header footer menu nav navbar banner topbar masthead widget hidden overlay modal popup notice".split())
+INLINE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsbygoogle sponsored promo share sharing skip".split())
+# Of these, those by which an article or main element is none.
 NOT_THE_ARTICLE = frozenset("comment comments disqus reply replies related recommended sponsored promo promotion ad ads advert".split())
+# Words behind the one that says what a thing is: an ad-box is an ad, a header-link no header, a social-policy not social.
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box button buttons cell column container content cta desktop form global group holder icons inner item items "
+    "left links list main mobile outer panel post posts articles primary region right row secondary section slot this to top trail unit "
+    "wrap wrapper".split()
+)
 
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)",
@@ -69,34 +75,61 @@ def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if text else {}
 
 
+def named(label: str) -> set[str]:
+    """What the names of a class or id call the element: of each name its last word that is no plain one."""
+    found = set()
+    for name in label.split():
+        words = [x.lower() for x in NAME_PART.findall(name) if len(x) > 1 and not x.isdigit()]
+        while len(words) > 1 and words[-1] in PLAIN_WORDS:
+            words.pop()
+        found.update(words[-1:])
+    return found
+
+
 def judged(tag: str, attrs: dict[str, str]) -> tuple[str, int, bool]:
-    """(label, whether it is no article, whether it is a main part) of an element. No article: 2 for sure, 1 by a word
-    that may also name a page's layout, 0 not."""
+    """(label, whether it is no article, whether it is a main part) of an element. No article: 2 for sure, 1 unless it
+    holds most of the text, 0 not. Within a line words only tell adverts, share buttons and skip links."""
     role = attrs.get("role", "").lower()
     label = f"{attrs.get('class', '')} {attrs.get('id', '')}".strip()
-    words = {x.lower() for x in NAME_PART.findall(label)} & NO_ARTICLE_WORDS if label else set()
+    words = named(label) if label else set()
     main = tag in ("article", "main") or role in ("main", "article") or "articlebody" in attrs.get("itemprop", "").lower()
     hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or bool(
         re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I)
     )
     if tag in NO_ARTICLE or role in NO_ARTICLE_ROLES or hidden:
         return label, 2, main
+    if tag not in BLOCKS:
+        return label, 2 if words & INLINE_WORDS else 0, main
     if main:
-        words &= NOT_THE_ARTICLE
-    if not words or tag in ("html", "body"):
+        return label, 2 if words & NOT_THE_ARTICLE else 0, main
+    if tag in ("html", "body"):
         return label, 0, main
-    return label, 1 if words <= LAYOUT_WORDS else 2, main
+    return label, 2 if words & SURE_WORDS else 1 if words & DOUBTFUL_WORDS else 0, main
+
+
+def ends_of(text: str, tag: str) -> dict[int, int]:
+    """Where each element ``tag`` that begins somewhere ends; one that is never closed has no entry."""
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", text, re.I):
+        if m[1]:
+            if opened:
+                ends[opened.pop()] = m.end()
+        elif not (tag in ("svg", "math") and m[0].endswith("/>")):
+            opened.append(m.start())
+    return ends
 
 
 def parse(text: str) -> Node:
     """The page's tree of elements and blocks.
 
     As browsers do: a block ends an open paragraph, list and table parts end their like, an end tag without a start is
-    passed over, one with a start ends all that is open above it. Elements inside a line only matter where they are no
-    article.
+    passed over, one with a start ends all that is open above it. What stands within a line ends no block: of it only
+    what is no article matters. Scripts, buttons, drawings and the like go with what they hold, and the line goes on.
     """
     root = Node("#page", "", None, 0, False)
     at, here, run, skip_inline = 0, root, [], []
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         if run:
@@ -121,8 +154,19 @@ def parse(text: str) -> Node:
         if not name:
             continue
         tag = name.lower()
+        if tag in LEFT_OUT:
+            if m[1]:
+                continue
+            if tag in RAW:
+                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(text, at)
+                at = end.end() if end else len(text)
+                continue
+            if tag not in ends:
+                ends[tag] = ends_of(text, tag)
+            at = max(at, ends[tag].get(m.start(), at))
+            continue
         if m[1]:
-            if tag in INLINE:
+            if tag not in BLOCKS:
                 if skip_inline and skip_inline[-1] == tag:
                     skip_inline.pop()
                 continue
@@ -135,11 +179,10 @@ def parse(text: str) -> Node:
             else:
                 flush()
             continue
-        if tag in INLINE:
-            if tag in ("br", "wbr", "img"):
+        if tag not in BLOCKS:
+            if tag in VOID:
                 run.append(" " if tag == "br" else "")
-                continue
-            if skip_inline:
+            elif skip_inline:
                 skip_inline += [tag] * (skip_inline[-1] == tag)
             elif m[3] and judged(tag, attributes(m[3]))[1]:
                 skip_inline.append(tag)
@@ -150,17 +193,13 @@ def parse(text: str) -> Node:
             close_to(here)
         for like in ALONE.get(tag, ()):
             node = here
-            while node.up is not None and node.tag != like and node.tag not in ("ul", "ol", "dl", "table", "menu", "select", "article", "main"):
+            while node.up is not None and node.tag != like and node.tag not in ("ul", "ol", "dl", "table", "menu", "article", "main"):
                 node = node.up
             if node.tag == like:
                 close_to(node)
         if tag in VOID:
             continue
         label, out, main = judged(tag, attributes(m[3]))
-        if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(text, at)
-            at = end.end() if end else len(text)
-            continue
         node = Node(tag, label, here, max(out, 1) if tag == "header" else out, main)
         here.items.append(node)
         here = node
@@ -317,8 +356,7 @@ def host_templates(pages: DataFrame, least_pages: int, least_share: float) -> Da
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(start, SLICE)
+            for batch in sliced(whole, ["html"]):
                 hosts, contents, found = [], [], []
                 for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                     root = parse(text or "")
@@ -331,12 +369,11 @@ def host_templates(pages: DataFrame, least_pages: int, least_share: float) -> Da
 
     seen = pages.select("host", "html").mapInArrow(emit, "host string, content long, subtree long")
     counts = seen.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    counted = counts.where((F.col("n") >= least_pages) | (F.col("subtree") == 0))
-    by_host = counted.groupBy("host").agg(
-        F.max(F.when(F.col("subtree") == 0, F.col("n"))).alias("contents"), F.collect_list(F.struct("subtree", "n")).alias("all")
-    )
-    many = F.filter("all", lambda x: (x["subtree"] != 0) & (x["n"] >= F.col("contents") * least_share))
-    return by_host.select(F.col("host").alias("of"), F.transform(many, lambda x: x["subtree"]).alias("template"))
+    counts = stored(counts.where((F.col("n") >= least_pages) | (F.col("subtree") == 0)), "html-counts")
+    contents = counts.where("subtree = 0").select("host", F.col("n").alias("contents"))
+    # The share goes first, so that a host's list has at most (subtrees of a page) / least_share hashes, however many pages it has.
+    often = counts.where(f"subtree <> 0 and n >= {int(least_pages)}").join(contents, "host").where(F.col("n") >= F.col("contents") * least_share)
+    return often.groupBy("host").agg(F.collect_list("subtree").alias("template")).withColumnRenamed("host", "of")
 
 
 def extract_articles(
@@ -360,8 +397,7 @@ def extract_articles(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(start, SLICE)
+            for batch in sliced(whole, ["html"]):
                 texts = []
                 for text, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
                     root = parse(text or "")
