@@ -49,6 +49,18 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has a row for each ``key`` at most; rows without one fall away.
+
+    However many rows have the same key, no task gets them all: they are dealt over as many parts as there are shuffle
+    partitions, by a hash of the column ``by``, and the key's facts go to each part that has a row of it.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    needed = dealt.select(key, "_part").distinct().join(facts, key)
+    return dealt.join(needed, [key, "_part"]).drop("_part")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -8,20 +8,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, stored, table
+from .common import discard, fresh, sliced, spread_join, stored, table
 from .components import connected
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, MINIMA = 16, 3
-#: In buckets of up to so many texts all are compared; in larger ones with hubs, in so many rounds, then in tiles.
-SMALL_BUCKET = 12
+#: Each bucket's texts are compared with its hub, so many hubs one after another, then in tiles of this size.
 ROUNDS = 2
 TILE_A, TILE_B = 128, 512
+#: Pairs that share one copy of the hub's text.
+PAIRS_OF_PART = 256
 SLICE_BYTES = 1 << 20
 # Odd constants for hashing, ASCII white space.
 PRIME = np.uint64(0x100000001B3)
@@ -155,14 +155,6 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return common / (len(a) + len(b) - common)
 
 
-def sliced(batch: pa.RecordBatch, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose texts have about SLICE_BYTES."""
-    sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(x)), 0)).astype(np.int64) for x in names)
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
-    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-        yield batch.slice(start, end - start)
-
-
 def sketched(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, keys): the text's md5 and its sketches; a text without a word has none, a null text no digest."""
 
@@ -178,12 +170,19 @@ def sketched(docs: DataFrame) -> DataFrame:
                     ["doc_id", "digest", "keys"],
                 )
 
-    read = docs.select("doc_id", F.md5("text").alias("digest"), F.encode("text", "UTF-8").alias("text"))
-    return read.mapInArrow(run, "doc_id long, digest string, keys array<long>")
+    read = docs.select("doc_id", digest_of().alias("digest"), F.encode("text", "UTF-8").alias("text"))
+    return read.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, digest binary, keys array<long>")
+
+
+def digest_of():
+    return F.unhex(F.md5("text"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose texts' similarity is at least ``least``."""
+    """Those (a, b) of ``pairs``, a table, whose texts' similarity is at least ``least``.
+
+    A hub has any number of pairs: they are dealt into parts of about PAIRS_OF_PART, and each part gets the hub's text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -194,16 +193,37 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 part = lambda i: labelled[ends[i] - counts[i] : ends[i]]  # noqa: B023, E731
                 yield batch.select(["a", "b"]).filter(pa.array([similarity(part(i), part(n + i), least) >= least for i in range(n)], pa.bool_()))
 
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-    return in_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text"), run, "a long, b long")
+    parts = max(1, -(-pairs.count() // PAIRS_OF_PART))
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)))
+    a = dealt.select("a", "part").distinct().join(texts.select(F.col("digest").alias("a"), F.col("text").alias("a_text")), "a")
+    b = dealt.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("b_text")), "b")
+    return b.join(a, ["a", "part"]).select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text as bytes) of the documents in ``ids``; one row an id, the text of its representative."""
+    """(digest, text as bytes) of the texts in ``ids`` (digest, doc_id), read from the rows of that id alone, so that of
+    a text with any number of copies one is moved."""
+    own = docs.where(F.col("text").isNotNull()).select("doc_id", "text", digest_of().alias("digest"))
+    first = ids.select(F.col("doc_id").alias("first_id"), F.col("digest").alias("first_digest"))
     # A merge at every size: what is shuffled grows in proportion, and no list of ids is sent whole to every executor.
-    found = docs.where(F.col("text").isNotNull()).join(ids.hint("merge"), "doc_id", "left_semi")
-    return found.groupBy("doc_id").agg(F.encode(F.min("text"), "UTF-8").alias("text"))
+    found = own.join(first.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest")), "left_semi")
+    return found.groupBy("digest").agg(F.encode(F.first("text"), "UTF-8").alias("text"))
+
+
+def hot_buckets(buckets: DataFrame, partitions: int) -> DataFrame:
+    """(bucket) of those that hold more than a quarter of what a partition would get of all rows: at most four times as
+    many as there are partitions, as their rows cannot be more than all. That bound lets them be broadcast."""
+    rows = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()["rows"]
+    return buckets.where(F.col("n") > rows / (4 * partitions)).select("bucket")
+
+
+def of_buckets(rows: DataFrame, facts: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with the ``facts`` of their bucket. Rows of hot buckets stay where they are and get a broadcast of the
+    few facts of those; the others meet theirs in a shuffle."""
+    few = F.broadcast(hot)  # see hot_buckets for the bound
+    return rows.join(F.broadcast(facts.join(few, "bucket", "left_semi")), "bucket").unionByName(
+        rows.join(few, "bucket", "left_anti").join(facts, "bucket")
+    )
 
 
 def shingle_lists(texts: list[bytes]) -> list[np.ndarray]:
@@ -244,7 +264,7 @@ def links_of_tile(a_texts: list[bytes], b_texts: list[bytes], apart: np.ndarray,
     return np.array(rows, np.int64), np.array(cols, np.int64)
 
 
-def rest_of_buckets(known: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def rest_of_buckets(known: DataFrame, texts: DataFrame, hot: DataFrame, least: float) -> DataFrame:
     """Links (a, b) among (bucket, rep, component): in each bucket every text outside its largest component is compared
     with all texts of other components, in tiles of bounded size, so that a bucket of any size is shared out."""
     counts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
@@ -253,7 +273,7 @@ def rest_of_buckets(known: DataFrame, texts: DataFrame, least: float) -> DataFra
     ).where("n_out > 0").select(
         "bucket", "largest", F.ceil(F.col("n_out") / TILE_A).cast("int").alias("a_blocks"), F.ceil(F.col("n_all") / TILE_B).cast("int").alias("b_blocks")
     )
-    rows = known.join(stored(shape, "open-shapes"), "bucket")
+    rows = of_buckets(known, stored(shape, "open-shapes"), hot)
 
     def dealt(own: str, n_own: str, other: str, n_other: str) -> DataFrame:
         block = F.pmod(F.xxhash64("rep", "bucket"), F.col(n_own)).cast("int")
@@ -262,67 +282,58 @@ def rest_of_buckets(known: DataFrame, texts: DataFrame, least: float) -> DataFra
     a = dealt("a_block", "a_blocks", "b_block", "b_blocks").where("component <> largest")
     b = dealt("b_block", "b_blocks", "a_block", "a_blocks")
     named = ["bucket", "a_block", "b_block", "rep", "component", "text"]
-    text = texts.select(F.col("doc_id").alias("rep"), "text")
+    text = texts.select(F.col("digest").alias("rep"), "text")
     tile = ["bucket", "a_block", "b_block"]
 
     def compare(x, y):
         import pandas as pd
 
         if x.empty or y.empty:
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+            return pd.DataFrame({"a": [], "b": []})
         apart = x["component"].to_numpy()[:, None] != y["component_2"].to_numpy()[None]
         i, j = links_of_tile(list(x["text"]), list(y["text_2"]), apart, least)
-        one, two = x["rep"].to_numpy()[i], y["rep_2"].to_numpy()[j]
-        return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)})
+        return pd.DataFrame({"a": x["rep"].to_numpy()[i], "b": y["rep_2"].to_numpy()[j]})
 
     # The sides come of the same rows, so one gets names and columns of its own.
     left = a.join(text, "rep").select(*named).groupBy(*tile)
     right = b.join(text, "rep").select(*named).toDF(*[f"{c}_2" for c in named]).groupBy(*[f"{c}_2" for c in tile])
-    return left.cogroup(right).applyInPandas(compare, "a long, b long").distinct()
+    return left.cogroup(right).applyInPandas(compare, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id, class_size, n_links, is_first of every row of ``docs``.
-
-    Equal texts are one class at once, by digest. Representatives that share an order-MinHash bucket are candidates:
-    all pairs in small buckets; in larger ones each text with the bucket's hub, then texts that are not in the hub's
-    component with another hub, then, in tiles, what still lies outside a bucket's largest component with all texts of
-    other components. So each pair that shares a bucket is compared or already of one class. Links are pairs of similarity ``least`` or more, classes their connected
-    components, class_id the smallest doc_id. n_links counts the links found of the text to different texts. is_first
-    marks the rows whose doc_id is their class_id.
-
-    A null text is alone in its class; texts without a word only equal each other if they are the same text; rows
-    repeating a doc_id each get a row; an empty table gives an empty one; other columns are not read. A pair of
-    similarity 0.8 misses all 16 buckets about once in 100,000 times.
-    """
+def classes_of(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, digest) of every row, (digest, class_key, class_id, class_size, head) of every text): the key of a class
+    is its smallest digest; its head, the text that stays, is that of its smallest doc_id (null ones last)."""
+    spark = docs.sparkSession
     rows = stored(sketched(docs), "sketches")
-    texts = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    texts = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys")
+    )
     texts = stored(texts, "texts")
-    in_buckets = texts.select("rep", F.posexplode("keys").alias("sketch", "key")).select("rep", F.xxhash64("sketch", "key").alias("bucket"))
-    several = in_buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
-    held = stored(in_buckets.join(several, "bucket"), "buckets")
-
-    small = held.where(F.col("n") <= SMALL_BUCKET).select("bucket", "rep")
-    lists = small.groupBy("bucket").agg(F.array_sort(F.collect_list("rep")).alias("reps"))  # SMALL_BUCKET ids at most
-    inner = lists.select(F.posexplode("reps").alias("at", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("at") + 2, SMALL_BUCKET)).alias("b"))
-    large = held.where(F.col("n") > SMALL_BUCKET)
-    star = large.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    tried = stored(inner.union(star).distinct(), "pairs")
-    bodies = stored(texts_of(docs, held.select(F.col("rep").alias("doc_id")).distinct()), "pair-texts")
+    in_buckets = texts.select(F.col("digest").alias("rep"), F.posexplode("keys").alias("sketch", "key")).select("rep", F.xxhash64("sketch", "key").alias("bucket"))
+    buckets = stored(in_buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1"), "bucket-sizes")
+    hot = stored(hot_buckets(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "hot-buckets")
+    held = stored(of_buckets(in_buckets, buckets.select("bucket", "hub"), hot), "buckets")
+    ids = texts.join(held.select(F.col("rep").alias("digest")).distinct(), "digest", "left_semi").select("digest", "first.doc_id")
+    bodies = stored(texts_of(docs, ids), "pair-texts")
+
+    tried = stored(held.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = stored(verified(tried, bodies, least), "found")
     component = connected(links)
 
+    def labelled() -> DataFrame:
+        """(bucket, rep, component) with the components known so far."""
+        own = held.join(component, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+        return stored(own, "open-buckets")
+
     for turn in range(1, ROUNDS):
-        known = large.select("bucket", "rep").join(component, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-        known = stored(known, "open-buckets")
-        # The hub of this turn: the text of lowest hash, another one each turn.
+        known = labelled()
+        # The hub of this turn: the text of lowest hash, another one each turn. Buckets of one component are done.
         hubs = known.groupBy("bucket").agg(
             F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn), "bucket")).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low <> high")
-        pairs = known.join(hubs, "bucket").where(F.col("component") != F.col("hub.component")).select(
-            F.least("rep", F.col("hub.rep")).alias("a"), F.greatest("rep", F.col("hub.rep")).alias("b")
-        ).distinct()
+        ).where("low <> high").select("bucket", "hub")
+        pairs = of_buckets(known, stored(hubs, "hubs"), hot).where("component <> hub.component").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        discard(known)
         if pairs.isEmpty():
             break
         more = stored(verified(pairs, bodies, least), "found")
@@ -330,26 +341,44 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         if not more.isEmpty():
             component = connected(links)
 
-    known = large.select("bucket", "rep").join(component, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    more = stored(rest_of_buckets(stored(known, "open-buckets"), bodies, least), "found")
+    known = labelled()
+    more = stored(rest_of_buckets(known, bodies, hot, least), "found")
     if not more.isEmpty():
-        links = links.union(more).distinct()
-        component = connected(links)
-
-    ends = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
-    by_text = (
-        texts.select("digest", "rep", "copies")
-        .join(component.withColumnRenamed("id", "rep"), "rep", "left").join(ends.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("digest", F.coalesce("component", "rep").alias("class_id"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        component = connected(links.union(more))
+
+    by_text = texts.join(component, F.col("digest") == F.col("id"), "left").select("digest", "first", "copies", F.coalesce("component", "digest").alias("class_key"))
+    by_text = stored(by_text, "keys")
+    facts = by_text.groupBy("class_key").agg(F.sum("copies").alias("class_size"), F.min(F.struct("first.none", "first.doc_id", "digest")).alias("least"))
+    classes = spread_join(by_text, facts, "class_key", by="digest")
+    classes = stored(classes.select("digest", "class_key", F.col("least.doc_id").alias("class_id"), "class_size", F.col("least.digest").alias("head")), "classes")
+    discard(texts, buckets, held, bodies, known, by_text)
+    return rows.select("doc_id", "digest"), classes
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id, class_key, class_size, is_first of every row of ``docs``.
+
+    Equal texts are one class at once, by digest; whatever their doc_ids, different texts are different nodes. Texts that
+    share an order-MinHash bucket are candidates: each is compared with the bucket's hub, then texts that are not in the
+    hub's component with another hub, then, in tiles, what still lies outside a bucket's largest component with all
+    texts of other components. So each pair that shares a bucket is compared or already of one class, at every size.
+    Links are pairs of similarity ``least`` or more, classes their connected components.
+
+    class_id is the smallest doc_id of the class (null if it has none), class_key its smallest text digest, which tells
+    classes apart whose texts have the same doc_id. is_first marks the rows of the text and id that the class keeps:
+    rows repeating both are all marked. A null text is alone in its class, its class_id its doc_id and its class_key
+    null; texts without a word only equal each other if they are the same text; an empty table gives an empty one;
+    other columns are not read. A pair of similarity 0.8 misses all 16 buckets about once in 100,000 times.
+    """
+    rows, classes = classes_of(docs, least)
+    known = spread_join(rows.where("digest is not null"), classes, "digest", by="doc_id").select(
+        "doc_id", "class_id", F.lower(F.hex("class_key")).alias("class_key"), F.col("class_size").cast("long").alias("class_size"),
+        ((F.col("digest") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("is_first"),
     )
-    by_text = stored(by_text, "classes")
-    sizes = by_text.groupBy("class_id").agg(F.sum("copies").alias("class_size"))
-    sized = by_text.join(sizes, "class_id").select("digest", "class_id", "class_size", "n_links")
-    own = F.coalesce("class_id", "doc_id")
-    return rows.select("doc_id", "digest").join(sized, "digest", "left").select(
-        "doc_id", own.alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (own == F.col("doc_id")).alias("is_first"),
+    alone = rows.where("digest is null").select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("string").alias("class_key"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("is_first")
     )
+    return known.unionByName(alone)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,8 +386,18 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one of the smallest id; of rows repeating that id, one."""
-    classes = near_duplicates(docs)
-    kept = docs.join(classes.where("is_first").select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select(*docs.columns)
-    repeated = classes.groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    """One document of each class stays: of its smallest doc_id (null ones last) the smallest digest. Of rows that repeat
+    both, the first stays by all its columns in JSON, so reruns agree. Null texts are no copies of each other and stay;
+    other columns stay, whatever they are named; an empty table stays empty."""
+    rows, classes = classes_of(docs)
+    heads = classes.where("digest = head").select(F.col("class_id").alias("head_id"), F.col("head").alias("head_digest"))
+    digest = fresh(docs, "text_digest")
+    own = docs.withColumn(digest, digest_of())
+    of_head = F.col(f"{digest}") == F.col("head_digest")
+    kept = own.where(F.col("text").isNotNull()).join(heads.hint("merge"), F.col("doc_id").eqNullSafe(F.col("head_id")) & of_head, "left_semi")
+    repeated = rows.where("digest is not null").groupBy("doc_id", "digest").count().where("count > 1")
+    if not repeated.isEmpty():
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = kept.groupBy("doc_id", digest).agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*names).unionByName(docs.where(F.col("text").isNull()).select(*names))

@@ -173,10 +173,63 @@ def test_repeated_rows_leave_one(spark):
     docs = docs_of(spark, ["a b c d e f", "x y"])
     twice = docs.union(docs)
     assert near_dedup.near_duplicates(twice).count() == 4
-    assert near_dedup.near_dedup_stage(spark, twice, "").count() == 2
+    assert sorted(near_dedup.near_dedup_stage(spark, twice, "").collect()) == sorted(docs.collect())
     assert near_dedup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_ids_that_repeat_or_are_null(spark):
+    a, b = "one two three four five six seven eight", "quite another text with no word of the first in it"
+    longer = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, a), (1, b), (2, longer), (3, longer + " more"), (None, "alone here with a null id"), (None, None), (7, None), (None, longer), (None, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, str(k)) for k, (i, t) in enumerate(rows)], DOCS)
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    keys = {r["class_key"] for r in found if r["class_id"] == 1}
+    assert len(keys) == 2 and sorted(r["class_size"] for r in found if r["class_id"] == 1) == [1, 2, 2]
+    assert sorted((r["class_id"], r["class_size"]) for r in found if r["class_id"] in (2, 3)) == [(2, 3)] * 3
+    kept = sorted((r["doc_id"] or -1, r["text"] or "") for r in near_dedup.near_dedup_stage(spark, docs, "").collect())
+    assert kept == sorted([(1, a), (1, b), (2, longer), (-1, "alone here with a null id"), (-1, ""), (7, "")])
+    assert sum(r["is_first"] for r in found) == len(kept)
+
+
+@pytest.mark.parametrize("copies", [12, 13, 100, 1000])
+def test_groups_of_near_copies_of_any_size(spark, copies):
+    import random
+
+    draw = random.Random(copies)
+    words = [f"w{draw.randrange(5000)}" for _ in range(120)]
+    texts = ["a text by itself that shares nothing", " ".join(words)]
+    for i in range(copies):
+        own = list(words)
+        own[draw.randrange(120)] = f"changed{i}"
+        texts.append(" ".join(own))
+    apart = [" ".join(words[:60] + [f"x{i}y{j}" for j in range(60)]) for i in range(5)]  # half in common, so no copies
+    found = {r["doc_id"]: r for r in near_dedup.near_duplicates(docs_of(spark, texts + apart)).collect()}
+    assert {found[i]["class_id"] for i in range(1, copies + 2)} == {1} and found[5]["class_size"] == copies + 1
+    assert found[0]["class_size"] == 1 and all(found[len(texts) + i]["class_size"] == 1 for i in range(5))
+
+
+def test_every_pair_of_the_similarity_is_in_one_class(spark, small):
+    """Recall: all pairs of the table's texts by brute force on word shingles."""
+    texts = {r["doc_id"]: r["text"] for r in table(spark, small.replace("sf0.001", "sf0.01"), "documents").collect()}
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(table(spark, small.replace("sf0.001", "sf0.01"), "documents")).collect()}
+    lists = {i: brute.labelled(t or "") for i, t in texts.items()}
+    by_shingle = {}
+    for i, own in lists.items():
+        for x in set(own):
+            by_shingle.setdefault(x, []).append(i)
+    pairs = {(a, b) for ids in by_shingle.values() for k, b in enumerate(ids) for a in ids[:k]}
+    linked = 0
+    for a, b in pairs:
+        common = len(set(lists[a]) & set(lists[b]))
+        if common >= 0.8 * (len(lists[a]) + len(lists[b]) - common):
+            in_order = brute.common_in_order(lists[a], lists[b]) if lists[a] != lists[b] else common
+            if in_order >= 0.8 * (len(lists[a]) + len(lists[b]) - in_order):
+                linked += 1
+                assert found[a] == found[b]
+    assert linked > 10
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(60).selectExpr("id + 1 as a", "id as b").union(spark.createDataFrame([(100, 101)], "a long, b long"))
     found = {r["id"]: r["component"] for r in connected(links).collect()}
