@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What a Python worker turns into objects at a time.
@@ -88,46 +90,78 @@ def remainder(doc_id: str | Column, divisor: int) -> Column:
 
 
 def usable_vectors(df: DataFrame, dim: int) -> DataFrame:
-    """(vec_id, embedding) of the vectors that take part: not null, ``dim`` finite components, an id.
+    """(vec_id, variant, embedding, n) of the rows that take part: an id, and ``dim`` finite components.
 
-    Rows that repeat a vec_id are one vector, the smallest in array order.
+    Rows of the same id and vector are one row with their number n; rows of the same id and different vectors stay
+    apart by ``variant``, a hash of the vector.
     """
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (
-        df.select("vec_id", "embedding")
-        .where(F.col("vec_id").isNotNull() & (F.size("embedding") == dim) & finite)
-        .groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    )
+    usable = df.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & (F.size("embedding") == dim) & finite)
+    return usable.groupBy("vec_id", "embedding").agg(F.count("*").alias("n")).select("vec_id", F.xxhash64("embedding").alias("variant"), "embedding", "n")
 
 
-def tiles(queries: DataFrame, rows: DataFrame, query_rows: int, tile_rows: int):
-    """Deal a query set and the rows it is held against into tiles of bounded size; return the cogroup.
+@dataclass(frozen=True)
+class Tiles:
+    """How a query set and the rows it is held against are dealt into tiles of bounded size: each query block meets each
+    row block once. What is copied is (number of row blocks) x queries plus (number of query blocks) x rows, so blocks
+    are as large as a task can hold."""
 
-    Each query block meets each row block once. What is copied is (number of row blocks) x queries plus
-    (number of query blocks) x rows, so blocks are as large as a task can hold.
-    """
-    n_q = max(1, -(-queries.count() // query_rows))
-    n_r = max(1, -(-rows.count() // tile_rows))
+    q_blocks: int
+    r_blocks: int
+
+    @staticmethod
+    def of(queries: DataFrame, rows: DataFrame, query_rows: int, tile_rows: int) -> Tiles:
+        return Tiles(max(1, -(-queries.count() // query_rows)), max(1, -(-rows.count() // tile_rows)))
+
+    def deal(self, queries: DataFrame, rows: DataFrame, home: bool | None = None):
+        """The cogroup of all tiles; with ``home`` only those of each query block's own row block, or all but those."""
+        block = lambda n: F.pmod(F.xxhash64("vec_id", "variant"), F.lit(n)).cast("int")
+        others = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        # Queries are of the same table as the rows: aliases tell the sides' columns apart.
+        queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
+        left = queries.withColumn("q_block", block(self.q_blocks)).withColumn("r_block", others(self.r_blocks))
+        right = rows.withColumn("r_block", block(self.r_blocks)).withColumn("q_block", others(self.q_blocks))
+        if home is not None:
+            at_home = F.pmod("q_block", F.lit(self.r_blocks)) == F.col("r_block")
+            left, right = (x.where(at_home if home else ~at_home) for x in (left, right))
+        return left.groupBy("q_block", "r_block").cogroup(right.groupBy("q_block", "r_block"))
+
+
+#: What a tile finds: a query row (and how often it stands), a row near it (and how often), their score.
+FOUND = "query_id long, query_variant long, query_n long, vec_id long, variant long, n long, score "
 
-    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(n_own)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        )
 
-    left = dealt(queries, "q_block", n_q, "r_block", n_r)
-    right = dealt(rows, "r_block", n_r, "q_block", n_q)
-    return left.groupBy("q_block", "r_block").cogroup(right.groupBy("q_block", "r_block"))
+def of_tile(q: pd.DataFrame, c: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """(candidates by id and variant, for each query the place of its own row, -1 if it is not there or stands there
+    more than once: a query is no candidate of itself, but its other copies are)."""
+    c = c.sort_values(["vec_id", "variant"], ignore_index=True)
+    at = {key: i for i, key in enumerate(zip(c["vec_id"].tolist(), c["variant"].tolist(), strict=True))}
+    once = (c["n"] == 1).tolist()
+    own = [at.get(key, -1) for key in zip(q["vec_id"].tolist(), q["variant"].tolist(), strict=True)]
+    return c, np.array([i if i >= 0 and once[i] else -1 for i in own], np.int64)
+
+
+def found_of_tile(q: pd.DataFrame, c: pd.DataFrame, i: np.ndarray, j: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
+    """The table FOUND of query rows ``i`` and candidate rows ``j``."""
+    ids = lambda df, name, at: df[name].to_numpy(np.int64)[at]
+    same = (ids(q, "vec_id", i) == ids(c, "vec_id", j)) & (ids(q, "variant", i) == ids(c, "variant", j))
+    return pd.DataFrame({
+        "query_id": ids(q, "vec_id", i), "query_variant": ids(q, "variant", i), "query_n": ids(q, "n", i), "vec_id": ids(c, "vec_id", j),
+        "variant": ids(c, "variant", j), "n": ids(c, "n", j) - same, "score": scores,
+    })
 
 
 def nearest_first(found: DataFrame, k: int) -> DataFrame:
-    """The k highest scores of each query over what all tiles found, ties to the smaller vec_id, ranked from 1."""
-    best = F.slice(
-        F.array_sort(
-            F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id", "score"))
-        ), 1, k,
-    )  # a tile gives k rows of a query at most, so a query's list is as long as k times the number of row blocks
-    return (
-        found.groupBy("query_id").agg(best.alias("best"))
-        .select("query_id", F.posexplode("best").alias("at", "hit"))
-        .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
-    )
+    """query_id, rank (from 1), vec_id, score: the k highest scores of each query row over what all tiles found, ties to
+    the smaller vec_id; rows that stand several times count as often.
+
+    Ranks above k go before the shuffle, in every task and again after it, so no query's finds come together whole.
+    """
+    by = ["query_id", "query_variant"]
+    order = Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id", "variant")
+    rank = F.row_number().over(order)
+    first = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    each = first.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    ranked = each.withColumn("rank", rank).where(F.col("rank") <= k)
+    per_row = ranked.withColumn("query_copy", F.explode(F.sequence(F.lit(1), F.col("query_n").cast("int"))))
+    return per_row.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

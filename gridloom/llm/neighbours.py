@@ -9,12 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import nearest_first, table, tiles, usable_vectors
+from .common import FOUND, Tiles, found_of_tile, nearest_first, of_tile, table, usable_vectors
 
 DIM = 64
 K = 20
 PROJECTIONS = 8
-CONFIDENCE = 0.95
+#: The chi-square quantile at which a query stops, and the ratio by which a missed row may be nearer than the k-th found.
+CONFIDENCE, RATIO = 0.3, 1.0
 LEAF = 64
 SEED = 11
 QUERY_ROWS, TILE_ROWS, QUERY_STRIP = 2048, 8192, 1024
@@ -49,13 +50,15 @@ def kd_leaves(points: np.ndarray, leaf: int) -> list[np.ndarray]:
     return leaves
 
 
-def near_of_tile(q_ids, q, c_ids, c, k: int, projections: int, confidence: float, leaf: int = LEAF):
-    """(query row, vec_id, inner product) of the k nearest found of each query in this tile.
+def near_of_tile(q, own, c, k: int, projections: int, confidence: float, ratio: float = 1.0, leaf: int = LEAF, tally: dict | None = None):
+    """(query row, candidate row, inner product) of the k nearest found of each query in this tile; ``own`` names a row
+    that is none for a query; ties go to the earlier row.
 
     The largest inner product is the smallest distance once each row has a further component sqrt(M^2 - |c|^2), M the
-    largest norm. Projected by a Gaussian matrix, a squared distance d^2 becomes d^2 times a chi-square variable, so a
-    row nearer than the k-th found lies in a leaf whose box begins beyond D with a probability of at most
-    1 - confidence once D^2 >= quantile * d_k^2: there the query stops.
+    largest norm. Projected by a Gaussian matrix, a squared distance d^2 becomes d^2 times a chi-square variable. Leaves
+    are visited by the distance D of their boxes; once D^2 >= quantile * d_k^2 / ratio^2, a row nearer than d_k / ratio
+    that lies beyond has its projection there with a probability of 1 - confidence at most, and the query stops. As a
+    box begins nearer than its points lie, far fewer are missed. ``tally`` counts leaves and visits.
     """
     sq = np.einsum("ij,ij->i", c, c)
     top_sq = sq.max(initial=0.0)
@@ -65,77 +68,80 @@ def near_of_tile(q_ids, q, c_ids, c, k: int, projections: int, confidence: float
     low = np.stack([points[x].min(axis=0) for x in leaves])
     high = np.stack([points[x].max(axis=0) for x in leaves])
     width = max(map(len, leaves))
-    last_id = np.iinfo(np.int64).max
-    quantile = chi_square_quantile(confidence, projections)
+    none = len(c)
+    quantile = chi_square_quantile(confidence, projections) / ratio**2
     out = []
     for start in range(0, len(q), QUERY_STRIP):
         strip = slice(start, start + QUERY_STRIP)
-        own, own_ids = q[strip], q_ids[strip]
-        at = own @ matrix[:-1]
-        gap = np.zeros((len(own), len(leaves)))
+        here, own_row = q[strip], own[strip]
+        at = here @ matrix[:-1]
+        gap = np.zeros((len(here), len(leaves)))
         for axis in range(projections):
             x = at[:, axis, None]
             gap += np.maximum(np.maximum(low[None, :, axis] - x, x - high[None, :, axis]), 0) ** 2
         order = np.argsort(gap, axis=1, kind="stable")
         gap = np.take_along_axis(gap, order, axis=1)
-        own_sq = np.einsum("ij,ij->i", own, own)
-        best = np.full((len(own), k), -np.inf)
-        best_id = np.full((len(own), k), last_id)
-        active = np.arange(len(own))
+        here_sq = np.einsum("ij,ij->i", here, here)
+        best = np.full((len(here), k), -np.inf)
+        best_row = np.full((len(here), k), none)
+        active = np.arange(len(here))
+        if tally is not None:
+            tally["leaves"] = tally.get("leaves", 0) + len(here) * len(leaves)
         for step in range(len(leaves)):
-            kth_sq = own_sq[active] + top_sq - 2 * best[active, -1]
+            kth_sq = here_sq[active] + top_sq - 2 * best[active, -1]
             active = active[~(gap[active, step] >= quantile * kth_sq)]
             if not len(active):
                 break
+            if tally is not None:
+                tally["visits"] = tally.get("visits", 0) + len(active)
             leaf_of = order[active, step]
             by_leaf = np.argsort(leaf_of, kind="stable")
             ends = np.flatnonzero(np.diff(leaf_of[by_leaf])) + 1
             score = np.full((len(active), width), -np.inf)
-            ids = np.full((len(active), width), last_id)
+            row = np.full((len(active), width), none)
             for group in np.split(by_leaf, ends):  # the queries that visit the same leaf now
                 rows = leaves[leaf_of[group[0]]]
-                score[group, : len(rows)] = own[active[group]] @ c[rows].T
-                ids[group, : len(rows)] = c_ids[rows]
-            score[ids == own_ids[active, None]] = -np.inf
+                score[group, : len(rows)] = here[active[group]] @ c[rows].T
+                row[group, : len(rows)] = rows
+            score[row == own_row[active, None]] = -np.inf
             better = np.flatnonzero((score >= best[active, -1:]).any(axis=1))
             who = active[better]
             all_score = np.concatenate([best[who], score[better]], axis=1)
-            all_id = np.where(np.isneginf(all_score), last_id, np.concatenate([best_id[who], ids[better]], axis=1))
-            first = np.lexsort((all_id, -all_score), axis=1)[:, :k]
+            all_row = np.where(np.isneginf(all_score), none, np.concatenate([best_row[who], row[better]], axis=1))
+            first = np.lexsort((all_row, -all_score), axis=1)[:, :k]
             best[who] = np.take_along_axis(all_score, first, axis=1)
-            best_id[who] = np.take_along_axis(all_id, first, axis=1)
+            best_row[who] = np.take_along_axis(all_row, first, axis=1)
         i, j = np.nonzero(~np.isneginf(best))
-        out.append((i + start, best_id[i, j], best[i, j]))
+        out.append((i + start, best_row[i, j], best[i, j]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def nearest(
     queries: DataFrame, rows: DataFrame, k: int = K, dim: int = DIM,
-    projections: int = PROJECTIONS, confidence: float = CONFIDENCE,
+    projections: int = PROJECTIONS, confidence: float = CONFIDENCE, ratio: float = RATIO,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found by inner product in double precision.
+    """query_id, rank, vec_id, score: the k nearest found by inner product in double precision, of `usable_vectors`.
 
     Every row stands in one tile's tree; the trees of all tiles answer each query and their answers are merged. Null,
-    zero and non-finite vectors and those of another length take no part; rows repeating an id are one vector; ties go
-    to the smaller id; a query meets no row of its own id; empty tables give no rows.
+    zero and non-finite vectors and those of another length take no part; every other row is a candidate, but for the
+    query's own; rows of a query's id with another vector, and its exact copies, are candidates like any other; query
+    rows that stand twice are answered twice; ties go to the smaller id; empty tables give no rows.
     """
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
-            return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+            return pd.DataFrame({name.split()[0]: np.empty(0, float if "score" in name else np.int64) for name in (FOUND + "double").split(", ")})
+        c, own = of_tile(q, c)
         both = [np.stack(x["embedding"].to_numpy()).astype(np.float64) for x in (q, c)]
-        q_ids, c_ids = q["vec_id"].to_numpy(np.int64), c["vec_id"].to_numpy(np.int64)
-        i, ids, _ = near_of_tile(q_ids, both[0], c_ids, both[1], k, projections, confidence)
-        where = np.argsort(c_ids)
-        found = both[1][where[np.searchsorted(c_ids[where], ids)]]
+        i, j, _ = near_of_tile(both[0], own, both[1], k, projections, confidence, ratio)
         score = np.zeros(len(i))
-        for axis in range(found.shape[1]):  # summed in the order of the components, alike in every tile
-            score += both[0][i, axis] * found[:, axis]
-        return pd.DataFrame({"query_id": q_ids[i], "vec_id": ids, "score": score})
+        for axis in range(both[0].shape[1]):  # summed in the order of the components, alike in every tile
+            score += both[0][i, axis] * both[1][j, axis]
+        return found_of_tile(q, c, i, j, score)
 
     zero = F.forall("embedding", lambda x: x == 0)
     queries, rows = queries.where(~zero), rows.where(~zero)
-    found = tiles(queries, rows, QUERY_ROWS, TILE_ROWS).applyInPandas(search, "query_id long, vec_id long, score double")
+    found = Tiles.of(queries, rows, QUERY_ROWS, TILE_ROWS).deal(queries, rows).applyInPandas(search, FOUND + "double")
     return nearest_first(found, k)
 
 

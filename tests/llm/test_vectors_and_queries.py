@@ -34,19 +34,55 @@ def vectors(spark, rows):
 
 def odd_rows(dim):
     good = [(i, np.random.default_rng(i).standard_normal(dim)) for i in range(40)]
-    ties = [(100 + i, good[3][1]) for i in range(30)] + [(5, good[5][1])]
+    # Many ids of one vector, a row that stands twice, an id with two vectors, an id with one vector three times.
+    ties = [(100 + i, good[3][1]) for i in range(30)] + [(5, good[5][1]), (6, good[7][1]), (9, good[9][1]), (9, good[9][1])]
     bad = [(200, None), (201, [math.nan] * dim), (202, [math.inf] + [0.0] * (dim - 1)), (203, [1.0] * (dim - 1)), (204, [])]
     return good + ties, bad
 
 
-def test_top_k_with_ties_and_unusable_vectors(spark):
+def by_hand(rows, k, wanted, score):
+    """The answers of every query row, as (query_id, [(score, vec_id)]), from all pairs of rows but a row and itself."""
+    out = []
+    for a, (q, x) in enumerate(rows):
+        if wanted(q):
+            near = sorted((-score(x, y), i) for b, (i, y) in enumerate(rows) if a != b)[:k]
+            out.append((q, [(-s, i) for s, i in near]))
+    return sorted(out)
+
+
+def answers(found):
+    rows = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+    return rows
+
+
+def same_answers(found, wanted):
+    assert answers(found) == sorted((q, rank, i, s) for q, near in wanted for rank, (s, i) in enumerate(near, 1))
+
+
+@pytest.mark.parametrize("tile_rows", [8192, 10])
+def test_top_k_with_ties_repeats_and_unusable_vectors(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(topk, "TILE_ROWS", tile_rows)
     good, bad = odd_rows(64)
     rows = usable_vectors(vectors(spark, good + bad), 64)
-    found = topk.exact_top_k(rows.where("vec_id % 3 = 0"), rows, 5).orderBy("query_id", "rank").collect()
-    whole = {i: np.floor(256 * np.asarray(v, np.float32).astype(float)) for i, v in good}
-    for q in (i for i in whole if i % 3 == 0):
-        want = sorted(((-int(whole[q] @ v), i) for i, v in whole.items() if i != q))[:5]
-        assert [(-r["score"], r["vec_id"]) for r in found if r["query_id"] == q] == want
+    whole = [(i, np.floor(256 * np.asarray(v, np.float32).astype(float))) for i, v in good]
+    for k in (5, 200):
+        wanted = by_hand(whole, k, lambda i: i % 3 == 0, lambda x, y: int(x @ y))
+        same_answers(topk.exact_top_k(rows.where("vec_id % 3 = 0"), rows, k), wanted)
+
+
+def test_few_pairs_survive_where_vectors_have_structure():
+    """Smooth curves: the segments' bounds leave a small part to compute, and a seed leaves less."""
+    rng = np.random.default_rng(4)
+    c = np.floor(256 * np.cumsum(rng.standard_normal((4000, 64)), axis=1) / 8)
+    q, own = c[::50], np.arange(0, 4000, 50)
+    plain, seeded = {}, {}
+    i, j, scores = topk.best_of_tile(q, own, c, 5, tally=plain)
+    exact = q @ c.T
+    exact[np.arange(len(q)), own] = -np.inf
+    assert (scores.reshape(-1, 5) == -np.sort(-exact, axis=1)[:, :5]).all()
+    again = topk.best_of_tile(q, own, c, 5, seeds=scores.reshape(-1, 5)[:, -1].astype(float), tally=seeded)
+    assert all((x == y).all() for x, y in zip(again, (i, j, scores), strict=True))
+    assert seeded["survivors"] < plain["survivors"] < 0.3 * plain["pairs"]
 
 
 def test_segment_bounds_hold():
@@ -85,17 +121,34 @@ def test_neighbours_reach_the_recall(spark, small):
     assert hits / total >= 0.9
 
 
-def test_neighbours_with_ties_and_unusable_vectors(spark):
+@pytest.mark.parametrize("tile_rows", [8192, 10])
+def test_neighbours_with_ties_repeats_and_unusable_vectors(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(neighbours, "TILE_ROWS", tile_rows)
     good, bad = odd_rows(64)
     rows = usable_vectors(vectors(spark, [*good, *bad, (300, np.zeros(64))]), 64)
-    found = neighbours.nearest(rows.where("vec_id % 2 = 0"), rows, k=4).toPandas()
-    assert set(found["query_id"]) == {i for i, _ in good if i % 2 == 0} and 300 not in set(found["vec_id"])
-    assert (found["query_id"] != found["vec_id"]).all()
-    copies = found[found["query_id"] == 100].sort_values("rank")["vec_id"].tolist()
-    assert copies == [3, 101, 102, 103]
+
+    def product(x, y):
+        total = 0.0
+        for a, b in zip(np.asarray(x, np.float32).tolist(), np.asarray(y, np.float32).tolist(), strict=True):
+            total += a * b
+        return total
+
+    found = neighbours.nearest(rows.where("vec_id % 2 = 0"), rows, k=4, confidence=0.9999)
+    same_answers(found, by_hand(good, 4, lambda i: i % 2 == 0, product))
     assert neighbours.nearest(rows.limit(0), rows.limit(0)).count() == 0 and topk.exact_top_k(rows.limit(0), rows.limit(0)).count() == 0
 
 
+def test_few_leaves_are_seen_where_neighbours_are_near():
+    rng = np.random.default_rng(6)
+    c = np.repeat(rng.standard_normal((200, 64)), 40, axis=0) + 0.05 * rng.standard_normal((8000, 64))
+    q, own, tally = c[::40], np.arange(0, 8000, 40), {}
+    i, j, score = neighbours.near_of_tile(q, own, c, 20, neighbours.PROJECTIONS, neighbours.CONFIDENCE, tally=tally)
+    exact = q @ c.T
+    exact[np.arange(len(q)), own] = -np.inf
+    kth = np.sort(exact, axis=1)[:, -20]
+    assert (score >= kth[i] - 1e-9).mean() > 0.9 and tally["visits"] < 0.4 * tally["leaves"]
+
+
 def test_chi_square_quantiles():
     assert neighbours.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
     assert neighbours.chi_square_quantile(0.5, 2) == pytest.approx(2 * math.log(2), abs=1e-9)
