@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import bpe, html, language, mixing, near_dedup, neighbours, pii, quality, token_counts, topk
 
 
 def pipeline(spark, sf_dir):
+    import corpus_pipeline  # at the repository's top, above this package
+
     return corpus_pipeline.run(spark, sf_dir)
 
 

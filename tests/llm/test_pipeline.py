@@ -38,3 +38,19 @@ def test_pipeline_against_brute_force(spark, small):
     wanted = sorted((i, s, tuple(library.encode(t, add_special_tokens=False).ids)) for i, t, s in rows for _ in range(taken[i][3] // taken[i][0]))
     found = sorted((r["doc_id"], r["source"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, small).collect())
     assert found == wanted
+
+
+def test_pipeline_of_odd_documents(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, a clashing column; and an empty table."""
+    text = " ".join(f"word{i} and" for i in range(50))
+    rows = [
+        (1, text, "en", "a", 10, "x"), (1, text, "en", "a", 10, "x"), (2, text + " more", None, "a", None, None), (None, "ein Text mit Wörtern und mehr", None, None, None, None),
+        (4, None, "de", "b", 0, "y"), (5, "", "de", "b", 0, "y"), (6, "12 34", "de", "b", 0, "y"), (7, "lang " * 100_000, "de", "b", 0, "y"), (8, "kurz und gut a@b.org", "de", None, 0, "y"),
+    ]
+    names = "doc_id long, text string, lang string, source string, n_chars long, pii_found string"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} <= {1, None, 7, 8} and {r["lang"] for r in found} <= {"en", "de"} and found
+    assert all(r["n_tokens"] == len(r["ids"]) > 0 for r in found) and {r["pii_found"] for r in found} <= {"x", None, "y"}
+    spark.createDataFrame([], names).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

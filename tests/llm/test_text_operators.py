@@ -50,6 +50,27 @@ def test_bpe_equals_the_library(spark, library, texts):
         assert found[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_bpe_and_token_counts_of_odd_tables(spark, library):
+    hostile = ["x" * 1_000_000, "'" * 300_000, " " * 1_000_000, "<|endoftext|>" * 20_000, "é́" * 100_000, "a\n" * 300_000, "1" * 200_000]
+    docs = docs_of(spark, [*hostile, "a b", "a b"])
+    twice = docs.union(docs)
+    found = bpe.encode_decode(twice.withColumnRenamed("size", "n_tokens"), VOCABULARY, ("n_tokens", "decoded_sha256"), ["doc_id", "n_tokens", "source"])
+    assert found.columns == ["doc_id", "source", "n_tokens", "decoded_sha256"]
+    counted = token_counts.count_tokens(twice, VOCABULARY)
+    wanted = [len(library.encode(t, add_special_tokens=False).ids) for t in [*hostile, "a b", "a b"]]
+    for rows in (found.collect(), counted.collect()):
+        assert sorted((r["doc_id"], r["n_tokens"]) for r in rows) == sorted(2 * list(enumerate(wanted)))
+    assert bpe.encode_decode(docs.limit(0), VOCABULARY).count() == token_counts.count_tokens(docs.limit(0), VOCABULARY).count() == 0
+
+
+def test_token_count_calls_are_balanced_by_bytes():
+    texts = ["漢字 " * 30_000, "a", "word " * 50_000, "é" * 100]
+    calls = list(token_counts.balanced(texts, 1 << 16, 1 << 14))
+    sizes = [sum(len(x.encode()) for x in call) for _, call in calls]
+    assert max(sizes) < (1 << 16) + (1 << 15) and min(sizes[:-1]) >= 1 << 16
+    assert ["".join(x for o, c in calls for own, x in zip(o, c, strict=True) if own == i) for i in range(4)] == texts
+
+
 def test_lexicon_knows_its_words_only(tmp_path):
     words = {b"car": [1], b"cars": [2, 3], b"bar": [4], b"bars": [5], b"star": [6]}
     (tmp_path / "x").write_bytes(bpe.compile_lexicon(words))
@@ -285,12 +306,101 @@ def test_language_without_labels_and_stage(spark):
     docs = docs_of(spark, ["eins zwei", "123", None, "tres"], lang=[None] * 4)
     field = language.learn(docs)
     assert field.labels == [] and {r["lang_pred"] for r in language.label_languages(docs, field).collect()} == {"und"}
+    kept = language.language_stage(spark, docs, "")
+    assert {r["doc_id"]: r["lang"] for r in kept.collect()} == {0: None, 3: None}  # nothing to learn from is no reason to drop
     known = docs_of(spark, ["the of and", "123", None, "und die der", "the and of it"] * 4, lang=["en", "en", "en", "de", None] * 4)
     kept = language.language_stage(spark, known, "")
     assert kept.columns == known.columns and {r["doc_id"] % 5 for r in kept.collect()} == {0, 3, 4}
+    assert {r["lang"] for r in kept.collect()} == {"en", "de"}  # null labels are filled in
+    assert language.language_stage(spark, known.limit(0), "").count() == 0
+    clash = known.withColumnRenamed("size", "lang_pred")
+    assert sorted(language.language_stage(spark, clash, "").collect()) == sorted(kept.collect())
     assert language.label_languages(spark.createDataFrame([], DOCS), field).count() == 0
 
 
+def test_seventy_labels_are_learnt_with_their_transitions():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    rows = [(f"l{i:02d}", " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + rng.integers(26))}" for _ in range(40))) for i in range(70) for _ in range(3)]
+    field = language.train_field(rows)
+    assert len(field.labels) == 70 and np.isfinite(field.transitions).all()
+    assert field.transitions.min() < 0 < field.transitions.max()  # moves are expected as well as seen
+    scores, moves = rng.standard_normal((30, 70)), rng.standard_normal((70, 70))
+    _, moved = language.forward_backward(scores, np.array([10, 20]), moves)
+    assert abs(moved.sum() - 28) < 1e-9
+
+
+def test_language_of_each_document_by_hand(spark, small):
+    """The chain's marginals in plain Python, a text after another, from the field's weights."""
+    import numpy as np
+
+    docs = table(spark, small, "documents")
+    field = language.learn(docs, sample_docs=20)
+    texts = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").limit(40).collect()} | {-1: None, -2: "", -3: "12 . !", -4: "der 12 the"}
+    odd = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in language.label_languages(odd, field).collect()}
+    k, moves = len(field.labels), np.exp(field.transitions)
+    for i, text in texts.items():
+        runs = (text or "").split()
+        if not any(map(language.bare, runs)):
+            assert (found[i]["lang_pred"], found[i]["lang_score"]) == ("und", 0)
+            continue
+        local, lettered = [], []
+        for run in runs:
+            word = language.bare(run)
+            own = np.zeros(k)
+            if word:
+                _, bucket = language.hashed_features([word])
+                own = field.weights[bucket].sum(axis=0) / np.sqrt(len(bucket))
+            local.append(np.exp(own - own.max()))
+            lettered.append(bool(word))
+        ahead = [local[0] / local[0].sum()]
+        for x in local[1:]:
+            ahead.append((ahead[-1] @ moves) * x)
+            ahead[-1] /= ahead[-1].sum()
+        behind = [np.ones(k)]
+        for x in local[:0:-1]:
+            behind.append(moves @ (behind[-1] * x))
+            behind[-1] /= behind[-1].sum()
+        both = np.array([a * b / (a @ b) for a, b in zip(ahead, behind[::-1], strict=True)])
+        mean = both[lettered].mean(axis=0)
+        assert found[i]["lang_pred"] == field.labels[mean.argmax()] and abs(found[i]["lang_score"] - mean.max()) < 1e-5
+
+
+def test_quality_of_each_document_by_hand(spark, small):
+    """Passages, encoder, gated attention and score in plain Python, a text after another, from the model's weights."""
+    import numpy as np
+
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    model = quality.learn(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").limit(40).collect()} | {-1: None, -2: "", -3: "x"}
+    found = {r["doc_id"]: r["quality_score"] for r in quality.score_quality(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()}
+    p = model.p
+    for i, text in texts.items():
+        runs = (text or "").split()
+        hidden, weight = [], []
+        for at in range(0, max(1, len(runs)), 48):
+            part = runs[at : at + 48]
+            own = np.concatenate([
+                quality.run_features(part).mean(axis=0) if part else np.zeros(8 + quality.SHAPES + quality.GRAMS),
+                [len(set(part)) / max(1, len(part)), len(part) / 48],
+            ])
+            h = np.tanh((own - model.mean) / model.scale @ p["encode"] + p["encode_b"])
+            hidden.append(h)
+            weight.append((np.tanh(h @ p["attend"]) / (1 + np.exp(-(h @ p["gate"])))) @ p["weigh"])
+        a = np.exp(np.array(weight) - max(weight))
+        z = (a / a.sum()) @ np.array(hidden)
+        assert abs(found[i] - 1 / (1 + np.exp(-(z @ p["judge"] + p["judge_b"])))) < 1e-4
+
+
+def test_quality_of_ids_that_repeat_is_learnt_alike(spark, small):
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    more = docs.union(docs.withColumn("text", F.reverse("text")))
+    one, two = quality.learn(more, labels, sample_docs=50), quality.learn(more.repartition(7), labels, sample_docs=50)
+    assert all((one.p[x] == two.p[x]).all() for x in one.p)
+
+
 def test_quality_of_held_out_documents(spark, small):
     root = small.replace("sf0.001", "sf0.01")
     docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
