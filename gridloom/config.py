@@ -10,8 +10,11 @@ from typing import Any
 from .functions import naming
 
 STRATEGIES = ("append", "region")
+#: Of a source's encoding what says how its numbers were rounded.
+CARRIED = ("least_significant_digit", "significant_digits", "quantization")
 #: Spelling of what a file name's stamp stands for. Others are refused until someone has such files.
-RESOLUTIONS = {"daily": r"^(\d{7})\.parquet$"}
+RESOLUTIONS = {"daily": r"^(\d{7})\.(?:parquet|nc)$"}
+FORMATS = {"parquet": "*.parquet", "netcdf": "*.nc"}
 
 
 @dataclass(frozen=True)
@@ -24,8 +27,12 @@ class ArchiveConfig:
     suffix: str = "spatial"
     grid_name: str = "native"
     raw: str | None = None
+    raw_format: str = "parquet"
     ny: int = 1800
     nx: int = 3600
+    #: Centres of the first row and column and the steps to the next, in degrees; rows go from north to south.
+    lat: tuple[float, float] = (89.95, -0.1)
+    lon: tuple[float, float] = (-179.95, 0.1)
     expected_missing_times: tuple[str, ...] = ()
     source_fill_values: tuple[float, ...] = ()
     chunks: Mapping[str, int] = field(default_factory=lambda: {"time": 1, "y": -1, "x": -1})
@@ -33,7 +40,10 @@ class ArchiveConfig:
     timesteps_per_commit: int = 100
     block_shape: Mapping[str, int] = field(default_factory=lambda: {"y": -1, "x": -1})
     attrs: Mapping[str, Any] = field(default_factory=dict)
-    variable_attrs: Mapping[str, Any] = field(default_factory=dict)
+    #: Attributes by variable; what the source's own files carry, as a whole and as the variable's encoding.
+    variable_attrs: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
+    source_attrs: Mapping[str, Any] = field(default_factory=dict)
+    source_encoding: Mapping[str, Any] = field(default_factory=dict)
     key: str | None = None
     original_units: str = ""
     frequencies: Mapping[str, str] = field(default_factory=lambda: {"daily": "day"})
@@ -79,6 +89,16 @@ class ArchiveConfig:
     def attributes(self) -> dict[str, Any]:
         return naming.format_attributes(self.attrs, self.fields)
 
+    @property
+    def attributes_of_variable(self) -> dict[str, Any]:
+        """The variable's attributes, each under ``variable:attribute``; of the source's encoding what CARRIED names and
+        the config does not. Attributes of a variable that the archive does not have are refused."""
+        unknown = sorted(set(self.variable_attrs) - {self.variable})
+        if unknown:
+            raise ValueError(f"attributes of variables that are not archived: {unknown}")
+        carried = {k: v for k, v in self.source_encoding.items() if k in CARRIED}
+        return {f"{self.variable}:{k}": v for k, v in (carried | naming.format_attributes(self.variable_attrs.get(self.variable, {}), self.fields)).items()}
+
     def chunk_shape(self, n_times: int) -> tuple[int, int, int]:
         """-1 is a whole dimension; each dimension must be named and no other may be."""
         if set(self.chunks) != {"time", "y", "x"}:
@@ -96,16 +116,15 @@ class ArchiveConfig:
             raise ValueError("region needs chunks over the whole record")
 
     def block(self, n_times: int) -> tuple[int, int]:
-        """Rows and columns of a block: whole chunks, checked before they are clipped to the grid."""
-        _, cy, cx = self.chunk_shape(n_times)
-        out = []
-        for key, chunk, n in (("y", cy, self.ny), ("x", cx, self.nx)):
-            size = self.block_shape.get(key, -1)
-            size = n if size == -1 else size
-            if size % chunk:
-                raise ValueError(f"a block of {size} along {key} is no whole number of chunks of {chunk}")
-            out.append(min(size, n))
-        return out[0], out[1]
+        """Rows and columns of a block; refuses, all at once, those that cut through a chunk. The grid's edge may clip a
+        block, but its shape must be whole chunks before that."""
+        chunk = dict(zip(("y", "x"), self.chunk_shape(n_times)[1:], strict=True))
+        whole = {"y": self.ny, "x": self.nx}
+        wanted = {k: whole[k] if self.block_shape.get(k, -1) < 0 else self.block_shape[k] for k in whole}
+        cut = {k: (n, chunk[k]) for k, n in wanted.items() if n % chunk[k] or not n}
+        if cut:
+            raise ValueError("blocks must be made of whole chunks: " + "; ".join(f"{k} {n} with chunks of {c}" for k, (n, c) in cut.items()))
+        return min(wanted["y"], whole["y"]), min(wanted["x"], whole["x"])
 
     def commit_days(self) -> int:
         """Whole chunks nearest to timesteps_per_commit; halves go to the even number, as `round` does."""

@@ -53,19 +53,11 @@ def block_of_message(message: Column) -> dict[str, Column]:
     return {"variable": part(1), "y0": part(2).cast("int"), "y1": part(3).cast("int"), "x0": part(4).cast("int"), "x1": part(5).cast("int")}
 
 
-def ceil_div(a: Column, b: Column | int) -> Column:
-    return F.ceil(a / b).cast("long")
-
-
 def batch_size(target: Column, chunk: Column) -> Column:
     """Whole chunks nearest to ``target`` rows, one at least; halves go to the even number."""
     return F.greatest(F.lit(1), F.bround(target / chunk)).cast("long") * chunk
 
 
-def size_text(n_bytes: Column) -> Column:
-    return F.format_string("%.2f GiB", n_bytes / F.lit(float(1 << 30)))
-
-
 def unit_note(conversion: Column, original: Column, canonical: Column) -> Column:
     """What was done to the units: a spelling changed, nothing, or a conversion that the key names."""
     return (
@@ -101,13 +93,8 @@ def format_text(template: str, fields: Mapping[str, Any]) -> str:
 
 
 def format_attributes(attributes: Mapping[str, Any], fields: Mapping[str, Any]) -> dict[str, Any]:
-    """Every string through the template fields, one nested level included; other values pass as they are."""
-    out: dict[str, Any] = {}
-    for key, value in attributes.items():
-        if isinstance(value, str):
-            out[key] = format_text(value, fields)
-        elif isinstance(value, Mapping):
-            out[key] = {k: format_text(v, fields) if isinstance(v, str) else v for k, v in value.items()}
-        else:
-            out[key] = value
-    return out
+    """Every string through the template fields, those of one nested level too; other values pass as they are."""
+    flat = [((k,), v) for k, v in attributes.items() if not isinstance(v, Mapping)]
+    flat += [((k, inner), v) for k, own in attributes.items() if isinstance(own, Mapping) for inner, v in own.items()]
+    shown = {path: format_text(v, fields) if isinstance(v, str) else v for path, v in flat}
+    return {k: {path[1]: v for path, v in shown.items() if path[0] == k and path[1:]} if isinstance(own, Mapping) else shown[(k,)] for k, own in attributes.items()}

@@ -1,23 +1,41 @@
-"""A versioned archive: Parquet data, an append-only table of commits, tags, attributes. Data first, the commit last."""
+"""A versioned archive: Parquet data, an append-only table of commits, tags, attributes.
+
+A commit is one row, written last: it names its folder of data, the days and cells that lie there, and, the first one,
+what the archive is. Axis, extents and attributes are read off commits alone, so whatever an interruption leaves behind
+is no part of any state.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ArchiveConfig
-from ..functions.cells import NAN, fill_values, mask_fill
+from ..functions.cells import fill_values, mask_fill
 from ..functions.naming import block_message
+from ..sources import raw
 from . import attributes, axis, blocks, grid
-from .provenance import nomenclature
+from .provenance import code_revision, nomenclature, object_counts
 
-COMMITS = "seq long, id string, parent string, message string, kind string, written_at timestamp, folder string, n_days long"
+COMMITS = (
+    "seq long, id string, parent string, message string, kind string, written_at timestamp, folder string, n_days long, first_day date, last_day date, "
+    "y0 int, y1 int, x0 int, x1 int, spec string"
+)
+CELLS = "tc long, ty int, tx int, t date, y int, x int, v float"
 ADMIN = ("attributes", "tag", "gc")
-BY_LAYOUT = ("chunking", "title", "history", "date_created", "related_store", "layout", "summary")
+BY_LAYOUT = ("chunking", "title", "history", "date_created", "related_store", "layout", "summary", "verification")
+OWN_HISTORY = "built by gridloom"
+
+
+def as_day(spark: SparkSession, day) -> dt.date:
+    """A date, or a column that is a constant one."""
+    return day if isinstance(day, dt.date) else spark.range(1).select(day.cast("date")).first()[0]
 
 
 class Archive:
@@ -52,10 +70,13 @@ class Archive:
     def tip(self):
         return self.history().first()
 
-    def commit(self, message: str, kind: str, folder: str | None = None, n_days: int = 0) -> str:
+    def commit(self, message: str, kind: str, folder: str | None = None, days: tuple | None = None, box: tuple | None = None, spec: dict | None = None, own: str | None = None, n_days: int = 0) -> str:
+        """Add the row that makes what was written part of the archive. ``days`` and ``box`` (y0, y1, x0, x1) are the
+        extent of the folder; ``n_days`` counts those by which the axis grows."""
         tip = self.tip()
-        own = uuid.uuid4().hex
-        row = (tip["seq"] + 1 if tip else 0, own, tip["id"] if tip else None, message, kind, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), folder, n_days)
+        own = own or uuid.uuid4().hex
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        row = (tip["seq"] + 1 if tip else 0, own, tip["id"] if tip else None, message, kind, now, folder, n_days, *(days or (None, None)), *(box or (None,) * 4), json.dumps(spec) if spec else None)
         self.add("commits", COMMITS, [row])
         return own
 
@@ -63,56 +84,96 @@ class Archive:
         return self.small("tags", "name string, id string")
 
     def attributes(self) -> DataFrame:
-        """(key, value): of each key what was written last."""
-        written = self.small("attributes", "seq long, key string, value string")
-        return written.groupBy("key").agg(F.max_by("value", "seq").alias("value"))
+        """(key, value): of each key what the last commit of attributes wrote."""
+        written = self.small("attributes", "commit string, key string, value string")
+        order = self.history().select(F.col("id").alias("commit"), "seq")
+        return written.join(order, "commit").groupBy("key").agg(F.max_by("value", "seq").alias("value"))
 
     def axis(self) -> DataFrame:
-        return self.small("axis", "t date")
+        """(t): the days of all commits that the axis grew by."""
+        grown = self.history().where("n_days > 0")
+        return grown.select(F.explode(F.sequence("first_day", "last_day")).alias("t"))
+
+    def spec(self) -> dict:
+        """What the archive is: variable, grid, coordinates, chunk shape, first day, strategy."""
+        first = self.history().where("spec is not null").orderBy("seq").first()
+        return json.loads(first["spec"]) if first else {}
+
+    def variables(self) -> set[str]:
+        return {self.spec()["variable"]} if self.spec() else set()
+
+    def coordinates(self, name: str) -> DataFrame:
+        """(y, lat) or (x, lon) of the grid, as floats."""
+        spec = self.spec()
+        index, n = {"lat": ("y", spec["ny"]), "lon": ("x", spec["nx"])}[name]
+        first, step = spec[name]
+        place = F.round(F.lit(float(first)) + F.lit(float(step)) * F.col("id"), 4).cast("float")
+        return self.spark.range(n).select(F.col("id").cast("int").alias(index), place.alias(name))
 
     # Cells
 
-    def read(self, at: str | None = None) -> DataFrame:
-        """(t, y, x, v) of the cells written up to a tag, a commit id, or the tip; cells of fill have no row."""
-        seen = self.history()
-        if at is not None:
-            tagged = self.tags().where(F.col("name") == at).first()
-            known = seen.where(F.col("id") == (tagged["id"] if tagged else at)).first()
-            if known is None:
-                raise ValueError(f"neither tag nor commit: {at}")
-            seen = seen.where(F.col("seq") <= known["seq"])
-        folders = [f"{self.path}/{r['folder']}" for r in seen.where("folder is not null").select("folder").collect()]  # one a commit
-        if not folders:
-            return self.spark.createDataFrame([], "t date, y int, x int, v float")
-        chunked = self.spark.read.parquet(*folders)
-        return chunked.select(F.inline("cells")).select("t", "y", "x", "v")
+    def seen(self, at: str | None = None) -> DataFrame:
+        """The commits up to a tag, a commit id, or the tip."""
+        found = self.history()
+        if at is None:
+            return found
+        tagged = self.tags().where(F.col("name") == at).first()
+        known = found.where(F.col("id") == (tagged["id"] if tagged else at)).first()
+        if known is None:
+            raise ValueError(f"neither tag nor commit: {at}")
+        return found.where(F.col("seq") <= known["seq"])
+
+    def chunked(self, at: str | None = None, t0=None, t1=None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
+        """(tc, ty, tx, t, y, x, v) of the cells written, of a half-open box if one is given.
+
+        Folders whose commit lies outside the box are not opened; in the others the box goes to the scan as ranges of
+        chunk numbers and of places, by which the files, sorted by chunk, are skipped through.
+        """
+        folders = self.seen(at).where("folder is not null")
+        spec = self.spec()
+        outside, where = F.lit(False), []
+        if t0 is not None or t1 is not None:
+            first = dt.date.fromisoformat(spec["first_day"])
+            for day, is_start in ((t0, True), (t1, False)):
+                if day is None:
+                    continue
+                day = as_day(self.spark, day)
+                place = (day - first).days
+                outside |= (F.col("last_day") < day) if is_start else (F.col("first_day") >= day)
+                where += [F.col("t") >= day, F.col("tc") >= place // spec["chunk"][0]] if is_start else [F.col("t") < day, F.col("tc") <= (place - 1) // spec["chunk"][0]]
+        for name, box, edge in (("y", y, 1), ("x", x, 2)):
+            if box is not None:
+                size = spec["chunk"][edge]
+                outside |= (F.col(f"{name}1") <= box[0]) | (F.col(f"{name}0") >= box[1])
+                where += [F.col(name) >= box[0], F.col(name) < box[1], F.col(f"t{name}") >= box[0] // size, F.col(f"t{name}") <= (box[1] - 1) // size]
+        named = [f"{self.path}/{r['folder']}" for r in folders.where(~F.coalesce(outside, F.lit(False))).select("folder").collect()]  # one a commit
+        found = self.spark.read.schema(CELLS).parquet(*named) if named else self.spark.createDataFrame([], CELLS)
+        for condition in where:
+            found = found.where(condition)
+        return found
+
+    def read(self, at: str | None = None, t0=None, t1=None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
+        """(t, y, x, v) of `chunked`; cells of fill have no row."""
+        return self.chunked(at, t0, t1, y, x).select("t", "y", "x", "v")
 
     def manifest(self) -> DataFrame:
-        """(tc, ty, tx, n_cells) of the chunks there are, read without their cells."""
-        return self.chunked().select("tc", "ty", "tx", "n_cells")
-
-    def chunked(self) -> DataFrame:
-        """(tc, ty, tx, cells, n_cells) of the chunks there are."""
-        folders = [f"{self.path}/{r['folder']}" for r in self.history().where("folder is not null").collect()]
-        empty = "tc long, ty int, tx int, cells array<struct<t: date, y: int, x: int, v: float>>, n_cells int"
-        return self.spark.read.parquet(*folders) if folders else self.spark.createDataFrame([], empty)
+        """(tc, ty, tx, n_cells, n_bytes) of the chunks there are: only their numbers are read."""
+        return self.chunked().groupBy("tc", "ty", "tx").agg(F.count("*").cast("int").alias("n_cells")).withColumn("n_bytes", F.col("n_cells").cast("long") * 4)
 
     def dense(self, y: tuple[int, int], x: tuple[int, int], t0, t1) -> DataFrame:
         """A box of the whole grid, with NaN where no cell is stored."""
-        from ..sources.raw import raw_box
-
-        return raw_box(self.read(), self.axis(), t0, t1, y, x)
+        return raw.raw_box(self.read(t0=t0, t1=t1, y=y, x=x), self.axis(), t0, t1, y, x)
 
     def write(self, cells: DataFrame, shape: tuple[int, int, int], first_day, folder: str) -> None:
-        """Chunks of ``shape`` (days, rows, columns) from the first day of the axis; chunks of NaN alone get no row."""
+        """Cells that are not NaN, with the numbers of their chunks of ``shape`` (days, rows, columns) from the first day
+        of the axis, a chunk's cells together and in order. No chunk is held as one value, whatever its size."""
         days, ny, nx = shape
-        placed = cells.select(
+        placed = cells.where(~F.isnan("v")).select(
             F.floor(F.datediff("t", F.lit(first_day)) / days).alias("tc"), F.floor(F.col("y") / ny).cast("int").alias("ty"),
-            F.floor(F.col("x") / nx).cast("int").alias("tx"), "t", "y", "x", "v",
+            F.floor(F.col("x") / nx).cast("int").alias("tx"), "t", "y", "x", F.col("v").cast("float").alias("v"),
         )
-        stored = F.array_sort(F.collect_list(F.when(~F.isnan("v"), F.struct("t", "y", "x", "v"))))
-        packed = placed.groupBy("tc", "ty", "tx").agg(stored.alias("cells")).withColumn("n_cells", F.size("cells")).where("n_cells > 0")
-        packed.sortWithinPartitions("ty", "tx", "tc").write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        dealt = placed.repartition("tc", "ty", "tx").sortWithinPartitions("ty", "tx", "tc", "t", "y", "x")
+        dealt.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{folder}")
 
     # Tags, clean-up, state
 
@@ -121,20 +182,23 @@ class Archive:
             raise ValueError(f"the tag {name!r} exists and tags do not move")
         self.add("tags", "name string, id string", [(name, self.tip()["id"])])
 
-    def unreachable(self) -> list[str]:
-        """Data folders that no commit names: what an interrupted write left behind."""
+    def unreachable(self, older_than_hours: float = 0) -> list[str]:
+        """Data folders that no commit names and that nothing has written to for so long: what interruptions left."""
         if not self.has("data"):
             return []
-        there = {f"data/{s.getPath().getName()}" for s in self.files.listStatus(self.hadoop("data"))}
-        return sorted(there - {r["folder"] for r in self.history().where("folder is not null").select("folder").collect()})
+        latest = (time.time() - older_than_hours * 3600) * 1000
+        there = {f"data/{s.getPath().getName()}": s.getModificationTime() for s in self.files.listStatus(self.hadoop("data"))}
+        named = {r["folder"] for r in self.history().where("folder is not null").select("folder").collect()}
+        return sorted(folder for folder, written in there.items() if folder not in named and written <= latest)
 
     def reachable_bytes(self) -> int:
         folders = self.history().where("folder is not null").select("folder").collect()
         return sum(self.files.getContentSummary(self.hadoop(r["folder"])).getLength() for r in folders)
 
-    def collect_garbage(self, apply: bool = False) -> list[str]:
-        """Delete what no commit names; what commits name must be the same before and after."""
-        before, gone = (self.reachable_bytes(), self.history().count()), self.unreachable()
+    def collect_garbage(self, apply: bool = False, older_than_hours: float = 24) -> list[str]:
+        """Delete what no commit names and what is older than the cutoff, so that a build at work keeps what it has
+        written for its next commit; what commits name must be the same before and after."""
+        before, gone = (self.reachable_bytes(), self.history().count()), self.unreachable(older_than_hours)
         if apply:
             for folder in gone:
                 self.files.delete(self.hadoop(folder), True)
@@ -142,66 +206,100 @@ class Archive:
                 raise RuntimeError("collection changed what is reachable")
         return gone
 
-    def status(self, config: ArchiveConfig) -> dict:
-        wanted = self.spark.createDataFrame([(k, json.dumps(v)) for k, v in config.attributes.items()] or [("", "")], "key string, value string").where("key <> ''")
-        pending = attributes.difference(self.attributes(), wanted).where(F.col("change").isin("add", "replace"))
+    def status(self, config: ArchiveConfig, checks: DataFrame | None = None, phases: list[str] | None = None) -> dict:
+        """Where the archive stands on its way to being finished, and what remains to do."""
+        try:
+            verified = clean_audit(checks, phases)["n_checks"] if checks is not None else 0
+        except PermissionError:
+            verified = 0
+        pending = pending_attributes(self, wanted_attributes(self, config, checks if verified else None)).count()
+        tags, gone = sorted(r["name"] for r in self.tags().collect()), self.unreachable()
+        steps = ["verify"] if not verified else [*["attrs"] * bool(pending), *["tag"] * (not tags), *["gc"] * bool(gone)]
+        on_disk = {r["folder"].rsplit("/", 1)[-1]: r["n_files"] for r in object_counts(self.spark, self.path).where(~F.col("folder").contains("/data/")).collect()}
         return {
-            "commits": self.history().count(), "tags": sorted(r["name"] for r in self.tags().collect()), "pending": pending.count(),
-            "reachable_bytes": self.reachable_bytes(), "unreachable": self.unreachable(), "days": self.axis().count(),
+            "commits": self.history().count(), "tags": tags, "pending": pending, "verified_checks": verified, "reachable_bytes": self.reachable_bytes(),
+            "unreachable": gone, "days": self.axis().count(), "files_on_disk": on_disk, "remaining": steps,
         }
 
 
-def prepared(cells: DataFrame, config: ArchiveConfig, axis_days: DataFrame) -> DataFrame:
-    """The raw cells as they are stored: declared and undeclared fill as NaN, days of the axis only."""
-    grid.check_fill(cells, list(config.source_fill_values))
-    own = cells.join(axis_days, "t", "left_semi")
-    return own.withColumn("v", mask_fill(F.col("v"), fill_values(config.source_fill_values)))
+# Building
 
 
-def begin(spark: SparkSession, config: ArchiveConfig, cells: DataFrame) -> tuple[Archive, DataFrame, axis.Bounds]:
-    """Gate the axis, then open or create the archive; a stored axis must be that of the build so far."""
-    present = cells.select("t").distinct()
+def spec_of(config: ArchiveConfig, whole: axis.Bounds) -> dict:
+    return {
+        "variable": config.variable, "strategy": config.write_strategy, "ny": config.ny, "nx": config.nx, "lat": list(config.lat), "lon": list(config.lon),
+        "chunk": list(config.chunk_shape(whole.days)), "first_day": str(whole.first),
+    }
+
+
+def begin(spark: SparkSession, config: ArchiveConfig) -> tuple[Archive, DataFrame, axis.Bounds, dict]:
+    """Gate the axis by the files' names, then open or create the archive; a stored one must be of the same kind and its
+    axis that of the build so far. Returns the files by day."""
+    listed = raw.raw_files(spark, config).collect()  # a name a day
+    files = spark.createDataFrame(listed, "t date, path string")
     declared = spark.createDataFrame([(dt.date.fromisoformat(x[:10]),) for x in config.expected_missing_times], "t date")
-    axis.check_coverage(present, declared)
-    days = axis.complete_axis(present)
+    axis.check_coverage(files, declared)
+    days = axis.complete_axis(files)
+    axis.check_regular(days)
     whole = axis.bounds(days)
     config.check_strategy(whole.days)
-    return Archive(spark, config.store_path, must_exist=False), days, whole
+    config.attributes_of_variable  # refuses unknown variables before anything is written
+    first = raw.raw_cells(spark, config, [r["path"] for r in listed if r["t"] == whole.first])
+    grid.check_fill(first, list(config.source_fill_values))
+    store = Archive(spark, config.store_path, must_exist=False)
+    there, wanted = store.spec(), spec_of(config, whole)
+    other = {k: (there[k], wanted[k]) for k in there if there[k] != wanted.get(k)}
+    if other:
+        raise ValueError("the archive is of another kind: " + "; ".join(f"{k} {a}, not {b}" for k, (a, b) in other.items()))
+    return store, days, whole, {r["t"]: r["path"] for r in listed}
+
+
+def cells_of(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> DataFrame:
+    """The cells of some files as they are stored: declared and undeclared fill as NaN."""
+    if not paths:
+        return spark.createDataFrame([], "t date, y int, x int, v float")
+    return raw.raw_cells(spark, config, paths).withColumn("v", mask_fill(F.col("v"), fill_values(config.source_fill_values)))
+
+
+def pending_attributes(store: Archive, values: dict) -> DataFrame:
+    """(key, value) of ``values`` that the archive does not have so."""
+    wanted = store.spark.createDataFrame([(k, json.dumps(v)) for k, v in values.items()], "key string, value string")
+    return attributes.difference(store.attributes(), wanted).where(F.col("change").isin("add", "replace")).select("key", F.col("after").alias("value"))
 
 
 def write_attributes(store: Archive, values: dict) -> int:
-    """Write the attributes that differ and commit; 0 and no commit if none does."""
-    if not values:
-        return 0
-    wanted = store.spark.createDataFrame([(k, json.dumps(v)) for k, v in values.items()], "key string, value string")
-    changed = attributes.difference(store.attributes(), wanted).where(F.col("change").isin("add", "replace")).select("key", F.col("after").alias("value")).collect()
+    """Write the attributes that differ, then the commit by which they count; 0 and no commit if none does."""
+    changed = pending_attributes(store, values).collect() if values else []
     if changed:
-        tip = store.tip()
-        store.add("attributes", "seq long, key string, value string", [((tip["seq"] if tip else -1) + 1, r["key"], r["value"]) for r in changed])
-        store.commit(f"write {len(changed)} attributes", "attributes")
+        own = uuid.uuid4().hex
+        store.add("attributes", "commit string, key string, value string", [(own, r["key"], r["value"]) for r in changed])
+        store.commit(f"write {len(changed)} attributes", "attributes", own=own)
     return len(changed)
 
 
-def build(spark: SparkSession, config: ArchiveConfig, cells: DataFrame, stop_after: int | None = None) -> Archive:
-    """Build or go on building an archive from raw cells (t, y, x, v). ``stop_after`` ends after so many commits, as an
+def derived_attributes(store: Archive, config: ArchiveConfig) -> dict:
+    """What axis, grid and key say, whether they were there when the archive was built or not."""
+    whole = axis.bounds(store.axis())
+    derived = attributes.placed(whole.first, whole.days, config.ny, config.nx, config.lat, config.lon) if whole.days else {}
+    return derived | (nomenclature(store.spark, config, config.original_units) if config.key else {})
+
+
+def build(spark: SparkSession, config: ArchiveConfig, stop_after: int | None = None) -> Archive:
+    """Build or go on building an archive from its raw files. ``stop_after`` ends after so many commits, as an
     interruption would."""
-    store, days, whole = begin(spark, config, cells)
-    shape = config.chunk_shape(whole.days)
+    store, days, whole, paths = begin(spark, config)
     write = build_append if config.write_strategy == "append" else build_region
-    write(store, config, prepared(cells, config, days), days, whole, shape, stop_after)
-    derived = {k: v for k, v in attributes.coverage(cells).first().asDict().items() if v is not None}
-    named = nomenclature(spark, config, config.original_units) if config.key else {}
-    # Later ones win: what the data says, the key, the masks, the config.
-    write_attributes(store, derived | named | {"source_fill_values_masked": list(config.source_fill_values), "layout": config.suffix} | config.attributes)
+    write(store, config, paths, days, whole, stop_after)
+    masked = {"source_fill_values_masked": list(config.source_fill_values)} if config.source_fill_values else {}
+    # Later ones win: the source, what axis, grid and key say, the masks, the config.
+    write_attributes(store, dict(config.source_attrs) | derived_attributes(store, config) | masked | {"layout": config.suffix} | config.attributes | config.attributes_of_variable)
     return store
 
 
-def build_append(store, config, cells, days, whole, shape, stop_after) -> None:
-    """One commit a batch of whole chunks of days. A store that ends within a batch cannot go on."""
-    if store.has("axis"):
-        axis.check_prefix(store.axis(), days)
-    size = config.commit_days()
-    done = store.history().agg(F.coalesce(F.sum("n_days"), F.lit(0)).alias("n")).first()["n"]
+def build_append(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, stop_after: int | None) -> None:
+    """One commit a batch of whole chunks of days, from the batch's files alone. A store that ends within a batch cannot go on."""
+    axis.check_prefix(store.axis(), days)
+    size, done = config.commit_days(), store.axis().count()
     if done and done < whole.days and done % size:
         raise ValueError(f"the store holds {done} days, which is no whole number of commits of {size}")
     planned = blocks.batches(days, config.timesteps_per_commit, max(1, config.chunks["time"])).where(F.col("start") >= done).orderBy("start")
@@ -209,16 +307,19 @@ def build_append(store, config, cells, days, whole, shape, stop_after) -> None:
         if i == stop_after:
             return
         folder = f"data/{uuid.uuid4().hex}"
-        store.write(grid.box(cells, F.lit(b["first_day"]), F.date_add(F.lit(b["last_day"]), 1)), shape, whole.first, folder)
-        store.add("axis", "t date", [(b["first_day"] + dt.timedelta(k),) for k in range(b["n_days"])])
-        store.commit(f"write timesteps {b['start']}-{b['stop']}", "build", folder, b["n_days"])
+        cells = cells_of(store.spark, config, [p for t, p in paths.items() if b["first_day"] <= t <= b["last_day"]])
+        store.write(cells, config.chunk_shape(whole.days), whole.first, folder)
+        store.commit(
+            f"write timesteps {b['start']}-{b['stop']}", "build", folder, (b["first_day"], b["last_day"]), (0, config.ny, 0, config.nx),
+            None if done or i else spec_of(config, whole), n_days=b["n_days"],
+        )
 
 
-def build_region(store, config, cells, days, whole, shape, stop_after) -> None:
-    """A skeleton commit with the axis, then one commit a block of the grid over the whole record."""
-    if not store.has("axis"):
-        days.coalesce(1).write.parquet(f"{store.path}/axis")
-        store.commit("create skeleton", "skeleton", None, whole.days)
+def build_region(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, stop_after: int | None) -> None:
+    """A skeleton commit with axis and kind, then one commit a block of the grid over the whole record."""
+    span = (whole.first, whole.last)
+    if store.tip() is None:
+        store.commit("create skeleton", "skeleton", None, span, spec=spec_of(config, whole), n_days=whole.days)
     elif not axis.axis_differences(store.axis(), days).isEmpty():
         raise ValueError("the stored axis is not that of this build")
     by, bx = config.block(whole.days)
@@ -229,12 +330,16 @@ def build_region(store, config, cells, days, whole, shape, stop_after) -> None:
     if stray:
         raise ValueError(f"{stray} committed blocks are not of this block shape")
     message = block_message(*[F.col(c) for c in blocks.KEY]).alias("message")
+    cells = cells_of(store.spark, config, list(paths.values()))
     for i, b in enumerate(blocks.remaining(planned, messages).select("*", message).orderBy("y0", "x0").collect()):
         if i == stop_after:
             return
         folder = f"data/{uuid.uuid4().hex}"
-        store.write(grid.box(cells, y=(b["y0"], b["y1"]), x=(b["x0"], b["x1"])), shape, whole.first, folder)
-        store.commit(b["message"], "build", folder)
+        store.write(grid.box(cells, y=(b["y0"], b["y1"]), x=(b["x0"], b["x1"])), config.chunk_shape(whole.days), whole.first, folder)
+        store.commit(b["message"], "build", folder, span, (b["y0"], b["y1"], b["x0"], b["x1"]))
+
+
+# Finishing
 
 
 def clean_audit(checks: DataFrame, phases: list[str]):
@@ -248,14 +353,32 @@ def clean_audit(checks: DataFrame, phases: list[str]):
     return latest
 
 
-def finalize_attributes(store: Archive, config: ArchiveConfig, checks: DataFrame, phases: list[str], apply: bool = False) -> int:
-    """Provenance, written only if the last audit had all phases and no failure; returns how many attributes differ."""
-    latest = clean_audit(checks, phases)
+def provenance(store: Archive, config: ArchiveConfig, checks: DataFrame, current: dict) -> dict:
+    """How the archive was built and verified, read off its commits and its audit. A history that is there and this
+    package's own stays as it is; the source's own is moved to source_history, once."""
+    latest = attributes.totals(checks, ["run"]).orderBy(F.desc("run")).first()
     built = attributes.builds(store.history().withColumn("one", F.lit(1)), ["one"], ADMIN).first()
-    values = {
-        "date_created": built["first_build"].strftime("%Y-%m-%dT%H:%M:%SZ"), "verification": f"{latest['n_checks']} checks, 0 failures",
-        "history": f"built in {built['n_builds']} commits to {built['last_build'].strftime('%Y-%m-%dT%H:%M:%SZ')}",
-    } | config.attributes
-    wanted = store.spark.createDataFrame([(k, json.dumps(v)) for k, v in values.items()], "key string, value string")
-    pending = attributes.difference(store.attributes(), wanted).where(F.col("change").isin("add", "replace")).count()
-    return write_attributes(store, values) if apply else pending
+    stamp = lambda x: x.strftime("%Y-%m-%dT%H:%M:%SZ")
+    history = current.get("history", "")
+    moved = {}
+    if OWN_HISTORY not in history:
+        moved = {"source_history": history} if history and "source_history" not in current else {}
+        unit = "blocks" if config.write_strategy == "region" else "batches"
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        history = f"{stamp(built['first_build'])}/{stamp(built['last_build'])}: {OWN_HISTORY} at {code_revision(root)} from {config.version} {config.product} in {built['n_builds']} commits of {unit}"
+    return moved | {"history": history, "date_created": stamp(built["last_build"]), "verification": f"{latest['n_checks']} checks, 0 failures"}
+
+
+def wanted_attributes(store: Archive, config: ArchiveConfig, checks: DataFrame | None) -> dict:
+    """What the archive should carry, each later part over those before: what it has, axis, grid and key, the config,
+    and, on the evidence of ``checks``, its provenance."""
+    current = {r["key"]: json.loads(r["value"]) for r in store.attributes().collect()}
+    merged = current | derived_attributes(store, config) | config.attributes | config.attributes_of_variable
+    return merged | (provenance(store, config, checks, current) if checks is not None else {})
+
+
+def finalize_attributes(store: Archive, config: ArchiveConfig, checks: DataFrame, phases: list[str], apply: bool = False) -> int:
+    """Attributes and provenance, written only if the last audit had all phases and no failure; returns how many differ."""
+    clean_audit(checks, phases)
+    values = wanted_attributes(store, config, checks)
+    return write_attributes(store, values) if apply else pending_attributes(store, values).count()

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,12 +26,6 @@ def disagreements(left: DataFrame, right: DataFrame, exclude: Sequence[str] = ()
     return both.where(~F.col("key").isin(*exclude) & ~F.col("left_value").eqNullSafe(F.col("right_value")))
 
 
-def merged(*tables: DataFrame) -> DataFrame:
-    """(key, value): of each key the value of the last table that has it."""
-    ranked = reduce(DataFrame.unionByName, [x.select("key", "value").withColumn("_at", F.lit(i)) for i, x in enumerate(tables)])
-    return ranked.groupBy("key").agg(F.max_by("value", "_at").alias("value"))
-
-
 def look_up(names: DataFrame, key: DataFrame) -> DataFrame:
     """(original, canonical, known) of names by a key table."""
     return names.join(key, "original", "left").select("original", "canonical", F.col("canonical").isNotNull().alias("known"))
@@ -47,6 +41,18 @@ def coverage(cube: DataFrame) -> DataFrame:
     )
 
 
+def placed(first_day, n_days: int, ny: int, nx: int, lat: tuple[float, float], lon: tuple[float, float]) -> dict[str, object]:
+    """Coverage attributes of an axis and a grid, by their numbers: days, and cell centres rounded to 4 places."""
+    last = first_day + dt.timedelta(n_days - 1)
+    ends = lambda first, step, n: sorted((round(first, 4), round(first + step * (n - 1), 4)))
+    (south, north), (west, east) = ends(*lat, ny), ends(*lon, nx)
+    return {
+        "time_coverage_start": str(first_day), "time_coverage_end": str(last), "time_coverage_resolution": "P1D", "time_coverage_duration": f"P{n_days}D",
+        "geospatial_lat_min": south, "geospatial_lat_max": north, "geospatial_lat_resolution": round(abs(lat[1]), 4),
+        "geospatial_lon_min": west, "geospatial_lon_max": east, "geospatial_lon_resolution": round(abs(lon[1]), 4),
+    }
+
+
 def totals(checks: DataFrame, by: Sequence[str]) -> DataFrame:
     return checks.groupBy(*by).agg(F.count("*").alias("n_checks"), F.count_if(~F.col("ok")).alias("n_failures"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 from functools import reduce
@@ -16,7 +17,10 @@ from .archive import BY_LAYOUT, Archive
 from .provenance import nomenclature
 
 PHASES = ["structure", "index", "samples", "sweep", "sentinel"]
-REQUIRED = ("time_coverage_start", "time_coverage_end", "time_coverage_resolution", "time_coverage_duration", "source_fill_values_masked", "layout")
+REQUIRED = (
+    "time_coverage_start", "time_coverage_end", "time_coverage_resolution", "time_coverage_duration", "geospatial_lat_min", "geospatial_lat_max",
+    "geospatial_lat_resolution", "geospatial_lon_min", "geospatial_lon_max", "geospatial_lon_resolution", "layout",
+)
 
 
 def check(df: DataFrame, phase: str, label: str, ok: Column, detail: Column) -> DataFrame:
@@ -29,24 +33,41 @@ def none(df: DataFrame, phase: str, label: str) -> DataFrame:
     return check(df.agg(F.count("*").alias("n")), phase, label, F.col("n") == 0, F.col("n"))
 
 
+def said(spark, phase: str, label: str, ok: bool, detail) -> DataFrame:
+    """A verdict from what the driver knows."""
+    return spark.createDataFrame([(phase, label, bool(ok), str(detail))], "phase string, label string, ok boolean, detail string")
+
+
 def structure(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFrame]:
+    spark, spec = store.spark, store.spec()
+    whole = axis.bounds(store.axis())
+    chunk = config.chunk_shape(whole.days)
     kinds = dict(store.read().dtypes)
     one = store.history().agg(F.count_if(F.col("kind") == "build").alias("builds"), F.count_if(F.col("kind") == "skeleton").alias("skeletons"))
+    region = config.write_strategy == "region"
+    if region:
+        by, bx = config.block(whole.days)
+        wanted = -(-config.ny // by) * -(-config.nx // bx)
+    else:
+        wanted = -(-whole.days // config.commit_days())
     attrs = store.attributes().agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    missing = F.array_except(F.array(*map(F.lit, [*REQUIRED, *config.attributes])), F.col("keys"))
-    strategy = config.write_strategy
-    chunk = config.chunk_shape(axis.bounds(store.axis()).days)
+    missing = F.array_except(F.array(*map(F.lit, [*REQUIRED, *config.attributes, *config.attributes_of_variable])), F.col("keys"))
+    masked = F.array_contains("keys", "source_fill_values_masked") == F.lit(bool(config.source_fill_values))
+    cells = store.read().agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.count_if(F.isnan("v")).alias("nan"))
     layout = "temporal" if config.chunks["time"] == -1 else "spatial"
-    cells = store.read().agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
     return [
+        said(spark, "structure", "one variable, the config's", store.variables() == {config.variable}, store.variables()),
         check(one, "structure", "cells are (date, int, int, float)", F.lit(kinds == {"t": "date", "y": "int", "x": "int", "v": "float"}), F.lit(str(kinds))),
+        said(spark, "structure", "the grid is the config's", (spec.get("ny"), spec.get("nx")) == (config.ny, config.nx), spec.get("ny")),
         check(cells, "structure", "cells lie in the grid", (F.col("y0") >= 0) & (F.col("x0") >= 0) & (F.col("y1") < config.ny) & (F.col("x1") < config.nx), F.col("y1")),
+        check(cells, "structure", "fill is not stored", F.col("nan") == 0, F.col("nan")),
+        said(spark, "structure", f"chunks have the shape {chunk}", tuple(spec.get("chunk", ())) == chunk, spec.get("chunk")),
+        none(misplaced(store, chunk), "structure", f"cells lie in their chunk of the shape {chunk}"),
         check(attrs, "structure", "required attributes", F.size(missing) == 0, F.concat_ws(",", missing)),
-        check(one, "structure", "commits of the strategy", (F.col("builds") >= 1) & (F.col("skeletons") == (1 if strategy == "region" else 0)), F.col("builds")),
-        check(one, "structure", "directory is the layout", F.lit(f"/{config.suffix}/" in store.path), F.lit(store.path)),
-        check(one, "structure", "directory names the layout of the chunks", F.lit(layout in config.suffix), F.lit(config.suffix)),
-        none(misplaced(store, chunk), "structure", f"chunks have the shape {chunk}"),
-        none(store.read().where(F.isnan("v")), "structure", "fill is not stored"),
+        check(attrs, "structure", "masked values are named if there are any", masked, F.lit(str(config.source_fill_values))),
+        check(one, "structure", "commits of the strategy", (F.col("builds") >= wanted) & (F.col("skeletons") == int(region)), F.col("builds")),
+        said(spark, "structure", "directory is the layout", f"/{config.suffix}/" in store.path, store.path),
+        said(spark, "structure", "directory names the layout of the chunks", layout in config.suffix, config.suffix),
         *names(store, config),
     ]
 
@@ -56,30 +77,48 @@ def misplaced(store: Archive, chunk: tuple[int, int, int]) -> DataFrame:
     days, ny, nx = chunk
     first = axis.bounds(store.axis()).first
     place = (F.floor(F.datediff("t", F.lit(first)) / days) != F.col("tc")) | (F.floor(F.col("y") / ny) != F.col("ty")) | (F.floor(F.col("x") / nx) != F.col("tx"))
-    return store.chunked().select("tc", "ty", "tx", F.inline("cells")).where(place)
+    return store.chunked().where(place)
 
 
 def names(store: Archive, config: ArchiveConfig) -> list[DataFrame]:
-    """A verdict for each attribute that the nomenclature key gives; none without a key."""
+    """A verdict for each attribute that the nomenclature key gives, for the standard name and for what the store's own
+    name says; none without a key."""
     if not config.key:
         return []
-    spark, out = store.spark, []
+    spark = store.spark
+    there = {r["key"]: json.loads(r["value"]) for r in store.attributes().collect()}
+    out = []
     for key, value in nomenclature(spark, config, config.original_units).items():
-        found = store.attributes().where(F.col("key") == key).agg(F.max("value").alias("value"))
-        ok = F.col("value") == json.dumps(value)
+        ok = there.get(key) == value
         if key == "original_units":
-            ok &= F.lit(bool(value))
-        out.append(check(found, "structure", f"{key} is the key's", ok, F.col("value")))
+            ok = ok and bool(value)
+        out.append(said(spark, "structure", f"{key} is the key's", ok, there.get(key)))
+    out.append(said(spark, "structure", "a standard name is there", there.get(f"{config.variable}:standard_name") or there.get("standard_name"), sorted(there)))
+    own = store.path.rsplit("/", 1)[-1]
+    tokens = [config.fields[x] for x in ("version", "period", "frequency", "variable") if "{" + x + "}" in config.filename]
+    out.append(said(spark, "structure", "the store's name carries its tokens", tokens and all(x in own for x in tokens), own))
     return out
 
 
 def index(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFrame]:
+    spark, spec = store.spark, store.spec()
     expected = axis.complete_axis(raw.select("t"))
     steps = axis.steps(store.axis()).where("step is not null").agg(F.count_distinct("step").alias("n"), F.max("step").alias("step"))
     gaps = axis.missing_days(raw.select("t"))
+    lasts = store.axis().agg(F.concat(F.lit("P"), F.count_distinct("t").cast("string"), F.lit("D")).alias("span"))
+    duration = store.attributes().where("key = 'time_coverage_duration'").agg(F.max("value").alias("value")).join(lasts)  # a row each
+    grown = store.coordinates("lat").agg(F.min("lat").alias("a"), F.max("lat").alias("b")).join(store.coordinates("lon").agg(F.min("lon").alias("c"), F.max("lon").alias("d")))
+    ends = {r["key"]: float(json.loads(r["value"])) for r in store.attributes().where(F.col("key").rlike("^geospatial_l(at|on)_(min|max)$")).collect()}
+    names = ("geospatial_lat_min", "geospatial_lat_max", "geospatial_lon_min", "geospatial_lon_max")
+    close = F.lit(len(ends) == 4)
+    for column, name in zip("abcd", names, strict=True):
+        close &= F.col(column) == F.lit(ends.get(name, float("nan"))).cast("float")
     return [
         none(axis.axis_differences(store.axis(), expected), "index", "axis is the complete one of the raw files"),
         check(steps, "index", "one step", F.col("n") <= 1, F.col("n")),
+        check(duration, "index", "the duration is the axis's", F.col("value") == F.concat(F.lit('"'), "span", F.lit('"')), F.col("value")),
+        said(spark, "index", "lat and lon are the source's", (spec.get("lat"), spec.get("lon")) == (list(config.lat), list(config.lon)), spec.get("lat")),
+        check(grown, "index", "lat and lon end where the attributes say", close, F.concat_ws("/", *[F.col(c).cast("string") for c in "abcd"])),
         none(store.read().join(gaps, "t", "left_semi"), "index", "days without a file are fill"),
         none(store.axis().groupBy("t").count().where("count > 1"), "index", "no day twice"),
     ]
@@ -100,21 +139,38 @@ def boxes(config: ArchiveConfig, whole: axis.Bounds, n: int, days: int, seed: in
     return out
 
 
-def samples(store: Archive, config: ArchiveConfig, raw: DataFrame, n: int = 24, days: int = 400, seed: int = 20) -> list[DataFrame]:
-    from ..sources.raw import raw_box
+def in_boxes(cells: DataFrame, listed: list[tuple]) -> DataFrame:
+    """(box, t, y, x, v) of the cells of every box (first day, last day, y, x), a cell once for each box that holds it.
+    One scan for all of them."""
+    inside = [
+        F.col("t").between(a, b) & (F.col("y") >= y[0]) & (F.col("y") < y[1]) & (F.col("x") >= x[0]) & (F.col("x") < x[1]) for a, b, y, x in listed
+    ]
+    held = F.array_compact(F.array(*[F.when(one, F.lit(i)) for i, one in enumerate(inside)]))
+    return cells.where(reduce(Column.__or__, inside)).select(F.explode(held).alias("box"), "t", "y", "x", "v")
+
 
+def samples(store: Archive, config: ArchiveConfig, raw: DataFrame, n: int = 24, days: int = 400, seed: int = 20) -> list[DataFrame]:
+    """All boxes of both sides by one scan each, compared in one join; a box without any cell on either side agrees."""
     whole = axis.bounds(store.axis())
-    fills = fill_values(config.source_fill_values)
-    out = []
-    for k, span, y, x in boxes(config, whole, n, days, seed):
-        t0 = F.date_add(F.lit(whole.first), k)
-        t1 = F.date_add(F.lit(whole.first), k + span)
-        found = grid.compare(store.dense(y, x, t0, t1), raw_box(raw, store.axis(), t0, t1, y, x), fills)
-        out.append(check(found, "samples", f"box day {k} y {y[0]} x {x[0]}", F.col("mask_ok") & F.col("values_ok"), F.concat_ws("/", F.col("n_different").cast("string"), F.col("n_valid").cast("string"))))
-    return out
+    listed = [(whole.first + dt.timedelta(k), whole.first + dt.timedelta(k + span - 1), y, x) for k, span, y, x in boxes(config, whole, n, days, seed)]
+    found = grid.compare(in_boxes(store.read(), listed), in_boxes(raw, listed), fill_values(config.source_fill_values), by=["box"])
+    labels = store.spark.createDataFrame([(i, f"box {a} to {b} y {y[0]} x {x[0]}") for i, (a, b, y, x) in enumerate(listed)], "box int, name string")
+    both = labels.join(found, "box", "left")
+    ok = F.coalesce(F.col("mask_ok") & F.col("values_ok"), F.lit(True))
+    detail = F.concat_ws("/", F.coalesce("n_different", F.lit(0)).cast("string"), F.coalesce("n_valid", F.lit(0)).cast("string"))
+    return [both.select(F.lit("samples").alias("phase"), F.col("name").alias("label"), ok.alias("ok"), detail.alias("detail"))]
+
+
+def reread(store: Archive, config: ArchiveConfig, raw: DataFrame, place: list[Column], k: int) -> DataFrame:
+    """The ``k`` smallest chunks against the raw, cell by cell."""
+    least = store.manifest().orderBy("n_cells", "tc", "ty", "tx").limit(k).select("tc", "ty", "tx")
+    few = F.broadcast(least)  # k rows
+    own = store.chunked().join(few, ["tc", "ty", "tx"], "left_semi").select("t", "y", "x", "v")
+    there = raw.select(*place, "t", "y", "x", "v").join(few, ["tc", "ty", "tx"], "left_semi").select("t", "y", "x", "v")
+    return grid.compare(own, there, fill_values(config.source_fill_values))
 
 
-def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFrame]:
+def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame, smallest: int = 3) -> list[DataFrame]:
     whole = axis.bounds(store.axis())
     days, ny, nx = config.chunk_shape(whole.days)
     tall, wide, deep = -(-config.ny // ny), -(-config.nx // nx), -(-whole.days // days)
@@ -129,6 +185,7 @@ def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFra
         none(outside, "sweep", "chunks lie in the grid"),
         none(manifest.groupBy("tc", "ty", "tx").count().where("count > 1"), "sweep", "no chunk twice"),
         none(with_data.join(manifest, ["tc", "ty", "tx"], "left_anti"), "sweep", "chunks with raw data are written"),
+        check(reread(store, config, raw, place, smallest), "sweep", "the smallest chunks agree", F.col("mask_ok") & F.col("values_ok"), F.col("n_different")),
         none(manifest.join(with_data, ["tc", "ty", "tx"], "left").where(~F.col("n_cells").eqNullSafe(F.col("n_raw"))), "sweep", "chunks hold as many cells as the raw has"),
     ]
 
@@ -155,10 +212,15 @@ def sentinel(store: Archive, config: ArchiveConfig, raw: DataFrame, planes: int
 
 def metadata(store: Archive, config: ArchiveConfig, sibling: Archive) -> list[DataFrame]:
     """Against the other layout of the same record."""
+    place = lambda x: {k: x.spec().get(k) for k in ("variable", "ny", "nx", "lat", "lon")}
+    days = grid.contents(store.read()).join(grid.contents(sibling.read()).toDF("t", "n_2", "digest_2"), "t", "full_outer")
+    own = F.col("key").contains(":")
     return [
         none(axis.axis_differences(store.axis(), sibling.axis()), "metadata", "axes agree"),
-        none(attributes.disagreements(store.attributes(), sibling.attributes(), BY_LAYOUT), "metadata", "attributes agree"),
-        none(store.read().exceptAll(sibling.read()).union(sibling.read().exceptAll(store.read())), "metadata", "cells agree"),
+        said(store.spark, "metadata", "variable, grid and coordinates agree", place(store) == place(sibling), place(sibling)),
+        none(attributes.disagreements(store.attributes().where(~own), sibling.attributes().where(~own), BY_LAYOUT), "metadata", "attributes agree"),
+        none(attributes.disagreements(store.attributes().where(own), sibling.attributes().where(own)), "metadata", "attributes of the variable agree"),
+        none(days.where(~(F.col("n").eqNullSafe(F.col("n_2")) & F.col("digest").eqNullSafe(F.col("digest_2")))), "metadata", "cells agree on every day"),
     ]
 
 
@@ -169,6 +231,7 @@ def audit(store: Archive, config: ArchiveConfig, raw: DataFrame, phases: list[st
     unknown = set(wanted) - {*known, "metadata"}
     if unknown or ("metadata" in wanted and sibling is None):
         raise ValueError(f"unknown phases: {sorted(unknown)}" if unknown else "metadata needs a sibling")
-    parts = [x for p in wanted if p in known for x in known[p](store, config, raw, **(options if p == "samples" else {}))]
+    smallest = {"smallest": options.pop("smallest", 3)}
+    parts = [x for p in wanted if p in known for x in known[p](store, config, raw, **(options if p == "samples" else smallest if p == "sweep" else {}))]
     parts += metadata(store, config, sibling) if "metadata" in wanted else []
     return reduce(DataFrame.unionByName, parts)

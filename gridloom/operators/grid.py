@@ -109,20 +109,27 @@ def mask_footprints(cube: DataFrame, fills: Sequence[float] = (), kind: str = "f
     return cube.groupBy("t").agg(F.count_if(gone).alias("n_masked"), F.coalesce(F.sum(F.when(gone, place)), F.lit(0)).cast("string").alias("footprint"))
 
 
-def compare(stored: DataFrame, raw: DataFrame, fills: Sequence[float] = (), kind: str = "float") -> DataFrame:
-    """One row: cells, masks that agree, values that agree, valid cells. A cell that one side lacks is NaN there, and a
-    fill value in the raw is what the store must have masked."""
-    a = stored.select("t", "y", "x", F.col("v").alias("a"))
-    b = raw.select("t", "y", "x", mask_fill(F.col("v"), fills, kind).alias("b"))
+def compare(stored: DataFrame, raw: DataFrame, fills: Sequence[float] = (), kind: str = "float", by: Sequence[str] = ()) -> DataFrame:
+    """One row, or one for each ``by``: cells, masks that agree, values that agree, valid cells. A cell that one side
+    lacks is NaN there, and a fill value in the raw is what the store must have masked."""
+    a = stored.select(*by, "t", "y", "x", F.col("v").alias("a"))
+    b = raw.select(*by, "t", "y", "x", mask_fill(F.col("v"), fills, kind).alias("b"))
     nan = F.lit(NAN).cast(kind)
-    both = a.join(b, ["t", "y", "x"], "full_outer").select(F.coalesce("a", nan).alias("a"), F.coalesce("b", nan).alias("b"))
-    return both.agg(
+    both = a.join(b, [*by, "t", "y", "x"], "full_outer").select(*by, F.coalesce("a", nan).alias("a"), F.coalesce("b", nan).alias("b"))
+    return both.groupBy(*by).agg(
         F.count("*").alias("n_cells"), F.coalesce(F.bool_and(F.isnan("a") == F.isnan("b")), F.lit(True)).alias("mask_ok"),
         F.coalesce(F.bool_and(F.isnan("a") | F.isnan("b") | (F.col("a") == F.col("b"))), F.lit(True)).alias("values_ok"),
         F.count_if(~same_cell(F.col("a"), F.col("b"))).alias("n_different"), F.count_if(~F.isnan("b")).alias("n_valid"),
     )
 
 
+def contents(cube: DataFrame) -> DataFrame:
+    """(t, n, digest): how many cells a day has, and an order-free hash of their places and values. Aggregated before
+    the shuffle, so whole cubes are compared by a row a day."""
+    cell = F.xxhash64("y", "x", "v").cast("decimal(38,0)")
+    return cube.groupBy("t").agg(F.count("*").alias("n"), F.sum(cell).cast("string").alias("digest"))
+
+
 def overlap_statistics(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row about the cells that two products share: correlation, root mean square difference, bias, share identical."""
     both = a.select("t", "y", "x", F.col("v").cast("double").alias("a")).join(b.select("t", "y", "x", F.col("v").cast("double").alias("b")), ["t", "y", "x"])

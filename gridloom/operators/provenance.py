@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ArchiveConfig
+from ..functions.naming import unit_note
 from ..sources.key import key_table
 
 VARIABLE_COLUMNS = ["original_variable_name", "canonical_name", "canonical_units", "canonical_long_name", "unit_conversion"]
@@ -21,10 +22,8 @@ def nomenclature(spark: SparkSession, config: ArchiveConfig, original_units: str
     often = key_table(spark, config.key, FREQUENCY_COLUMNS).where(F.col("original_frequency_name") == config.resolution).first()
     if named is None or often is None:
         raise ValueError(f"the key has no {config.variable!r}" if named is None else f"the key has no {config.resolution!r}")
-    same = original_units == named["canonical_units"]
-    note = named["unit_conversion"]
-    if note == "none" and not same:
-        note = f"none: {original_units} and {named['canonical_units']} are one unit"
+    units = F.lit(original_units)
+    note = spark.range(1).select(unit_note(F.lit(named["unit_conversion"]), units, F.lit(named["canonical_units"]))).first()[0]
     return {
         "variable_name": named["canonical_name"], "units": named["canonical_units"], "long_name": named["canonical_long_name"],
         "original_variable_name": config.variable, "original_units": original_units, "unit_conversion": note,

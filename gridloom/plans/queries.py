@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -50,8 +51,8 @@ def axis_missing_days(spark, sf_dir):
 
 
 def declared_days(days: DataFrame) -> DataFrame:
-    """The declared gaps as a table; one row of the input carries them, so no table is made up."""
-    return days.limit(1).select(F.explode(F.array(*[F.lit(d).cast("date") for d in DECLARED])).alias("t"))
+    """The gaps that a config declares, whatever days there are."""
+    return days.sparkSession.createDataFrame([(dt.date.fromisoformat(d),) for d in DECLARED], "t date")
 
 
 @query(f"""WITH {cubes.AXIS}, {DECLARED_SQL}
@@ -89,8 +90,10 @@ def gap_islands(spark, sf_dir):
     return found.select(text("first_day").alias("first_day"), text("last_day").alias("last_day"), "n_days")
 
 
-@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS t FROM orders)
-SELECT strftime(t, '%Y%j') AS stamp, CAST(CAST(strptime(strftime(t, '%Y%j'), '%Y%j') AS DATE) AS VARCHAR) AS day, TRUE AS same FROM d""")
+@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS t FROM orders),
+s AS (SELECT t, strftime(t, '%Y%j') AS stamp FROM d),
+b AS (SELECT t, stamp, make_date(CAST(substr(stamp, 1, 4) AS INTEGER), 1, 1) + CAST(substr(stamp, 5) AS INTEGER) - 1 AS day FROM s)
+SELECT stamp, CAST(day AS VARCHAR) AS day, day = t AS same FROM b""")
 def doy_stamp_roundtrip(spark, sf_dir):
     stamped = cubes.order_days(spark, sf_dir).distinct().select("t", naming.stamp_of(F.col("t")).alias("stamp"))
     back = naming.day_of_stamp(F.col("stamp"))
@@ -157,13 +160,13 @@ def tile_unwritten_with_data(spark, sf_dir):
     return gone.select(text("t").alias("t"), "ty", "tx")
 
 
-@query(f"""WITH {cubes.AXIS}, daily AS (SELECT CAST(o_orderdate AS DATE) AS t, count(*) AS n FROM orders GROUP BY 1)
-SELECT CAST(m.t AS VARCHAR) AS t, TRUE AS all_fill FROM missing m LEFT JOIN daily USING (t)""")
+@query(f"""WITH {cubes.AXIS}, {cubes.ORDER_CUBE}, n AS (SELECT t, count(*) AS n FROM order_cube GROUP BY 1)
+SELECT CAST(a.t AS VARCHAR) AS t, n IS NULL AS is_gap, {NY * NX} - coalesce(n, 0) AS n_fill, coalesce(n, 0) = 0 AS all_fill FROM axis a LEFT JOIN n USING (t)""")
 def gap_day_all_fill(spark, sf_dir):
     cube = cubes.order_cube(spark, sf_dir)
     whole = axis.densify(cube, axis.complete_axis(cube)).withColumn("v", F.coalesce("v", F.lit(NAN)))
-    per_day = whole.groupBy("t", "is_gap").agg(F.bool_and(F.isnan("v")).alias("all_fill"))
-    return per_day.where("is_gap").select(text("t").alias("t"), "all_fill")
+    per_day = whole.groupBy("t", "is_gap").agg(F.bool_and(F.isnan("v")).alias("all_fill"), (NY * NX - F.count_if(~F.isnan("v"))).alias("n_fill"))
+    return per_day.select(text("t").alias("t"), "is_gap", "n_fill", "all_fill")
 
 
 @query(f"""WITH {cubes.CORNER_CUBE}, d AS (
@@ -177,13 +180,16 @@ def mask_footprint_static(spark, sf_dir):
 # Comparison
 
 
-@query(f"""WITH {cubes.CORNER_CUBE}, a AS (SELECT t, y, x, CASE WHEN v = {CORNER_FILL} THEN NULL ELSE v END AS a FROM corner_cube WHERE y < 30),
-b AS (SELECT t, y, x, CASE WHEN v = {CORNER_FILL} THEN NULL ELSE v END AS b FROM corner_cube WHERE y < 30)
-SELECT count(*) AS n_cells, bool_and((a IS NULL) = (b IS NULL)) AS mask_ok, bool_and(a IS NULL OR b IS NULL OR a = b) AS values_ok,
-count(*) FILTER (a IS DISTINCT FROM b) AS n_different, count(b) AS n_valid FROM a FULL JOIN b USING (t, y, x)""")
+@query(f"""WITH {cubes.CORNER_CUBE}, r AS (SELECT t, y, x, CASE WHEN v = {CORNER_FILL} THEN NULL ELSE v END AS v FROM corner_cube WHERE y < 30),
+a AS (SELECT t, y, x, CASE WHEN x = 20 THEN v + 1 ELSE v END AS a FROM r WHERE x <> 30), b AS (SELECT t, y, x, v AS b FROM r)
+SELECT y // 15 AS part, count(*) AS n_cells, bool_and((a IS NULL) = (b IS NULL)) AS mask_ok, bool_and(a IS NULL OR b IS NULL OR a = b) AS values_ok,
+count(*) FILTER (a IS DISTINCT FROM b) AS n_different, count(b) AS n_valid FROM a FULL JOIN b USING (t, y, x) GROUP BY 1""")
 def box_compare_exact(spark, sf_dir):
-    raw = grid.box(cubes.corner_cube(spark, sf_dir), y=(0, 30))
-    return grid.compare(grid.masked(raw, FILLS), raw, FILLS)
+    """Against a copy without one column of cells and with another one changed: the findings are known by count."""
+    part = F.floor(F.col("y") / 15).alias("part")
+    raw = grid.box(cubes.corner_cube(spark, sf_dir), y=(0, 30)).select(part, "t", "y", "x", "v")
+    stored = grid.masked(raw, FILLS).where("x <> 30").withColumn("v", F.when(F.col("x") == 20, F.col("v") + 1).otherwise(F.col("v")).cast("float"))
+    return grid.compare(stored, raw, FILLS, by=["part"])
 
 
 @query(f"""WITH {cubes.LINE_CUBE}, {cubes.ORDER_CUBE}, o AS (SELECT t, y, x, CAST(v AS FLOAT) AS v FROM order_cube)
@@ -193,16 +199,23 @@ def box_compare_findings(spark, sf_dir):
     return grid.compare(cubes.line_cube(spark, sf_dir), cubes.order_cube(spark, sf_dir).withColumn("v", F.col("v").cast("float")))
 
 
-@query(f"""WITH {cubes.LINE_CUBE} SELECT 'by day' AS layout, count(*) AS n_cells, count(DISTINCT t) AS n_chunks, 0 AS n_only_here FROM line_cube
-UNION ALL SELECT 'by tile', count(*), count(DISTINCT (y // {EDGE}) * 1000 + x // {EDGE}), 0 FROM line_cube""")
+@query(f"""WITH {cubes.LINE_CUBE}, n AS (SELECT *, CAST(round(CAST(v AS DOUBLE) * 100) AS BIGINT) * (y * {NX} + x + 1) AS weighed, t - DATE '1900-01-01' AS day FROM line_cube)
+SELECT 'by day' AS layout, count(*) AS n_cells, count(DISTINCT t) AS n_chunks, CAST(sum(weighed) AS BIGINT) AS checksum, CAST(sum(weighed % 1009 * day) AS BIGINT) AS checksum_of_days FROM n
+UNION ALL SELECT 'by tile', count(*), count(DISTINCT (day // 100) * 1000000 + (y // {EDGE}) * 1000 + x // {EDGE}), CAST(sum(weighed) AS BIGINT), CAST(sum(weighed % 1009 * day) AS BIGINT) FROM n""")
 def layout_equivalence(spark, sf_dir):
+    """One pass over each layout: its chunks, and sums over its cells in which each cell's place and day have a weight."""
     cube = cubes.line_cube(spark, sf_dir)
-    by_day = blocks.chunks(cube, ["t"]).transform(blocks.cells)
-    by_tile = blocks.chunks(cube.select("*", *grid.tile(EDGE)), ["ty", "tx"]).transform(blocks.cells)
-    side = lambda name, own, other, chunk: own.agg(F.count("*").alias("n_cells"), F.count_distinct(*chunk).alias("n_chunks")).join(
-        own.select("t", "y", "x", "v").exceptAll(other.select("t", "y", "x", "v")).agg(F.count("*").cast("int").alias("n_only_here"))
-    ).select(F.lit(name).alias("layout"), "n_cells", "n_chunks", "n_only_here")
-    return side("by day", by_day, by_tile, ["t"]).unionByName(side("by tile", by_tile, by_day, ["ty", "tx"]))
+    span = F.floor(naming.days_since_epoch(F.col("t")) / 100).cast("int")
+    layouts = {"by day": (cube, ["t"]), "by tile": (cube.select("*", *grid.tile(EDGE), span.alias("tc")), ["tc", "ty", "tx"])}
+    weighed = F.round(F.col("v").cast("double") * 100).cast("long") * (F.col("y") * NX + F.col("x") + 1)
+    out = []
+    for name, (own, chunk) in layouts.items():
+        found = blocks.chunks(own, chunk).transform(blocks.cells)
+        out.append(found.agg(
+            F.count("*").alias("n_cells"), F.count_distinct(*chunk).alias("n_chunks"), F.sum(weighed).alias("checksum"),
+            F.sum(weighed % 1009 * naming.days_since_epoch(F.col("t"))).alias("checksum_of_days"),
+        ).select(F.lit(name).alias("layout"), "n_cells", "n_chunks", "checksum", "checksum_of_days"))
+    return out[0].unionByName(out[1])
 
 
 @query(f"WITH {cubes.LINE_CUBE} SELECT CAST(t AS VARCHAR) AS t, CAST(v AS DOUBLE) AS v FROM line_cube WHERE y = 7 AND x = 11")
@@ -289,7 +302,10 @@ def blocks_remaining(spark, sf_dir):
     return blocks.remaining(plan, done).withColumn("message", message)
 
 
-@query(f"""WITH {BLOCKS_SQL} SELECT variable, y0, y1, x0, x1, TRUE AS same FROM plan""")
+@query(f"""WITH {BLOCKS_SQL}, said AS (SELECT *, 'write block ' || variable || ' y[' || y0 || ':' || y1 || '] x[' || x0 || ':' || x1 || ']' AS message FROM plan),
+back AS (SELECT *, string_split(regexp_replace(message, '[^0-9]+', ' ', 'g'), ' ') AS n, string_split(message, ' ')[3] AS v FROM said)
+SELECT v AS variable, CAST(n[2] AS INTEGER) AS y0, CAST(n[3] AS INTEGER) AS y1, CAST(n[4] AS INTEGER) AS x0, CAST(n[5] AS INTEGER) AS x1,
+v = variable AND n[2:5] = [CAST(y0 AS VARCHAR), CAST(y1 AS VARCHAR), CAST(x0 AS VARCHAR), CAST(x1 AS VARCHAR)] AS same FROM back""")
 def commit_message_parse(spark, sf_dir):
     plan = blocks.plan(cubes.line_cube(spark, sf_dir), ["quantity"], 25, 20)
     names = ["variable", "y0", "y1", "x0", "x1"]
@@ -384,10 +400,10 @@ def name_tokens(spark, sf_dir):
     return part.select(F.col("p_brand").alias("version"), token.alias("token"), two[0].alias("period"), two[1].alias("resolution"))
 
 
-@query("""WITH s AS (SELECT l_shipdate::DATE AS t, count(*) AS n FROM lineitem GROUP BY 1), h AS (SELECT 'ends' AS kind, min(t) AS t FROM s UNION SELECT 'ends', max(t) FROM s)
-SELECT count(*) AS n_ends, 2 AS n_wanted FROM h""")
+@query("""WITH s AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS t FROM lineitem)
+SELECT CAST(min(t) AS VARCHAR) AS first_day, CAST(max(t) AS VARCHAR) AS last_day, count(*) >= 22 AS enough FROM s""")
 def sample_ends(spark, sf_dir):
-    days = axis.days(cubes.read(spark, sf_dir, "lineitem"), "l_shipdate").distinct()
-    ends = days.agg(F.min("t").alias("a"), F.max("t").alias("b")).select(F.explode(F.array("a", "b")).alias("t"))
-    drawn = grid.sampled_days(days, 24, 20)
-    return drawn.join(ends.distinct(), "t", "left_semi").agg(F.count("*").alias("n_ends"), F.lit(2).alias("n_wanted"))
+    """Both ends of the axis are in the draw, and about as many days as asked for."""
+    drawn = grid.sampled_days(axis.days(cubes.read(spark, sf_dir, "lineitem"), "l_shipdate").distinct(), 24, 20)
+    ends = drawn.agg(F.min("t").alias("a"), F.max("t").alias("b"), F.count("*").alias("n"))
+    return ends.select(text("a").alias("first_day"), text("b").alias("last_day"), F.col("n").between(22, 24).alias("enough"))

@@ -8,38 +8,33 @@ from pyspark.sql import functions as F
 from ..operators.attributes import look_up
 
 
-def pipe_tables(spark: SparkSession, path: str) -> list[tuple[list[str], list[list[str]]]]:
-    """(header, rows) of every pipe table, backticks off, separator lines left out. A key is a page of text."""
-    lines = spark.read.text(path, wholetext=True).first()["value"].splitlines()
-    tables: list[tuple[list[str], list[list[str]]]] = []
-    inside = False
-    for line in map(str.strip, lines):
-        if not line.startswith("|"):
-            inside = False
-            continue
-        cells = [c.strip().strip("`").strip() for c in line.strip("|").split("|")]
-        if all(set(c) <= set("-: ") for c in cells):
-            continue
-        if inside:
-            tables[-1][1].append(cells)
-        else:
-            tables.append((cells, []))
-            inside = True
-    return tables
+def pipe_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(table, at, header, cells) of every row of every pipe table of a text: a table is lines in a row that begin with a
+    bar, its first line the header. Backticks are off, separator lines left out. A key is a page of text."""
+    by_line = Window.orderBy("at")
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "line")).withColumn("line", F.trim("line"))
+    numbered = lines.withColumn("table", F.count_if(~F.col("line").startswith("|")).over(by_line)).where(F.col("line").startswith("|"))
+    inner = F.regexp_replace("line", r"^\|+|\|+$", "")
+    cells = F.transform(F.split(inner, r"\|"), lambda c: F.regexp_replace(c, r"^[\s`]+|[\s`]+$", ""))
+    rows = numbered.select("table", "at", cells.alias("cells")).where(~F.forall("cells", lambda c: c.rlike("^[-: ]*$")))
+    of_table = Window.partitionBy("table").orderBy("at")
+    return rows.select("table", "at", F.first("cells").over(of_table).alias("header"), "cells", F.row_number().over(of_table).alias("n")).where("n > 1").drop("n")
 
 
 def key_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """The one table that has ``columns``. Refuses none or several, an incomplete row, and a canonical name twice."""
-    fits = [(header, rows) for header, rows in pipe_tables(spark, path) if set(columns) <= set(header)]
-    if len(fits) != 1:
-        raise ValueError(f"{len(fits)} tables have the columns {columns}")
-    header, rows = fits[0]
-    short = [r for r in rows if len(r) != len(header) or not all(r[header.index(c)] for c in columns)]
+    wanted = F.array(*map(F.lit, columns))
+    rows = pipe_rows(spark, path).where(F.size(F.array_except(wanted, "header")) == 0)
+    n = rows.select("table").distinct().count()
+    if n != 1:
+        raise ValueError(f"{n} tables have the columns {columns}")
+    cell = lambda c: F.get("cells", F.array_position("header", c).cast("int") - 1)
+    empty = F.exists(F.array(*[F.coalesce(cell(c), F.lit("")) for c in columns]), lambda v: v == "")
+    short = [r["cells"] for r in rows.where((F.size("cells") != F.size("header")) | empty).orderBy("at").limit(3).collect()]
     if short:
-        raise ValueError(f"incomplete rows: {short[:3]}")
-    table = spark.createDataFrame([dict(zip(header, r, strict=True)) for r in rows], ", ".join(f"`{c}` string" for c in header)).select(*columns)
-    doubled = table.withColumn("_n", F.count("*").over(Window.partitionBy("canonical_name"))).where("_n > 1")
-    if not doubled.isEmpty():
+        raise ValueError(f"incomplete rows: {short}")
+    table = rows.orderBy("at").select(*[cell(c).alias(c) for c in columns])
+    if not table.groupBy("canonical_name").count().where("count > 1").isEmpty():
         raise ValueError("a canonical name stands twice")
     return table
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ArchiveConfig
+from ..config import FORMATS, ArchiveConfig
 from ..functions.cells import NAN
 from ..functions.naming import day_of_stamp
 from ..operators.axis import complete_axis
@@ -14,7 +14,7 @@ from ..operators.axis import complete_axis
 def raw_files(spark: SparkSession, config: ArchiveConfig) -> DataFrame:
     """(t, path), by time. If there are year folders, only their files count; a name that is no stamp is passed over,
     one whose stamp is no date is refused."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(config.raw_dir).select("path")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FORMATS[config.raw_format]).load(config.raw_dir).select("path")
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.element_at(F.split("path", "/"), -2)
     named = listed.select("path", F.regexp_extract(name, config.file_pattern, 1).alias("stamp"), folder.rlike(r"^\d{4}$").alias("in_year")).where("stamp <> ''")
@@ -31,13 +31,23 @@ def raw_index(files: DataFrame) -> DataFrame:
     return complete_axis(files).join(files, "t", "left")
 
 
-def raw_cells(spark: SparkSession, config: ArchiveConfig) -> DataFrame:
-    """(t, y, x, v float) of all raw files, undecoded: fill values stand as published."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(config.raw_dir)
-    if config.variable not in files.columns:
-        raise ValueError(f"the raw files have {files.columns}, not {config.variable!r}")
-    stamp = F.regexp_extract("_metadata.file_name", config.file_pattern, 1)
-    return files.select(day_of_stamp(stamp).alias("t"), "y", "x", F.col(config.variable).cast("float").alias("v")).where("t is not null")
+def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | None = None) -> DataFrame:
+    """(t, y, x, v float) of ``paths``, or of all files that `raw_files` lists, undecoded: fill values stand as
+    published. Only the files named are opened."""
+    if paths is None:
+        paths = [r["path"] for r in raw_files(spark, config).collect()]  # a name a day
+    if config.raw_format == "netcdf":
+        from .netcdf import NetcdfSource
+
+        spark.dataSource.register(NetcdfSource)
+        files = spark.read.format(NetcdfSource.name()).option("paths", ",".join(paths)).option("variable", config.variable).load()
+        name, value = F.element_at(F.split("path", "/"), -1), F.col("v")
+    else:
+        files = spark.read.parquet(*paths)
+        if config.variable not in files.columns:
+            raise ValueError(f"the raw files have {files.columns}, not {config.variable!r}")
+        name, value = F.col("_metadata.file_name"), F.col(config.variable)
+    return files.select(day_of_stamp(F.regexp_extract(name, config.file_pattern, 1)).alias("t"), "y", "x", value.cast("float").alias("v"))
 
 
 def raw_box(cells: DataFrame, axis: DataFrame, t0, t1, y: tuple[int, int], x: tuple[int, int]) -> DataFrame:
