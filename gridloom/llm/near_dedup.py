@@ -17,7 +17,7 @@ from .components import connected
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, MINIMA = 16, 3
-#: Each bucket's texts are compared with its hub, so many hubs one after another, then in tiles of this size.
+#: Texts of a bucket that are still apart are compared with so many hubs one after another, then in tiles of this size.
 ROUNDS = 2
 TILE_A, TILE_B = 128, 512
 #: Pairs that share one copy of the hub's text.
@@ -300,6 +300,18 @@ def rest_of_buckets(known: DataFrame, texts: DataFrame, hot: DataFrame, least: f
     return left.cogroup(right).applyInPandas(compare, "a binary, b binary").distinct()
 
 
+def with_links(component: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) with the components that ``links`` join made one. Only links between different components are
+    followed, as links of these."""
+    if links.isEmpty():
+        return component
+    side = lambda name: component.select(F.col("id").alias(name), F.col("component").alias(f"{name}_in"))
+    between = spread_join(links.join(side("b"), "b"), side("a"), "a", by="b").where("a_in <> b_in").select(F.col("a_in").alias("a"), F.col("b_in").alias("b")).distinct()
+    joined = connected(stored(between, "between")).withColumnRenamed("component", "to")
+    every = component.select("component").distinct().join(joined, F.col("component") == F.col("id"), "left").select("component", F.coalesce("to", "component").alias("to"))
+    return stored(spread_join(component, every, "component", by="id").select("id", F.col("to").alias("component")), "components")
+
+
 def classes_of(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """((doc_id, digest) of every row, (digest, class_key, class_id, class_size, head) of every text): the key of a class
     is its smallest digest; its head, the text that stays, is that of its smallest doc_id (null ones last)."""
@@ -316,35 +328,33 @@ def classes_of(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, D
     ids = texts.join(held.select(F.col("rep").alias("digest")).distinct(), "digest", "left_semi").select("digest", "first.doc_id")
     bodies = stored(texts_of(docs, ids), "pair-texts")
 
-    tried = stored(held.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = stored(verified(tried, bodies, least), "found")
-    component = connected(links)
+    # First one pair a text, with the smallest hub of all its buckets, so that a group of copies becomes one star.
+    first = held.groupBy("rep").agg(F.min("hub").alias("hub")).where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    tried = stored(first, "pairs")
+    component = stored(held.select(F.col("rep").alias("id"), F.col("rep").alias("component")).distinct(), "components")
+    component = with_links(component, stored(verified(tried, bodies, least), "found"))
 
     def labelled() -> DataFrame:
         """(bucket, rep, component) with the components known so far."""
-        own = held.join(component, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-        return stored(own, "open-buckets")
+        return stored(held.join(component, F.col("rep") == F.col("id")).select("bucket", "rep", "component"), "open-buckets")
 
-    for turn in range(1, ROUNDS):
+    for turn in range(ROUNDS):
         known = labelled()
-        # The hub of this turn: the text of lowest hash, another one each turn. Buckets of one component are done.
+        # The bucket's smallest text, then the one of lowest hash. Buckets of one component are done.
+        order = F.xxhash64("rep", F.lit(turn), "bucket") if turn else F.col("rep")
         hubs = known.groupBy("bucket").agg(
-            F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn), "bucket")).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
+            F.min_by(F.struct("rep", "component"), order).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high").select("bucket", "hub")
         pairs = of_buckets(known, stored(hubs, "hubs"), hot).where("component <> hub.component").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         discard(known)
         if pairs.isEmpty():
             break
-        more = stored(verified(pairs, bodies, least), "found")
-        tried, links = tried.union(pairs), links.union(more)
-        if not more.isEmpty():
-            component = connected(links)
+        tried = tried.union(pairs)
+        component = with_links(component, stored(verified(pairs, bodies, least), "found"))
 
     known = labelled()
-    more = stored(rest_of_buckets(known, bodies, hot, least), "found")
-    if not more.isEmpty():
-        component = connected(links.union(more))
+    component = with_links(component, stored(rest_of_buckets(known, bodies, hot, least), "found"))
 
     by_text = texts.join(component, F.col("digest") == F.col("id"), "left").select("digest", "first", "copies", F.coalesce("component", "digest").alias("class_key"))
     by_text = stored(by_text, "keys")
@@ -359,9 +369,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, class_key, class_size, is_first of every row of ``docs``.
 
     Equal texts are one class at once, by digest; whatever their doc_ids, different texts are different nodes. Texts that
-    share an order-MinHash bucket are candidates: each is compared with the bucket's hub, then texts that are not in the
-    hub's component with another hub, then, in tiles, what still lies outside a bucket's largest component with all
-    texts of other components. So each pair that shares a bucket is compared or already of one class, at every size.
+    share an order-MinHash bucket are candidates: each is compared with the smallest hub of its buckets, then, in every
+    bucket whose texts are not yet of one component, with that bucket's hubs, then, in tiles, what still lies outside a
+    bucket's largest component with all texts of other components. So each pair that shares a bucket is compared or already of one class, at every size.
     Links are pairs of similarity ``least`` or more, classes their connected components.
 
     class_id is the smallest doc_id of the class (null if it has none), class_key its smallest text digest, which tells
