@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, stored, table
+from .common import sliced, spread_join, stored, table
 
 #: A subtree is template if it stands on so many pages of different content of its host and on such a share of them.
 TEMPLATE_PAGES = 5
@@ -371,8 +371,10 @@ def host_templates(pages: DataFrame, least_pages: int, least_share: float) -> Da
     counts = seen.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
     counts = stored(counts.where((F.col("n") >= least_pages) | (F.col("subtree") == 0)), "html-counts")
     contents = counts.where("subtree = 0").select("host", F.col("n").alias("contents"))
-    # The share goes first, so that a host's list has at most (subtrees of a page) / least_share hashes, however many pages it has.
-    often = counts.where(f"subtree <> 0 and n >= {int(least_pages)}").join(contents, "host").where(F.col("n") >= F.col("contents") * least_share)
+    # The share goes first, so that a host's list has at most (subtrees of a page) / least_share hashes, however many pages
+    # it has. What is counted on a host before that grows with its pages, so it is dealt by subtree over many tasks.
+    counted = counts.where(f"subtree <> 0 and n >= {int(least_pages)}")
+    often = spread_join(counted, contents, "host", by="subtree").where(F.col("n") >= F.col("contents") * least_share)
     return often.groupBy("host").agg(F.collect_list("subtree").alias("template")).withColumnRenamed("host", "of")
 
 
