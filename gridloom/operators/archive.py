@@ -31,6 +31,8 @@ CELLS = "tc long, ty int, tx int, t date, y int, x int, v float"
 ADMIN = ("attributes", "tag", "gc")
 BY_LAYOUT = ("chunking", "title", "history", "date_created", "related_store", "layout", "summary", "verification")
 OWN_HISTORY = "built by gridloom"
+#: Cells that a strip of a large chunk has at most, as long as a single row of it has no more.
+PIECE_CELLS = 1 << 20
 
 
 def as_day(spark: SparkSession, day) -> dt.date:
@@ -166,13 +168,15 @@ class Archive:
 
     def write(self, cells: DataFrame, shape: tuple[int, int, int], first_day, folder: str) -> None:
         """Cells that are not NaN, with the numbers of their chunks of ``shape`` (days, rows, columns) from the first day
-        of the axis, a chunk's cells together and in order. No chunk is held as one value, whatever its size."""
+        of the axis, a chunk's cells in order. No chunk is held as one value, whatever its size; one of more than
+        PIECE_CELLS is dealt over tasks in strips of rows."""
         days, ny, nx = shape
+        strip = F.floor(F.col("y") / max(1, PIECE_CELLS // (days * nx))) if days * ny * nx > PIECE_CELLS else F.lit(0)
         placed = cells.where(~F.isnan("v")).select(
             F.floor(F.datediff("t", F.lit(first_day)) / days).alias("tc"), F.floor(F.col("y") / ny).cast("int").alias("ty"),
             F.floor(F.col("x") / nx).cast("int").alias("tx"), "t", "y", "x", F.col("v").cast("float").alias("v"),
         )
-        dealt = placed.repartition("tc", "ty", "tx").sortWithinPartitions("ty", "tx", "tc", "t", "y", "x")
+        dealt = placed.repartition("tc", "ty", "tx", strip).sortWithinPartitions("ty", "tx", "tc", "t", "y", "x")
         dealt.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{folder}")
 
     # Tags, clean-up, state

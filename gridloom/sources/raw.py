@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import FORMATS, ArchiveConfig
 from ..functions.cells import NAN
-from ..functions.naming import day_of_stamp
+from ..functions.naming import day_of_checked_stamp, day_of_stamp
 from ..operators.axis import complete_axis
 
 
@@ -33,7 +33,7 @@ def raw_index(files: DataFrame) -> DataFrame:
 
 def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | None = None) -> DataFrame:
     """(t, y, x, v float) of ``paths``, or of all files that `raw_files` lists, undecoded: fill values stand as
-    published. Only the files named are opened."""
+    published. Only the files named are opened; their names must be such as `raw_files` lists."""
     if paths is None:
         paths = [r["path"] for r in raw_files(spark, config).collect()]  # a name a day
     if config.raw_format == "netcdf":
@@ -47,7 +47,7 @@ def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | Non
         if config.variable not in files.columns:
             raise ValueError(f"the raw files have {files.columns}, not {config.variable!r}")
         name, value = F.col("_metadata.file_name"), F.col(config.variable)
-    return files.select(day_of_stamp(F.regexp_extract(name, config.file_pattern, 1)).alias("t"), "y", "x", value.cast("float").alias("v"))
+    return files.select(day_of_checked_stamp(name).alias("t"), "y", "x", value.cast("float").alias("v"))
 
 
 def raw_box(cells: DataFrame, axis: DataFrame, t0, t1, y: tuple[int, int], x: tuple[int, int]) -> DataFrame:

@@ -323,3 +323,22 @@ def test_stream_ingests_each_day_once(spark, tree, spatial, tmp_path):
     args = (spark, spatial.raw_dir, "rain", str(tmp_path / "out"), str(tmp_path / "state"), 3)
     assert ingest_days(*args).count() == 9 * NY * NX
     assert ingest_days(*args).count() == 9 * NY * NX
+
+
+def test_day_of_checked_stamp_is_that_of_the_parsed_one(spark):
+    from gridloom.functions.naming import day_of_checked_stamp, day_of_stamp
+
+    stamps = [(f"{y}{d:03d}",) for y in (1979, 1980, 2000, 2100) for d in (1, 59, 60, 61, 365)] + [("1980366",), ("2000366",)]
+    rows = spark.createDataFrame(stamps, "stamp string").select(day_of_stamp(F.col("stamp")).alias("a"), day_of_checked_stamp(F.concat("stamp", F.lit(".parquet"))).alias("b"))
+    assert all(r["a"] is not None and r["a"] == r["b"] for r in rows.collect())
+
+
+def test_chunks_larger_than_a_piece_are_dealt_in_strips(spark, spatial, tmp_path, monkeypatch):
+    """The same cells whatever the strips; one chunk lies in several files, a strip of rows in one."""
+    whole = archive.build(spark, replace(spatial, filename="whole"))
+    monkeypatch.setattr(archive, "PIECE_CELLS", NX)
+    parts = archive.build(spark, replace(spatial, filename="parts"))
+    assert whole.chunked().exceptAll(parts.chunked()).isEmpty() and parts.chunked().exceptAll(whole.chunked()).isEmpty()
+    files = parts.chunked().select("tc", "y", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("tc", "y").count().where("count > 1").isEmpty()
+    assert parts.manifest().exceptAll(whole.manifest()).isEmpty()
