@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, html, language, mixing, near_dedup, neighbours, pii, prefix_table, quality, token_counts, topk
+from . import bpe, collocations, html, language, mixing, near_dedup, neighbours, pii, prefix_table, quality, token_counts, topk
 
 
 def pipeline(spark, sf_dir):
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_language_id": language.op9_language_id,
     "op10_quality": quality.op10_quality,
+    "op11_collocations": collocations.op11_collocations,
     "op12_sentencepiece": prefix_table.op12_sentencepiece,
     "pipeline": pipeline,
 }
@@ -29,4 +30,5 @@ QUERIES = {
 SQL = {
     "op2_exact_topk": topk.OP2_SQL,
     "op7_mixing": mixing.OP7_SQL,
+    "op11_collocations": collocations.OP11_SQL,
 }
