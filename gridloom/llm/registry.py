@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, collocations, html, language, mixing, near_dedup, neighbours, pii, prefix_table, quality, token_counts, topk
+from . import bpe, collocations, conversations, html, language, mixing, near_dedup, neighbours, pii, prefix_table, quality, token_counts, topk
 
 
 def pipeline(spark, sf_dir):
@@ -24,6 +24,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
     "op11_collocations": collocations.op11_collocations,
     "op12_sentencepiece": prefix_table.op12_sentencepiece,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
     "pipeline": pipeline,
 }
 
