@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +15,10 @@ from .common import sliced, spread_join, stored, table
 
 ORDER, LEAST, SHARE, FIRST = 4, 30, 80, 2000
 SCALE = 2_000_000
-#: Bits of the filter of frequent pairs: 16 MB, whatever the input.
+#: Bits of a filter of frequent runs of words, as a power of two: 16 MB, whatever the input.
 FILTER_BITS = 27
 #: Words a task holds before it counts them, distinct ones among them, and bytes of a text split at a time.
-HELD_WORDS, HELD_NAMES, PART_BYTES = 1 << 22, 400_000, 1 << 22
+HELD_WORDS, HELD_NAMES, PART_BYTES = 1 << 21, 300_000, 1 << 21
 ROWS = 1 << 16
 #: What ends a piece, what parts words, letters made small.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -103,36 +103,46 @@ class Words:
 
 
 def name_hashes(lang: str, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words as the first and the second of a pair, the same in every task."""
+    """Hashes of words as the first of a run and as a later one, the same in every task."""
     own = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
     with np.errstate(over="ignore"):
         return (own ^ np.uint64(xxhash.xxh64_intdigest(lang))) * MIX, own
 
 
-def pair_hashes(hashes: tuple[np.ndarray, np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def run_hashes(hashes: tuple[np.ndarray, np.ndarray], columns: np.ndarray) -> np.ndarray:
+    """Of each column of ``columns``, a run of words, a hash; runs of different lengths differ as other runs do."""
     with np.errstate(over="ignore"):
-        mixed = hashes[0][left] + hashes[1][right]
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
-    return mixed ^ (mixed >> np.uint64(32))
+        mixed = hashes[0][columns[0]]
+        for later in columns[1:]:
+            mixed = mixed + hashes[1][later]
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
+            mixed ^= mixed >> np.uint64(32)
+    return mixed
 
 
-def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
-    """A filter of FILTER_BITS bits that has every pair of adjacent words that stands ``least`` times or more.
+def frequent_runs(texts: DataFrame, least: int, sizes: Sequence[int], pairs: np.ndarray | None = None) -> np.ndarray:
+    """A filter of FILTER_BITS that has every run of as many adjacent words as ``sizes`` says that stands ``least`` times
+    or more; with a filter of ``pairs``, only runs of pairs that it has are counted.
 
-    Pairs are counted by hash, so a pair's count is never too small; what passes besides is only counted later. The
-    filter's size is fixed: a corpus of more frequent pairs fills it, which costs time and changes no result.
+    Runs are counted by hash, so a run's count is never too small; what passes besides is only counted later. The
+    filter's size is fixed: a corpus of more frequent runs fills it, which costs time and changes no result.
     """
-    mask = (1 << FILTER_BITS) - 1
+    mask, order = (1 << FILTER_BITS) - 1, max(sizes)
+    known = None if pairs is None else texts.sparkSession.sparkContext.broadcast(pairs)  # 16 MB
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, columns, names in Words(2).of_batches(batches):
-            both = columns[:, columns[1] != PAD]
-            pairs, n = np.unique(pair_hashes(name_hashes(lang, names), *both), return_counts=True)
-            for at in range(0, len(pairs), ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[at : at + ROWS].view(np.int64)), pa.array(n[at : at + ROWS])], ["pair", "n"])
-
-    often = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    places = F.array(F.col("pair").bitwiseAND(mask), F.shiftrightunsigned("pair", FILTER_BITS).bitwiseAND(mask))
+        for lang, columns, names in Words(order).of_batches(batches):
+            hashes = name_hashes(lang, names)
+            if known is not None:
+                for k in range(1, order):
+                    cut(columns, k, columns[k - 1 : k + 1], hashes, known.value)
+            for m in sizes:
+                runs, n = np.unique(run_hashes(hashes, columns[:m, columns[m - 1] != PAD]), return_counts=True)
+                for at in range(0, len(runs), ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(runs[at : at + ROWS].view(np.int64)), pa.array(n[at : at + ROWS])], ["run", "n"])
+
+    often = texts.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    places = F.array(F.col("run").bitwiseAND(mask), F.shiftrightunsigned("run", FILTER_BITS).bitwiseAND(mask))
     bits = often.select(F.explode(F.transform(places, lambda x: x + 1)).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
     rows = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()  # the filter: 4,096 rows of 4 KB at most
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
@@ -142,6 +152,13 @@ def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
     return out
 
 
+def cut(columns: np.ndarray, k: int, run: np.ndarray, hashes: tuple[np.ndarray, np.ndarray], filter_bits: np.ndarray) -> None:
+    """Pad windows from column ``k`` on where the run of their columns ``run``, which ends there, is not in the filter."""
+    inside = np.flatnonzero(columns[k] != PAD)
+    rare = inside[~passes(filter_bits, run_hashes(hashes, run[:, inside]))]
+    columns[k:, rare] = PAD
+
+
 def passes(filter_bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     ok = np.ones(len(hashes), bool)
     for shift in (0, FILTER_BITS):
@@ -163,19 +180,20 @@ def counted(columns: np.ndarray, n_names: int) -> tuple[np.ndarray, np.ndarray]:
 
 def windows(texts: DataFrame, least: int = LEAST, order: int = ORDER) -> DataFrame:
     """(lang, w1 to w{order}, n): windows of ``order`` words that begin at every word, padded with "" from the end of
-    their piece on, and from the first pair of words on that stands less than ``least`` times: no phrase that stands so
-    often holds it. The first word of every window stays, so the windows of a language are its words.
+    their piece on, and from the first word on with which the run from the window's start stands less than ``least``
+    times: no phrase that stands so often begins there and is longer. The first word of every window stays, so the
+    windows of a language are its words.
     """
-    bits = texts.sparkSession.sparkContext.broadcast(frequent_pairs(texts, least))  # 16 MB
+    pairs = frequent_runs(texts, least, [2])
+    longer = frequent_runs(texts, least, range(3, order + 1), pairs) if order > 2 else pairs
+    bits = texts.sparkSession.sparkContext.broadcast(pairs | longer)  # 16 MB
     names_out = [f"w{k + 1}" for k in range(order)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, columns, names in Words(order).of_batches(batches):
             hashes = name_hashes(lang, names)
             for k in range(1, order):
-                inside = np.flatnonzero(columns[k] != PAD)
-                rare = inside[~passes(bits.value, pair_hashes(hashes, columns[k - 1][inside], columns[k][inside]))]
-                columns[k:, rare] = PAD
+                cut(columns, k, columns[: k + 1], hashes, bits.value)
             alone = columns[1] == PAD
             n = np.bincount(columns[0][alone], minlength=len(names))
             single = np.flatnonzero(n)
@@ -197,8 +215,8 @@ def windows(texts: DataFrame, least: int = LEAST, order: int = ORDER) -> DataFra
 def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, first: int = FIRST, order: int = ORDER) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the best ``first`` phrases of each language.
 
-    Two passes over the texts. The first counts pairs of adjacent words by hash, for a filter; the second counts
-    windows of ``order`` words, combined in each task, and one ROLLUP over (lang, w1, ..., w{order}) sums them to every
+    Three passes over the texts. Two count runs of adjacent words by hash, for a filter: pairs, then longer runs of
+    frequent pairs. The third counts windows of ``order`` words, combined in each task, and one ROLLUP over (lang, w1, ..., w{order}) sums them to every
     shorter prefix: words, phrases of each length and the language's number of words come from the same rows. What
     remains are phrases of at least ``least`` occurrences: joins to their parts deal a part's rows over tasks, however
     many phrases begin with it; ranks are cut before they are shuffled.
