@@ -18,7 +18,7 @@ SCALE = 2_000_000
 #: Bits of a filter of frequent runs of words, as a power of two: 16 MB, whatever the input.
 FILTER_BITS = 27
 #: Words a task holds before it counts them, distinct ones among them, and bytes of a text split at a time.
-HELD_WORDS, HELD_NAMES, PART_BYTES = 1 << 21, 300_000, 1 << 21
+HELD_WORDS, HELD_NAMES, PART_BYTES = 1 << 20, 200_000, 1 << 21
 ROWS = 1 << 16
 #: What ends a piece, what parts words, letters made small.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -226,7 +226,8 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, first:
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("text is not null")
     columns = [f"w{k + 1}" for k in range(order)]
-    rolled = windows(texts, least, order).rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    whole = windows(texts, least, order).groupBy("lang", *columns).agg(F.sum("n").alias("n"))  # before ROLLUP multiplies rows
+    rolled = whole.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     length = F.lit(order) - F.bit_count("level")  # a bit for each column that is rolled up
     words = F.array(*columns)
     phrases = rolled.where("lang is not null").withColumn("size", length).select(
