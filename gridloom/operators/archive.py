@@ -1,4 +1,4 @@
-"""A versioned archive: Parquet data, an append-only table of commits, tags, attributes.
+"""A versioned archive: encoded chunks, a manifest of them, an append-only table of commits, tags, attributes.
 
 A commit is one row, written last: it names its folder of data, the days and cells that lie there, and, the first one,
 what the archive is. Axis, extents and attributes are read off commits alone, so whatever an interruption leaves behind
@@ -8,6 +8,7 @@ is no part of any state.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import os
 import time
@@ -19,20 +20,23 @@ from pyspark.sql import functions as F
 from ..config import ArchiveConfig
 from ..functions.cells import fill_values, mask_fill
 from ..functions.naming import block_message
+from ..functions.tables import small_table
 from ..sources import raw
-from . import attributes, axis, blocks, grid
+from . import attributes, axis, blocks, encoding, grid
 from .provenance import code_revision, nomenclature, object_counts
 
 COMMITS = (
     "seq long, id string, parent string, message string, kind string, written_at timestamp, folder string, n_days long, first_day date, last_day date, "
     "y0 int, y1 int, x0 int, x1 int, spec string"
 )
-CELLS = "tc long, ty int, tx int, t date, y int, x int, v float"
+MANIFEST = ", ".join(x for x in encoding.PIECES.split(", ") if x.split()[0] not in ("valid", "payload")) + ", file string"
 ADMIN = ("attributes", "tag", "gc")
 BY_LAYOUT = ("chunking", "title", "history", "date_created", "related_store", "layout", "summary", "verification")
 OWN_HISTORY = "built by gridloom"
 #: Cells that a strip of a large chunk has at most, as long as a single row of it has no more.
 PIECE_CELLS = 1 << 20
+#: Pieces of a box up to which the files that hold them are opened by name.
+NAMED_FILES = 4096
 
 
 def as_day(spark: SparkSession, day) -> dt.date:
@@ -44,7 +48,7 @@ class Archive:
     """One writer at a time, as its callers see to. Readers see only folders that a commit names."""
 
     def __init__(self, spark: SparkSession, path: str, must_exist: bool = True):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.spark, self.path, self.said = spark, path.rstrip("/"), {}
         at = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         self.files = at.getFileSystem(spark._jsc.hadoopConfiguration())
         if must_exist and not self.has("commits"):
@@ -60,10 +64,10 @@ class Archive:
 
     def small(self, name: str, schema: str) -> DataFrame:
         """A small table, empty while nothing was written; what cannot be read raises."""
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if self.has(name) else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if self.has(name) else small_table(self.spark, [], schema)
 
     def add(self, name: str, schema: str, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        small_table(self.spark, rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
     def history(self) -> DataFrame:
         """Commits, newest first."""
@@ -98,8 +102,10 @@ class Archive:
 
     def spec(self) -> dict:
         """What the archive is: variable, grid, coordinates, chunk shape, first day, strategy."""
-        first = self.history().where("spec is not null").orderBy("seq").first()
-        return json.loads(first["spec"]) if first else {}
+        if not self.said:  # the first commit says it, once for all
+            first = self.history().where("spec is not null").orderBy("seq").first()
+            self.said = json.loads(first["spec"]) if first else {}
+        return self.said
 
     def variables(self) -> set[str]:
         return {self.spec()["variable"]} if self.spec() else set()
@@ -125,59 +131,87 @@ class Archive:
             raise ValueError(f"neither tag nor commit: {at}")
         return found.where(F.col("seq") <= known["seq"])
 
-    def chunked(self, at: str | None = None, t0=None, t1=None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
-        """(tc, ty, tx, t, y, x, v) of the cells written, of a half-open box if one is given.
-
-        Folders whose commit lies outside the box are not opened; in the others the box goes to the scan as ranges of
-        chunk numbers and of places, by which the files, sorted by chunk, are skipped through.
-        """
-        folders = self.seen(at).where("folder is not null")
-        spec = self.spec()
-        outside, where = F.lit(False), []
-        if t0 is not None or t1 is not None:
-            first = dt.date.fromisoformat(spec["first_day"])
-            for day, is_start in ((t0, True), (t1, False)):
-                if day is None:
-                    continue
-                day = as_day(self.spark, day)
-                place = (day - first).days
-                outside |= (F.col("last_day") < day) if is_start else (F.col("first_day") >= day)
-                where += [F.col("t") >= day, F.col("tc") >= place // spec["chunk"][0]] if is_start else [F.col("t") < day, F.col("tc") <= (place - 1) // spec["chunk"][0]]
-        for name, box, edge in (("y", y, 1), ("x", x, 2)):
+    def shape(self) -> encoding.Shape:
+        return encoding.Shape.of(self.spec())
+
+    def named(self, kind: str, at: str | None = None, t: tuple = (None, None), y: tuple | None = None, x: tuple | None = None) -> list[str]:
+        """Folders of data or manifest of the commits that a box (days as dates) meets; one a commit."""
+        outside = F.lit(False)
+        if t[0] is not None:
+            outside |= F.col("last_day") < t[0]
+        if t[1] is not None:
+            outside |= F.col("first_day") >= t[1]
+        for name, box in (("y", y), ("x", x)):
             if box is not None:
-                size = spec["chunk"][edge]
                 outside |= (F.col(f"{name}1") <= box[0]) | (F.col(f"{name}0") >= box[1])
-                where += [F.col(name) >= box[0], F.col(name) < box[1], F.col(f"t{name}") >= box[0] // size, F.col(f"t{name}") <= (box[1] - 1) // size]
-        named = [f"{self.path}/{r['folder']}" for r in folders.where(~F.coalesce(outside, F.lit(False))).select("folder").collect()]  # one a commit
-        found = self.spark.read.schema(CELLS).parquet(*named) if named else self.spark.createDataFrame([], CELLS)
-        for condition in where:
+        folders = self.seen(at).where("folder is not null").where(~F.coalesce(outside, F.lit(False)))
+        return [f"{self.path}/{kind}/{r['folder'].split('/')[-1]}" for r in folders.select("folder").collect()]
+
+    def pieces_of(self, t: tuple, y: tuple | None, x: tuple | None) -> list:
+        """Conditions on a piece's numbers: it can have cells of the box."""
+        shape, where = self.shape(), []
+        if t[0] is not None:
+            where.append(F.col("tc") >= (t[0] - shape.first_day).days // shape.days)
+        if t[1] is not None:
+            where.append(F.col("tc") <= ((t[1] - shape.first_day).days - 1) // shape.days)
+        for name, box, size in (("y", y, shape.ny), ("x", x, shape.nx)):
+            if box is not None:
+                where += [F.col(f"t{name}") >= box[0] // size, F.col(f"t{name}") <= (box[1] - 1) // size]
+        if y is not None:
+            strip = F.col("ty") * shape.ny + F.col("part") * shape.strip
+            where += [strip < y[1], strip + shape.strip > y[0]]
+        return where
+
+    def manifest_rows(self, at: str | None = None, t: tuple = (None, None), y: tuple | None = None, x: tuple | None = None) -> DataFrame:
+        """A row a piece (`encoding.PIECES` without the bytes, and its file) as it was written with the piece's commit; no
+        data is opened."""
+        named = self.named("manifest", at, t, y, x)
+        found = self.spark.read.schema(MANIFEST).parquet(*named) if named else small_table(self.spark, [], MANIFEST)
+        for condition in self.pieces_of(t, y, x) if named else []:
+            found = found.where(condition)
+        return found
+
+    def pieces(self, at: str | None = None, t: tuple = (None, None), y: tuple | None = None, x: tuple | None = None) -> DataFrame:
+        """The encoded pieces that a box meets. Of a box only the files that the manifest names are opened, and the pieces'
+        numbers go to the scan."""
+        boxed = t != (None, None) or y is not None or x is not None
+        named = self.named("data", at, t, y, x)
+        if named and boxed:
+            files = [r["file"] for r in self.manifest_rows(at, t, y, x).select("file").distinct().limit(NAMED_FILES + 1).collect()]
+            named = named if len(files) > NAMED_FILES else [f"{self.path}/{f}" for f in files]
+        found = self.spark.read.schema(encoding.PIECES).parquet(*named) if named else small_table(self.spark, [], encoding.PIECES)
+        for condition in self.pieces_of(t, y, x) if named and boxed else []:
             found = found.where(condition)
         return found
 
+    def chunked(self, at: str | None = None, t0=None, t1=None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
+        """(tc, ty, tx, t, y, x, v) of the cells written, of a half-open box if one is given."""
+        if not self.spec():
+            return small_table(self.spark, [], encoding.CELLS)
+        t = tuple(None if d is None else as_day(self.spark, d) for d in (t0, t1))
+        since = tuple(None if d is None else (d - encoding.EPOCH).days for d in t)
+        return encoding.cells_of_pieces(self.pieces(at, t, y, x), self.shape(), since, y, x)
+
     def read(self, at: str | None = None, t0=None, t1=None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
         """(t, y, x, v) of `chunked`; cells of fill have no row."""
         return self.chunked(at, t0, t1, y, x).select("t", "y", "x", "v")
 
     def manifest(self) -> DataFrame:
-        """(tc, ty, tx, n_cells, n_bytes) of the chunks there are: only their numbers are read."""
-        return self.chunked().groupBy("tc", "ty", "tx").agg(F.count("*").cast("int").alias("n_cells")).withColumn("n_bytes", F.col("n_cells").cast("long") * 4)
+        """(tc, ty, tx, n_cells, n_bytes) of the chunks there are, by the rows that their commits wrote: ``n_bytes`` is what
+        is stored of a chunk."""
+        return self.manifest_rows().groupBy("tc", "ty", "tx").agg(F.sum("n_cells").alias("n_cells"), F.sum("n_bytes").alias("n_bytes"))
 
     def dense(self, y: tuple[int, int], x: tuple[int, int], t0, t1) -> DataFrame:
         """A box of the whole grid, with NaN where no cell is stored."""
         return raw.raw_box(self.read(t0=t0, t1=t1, y=y, x=x), self.axis(), t0, t1, y, x)
 
-    def write(self, cells: DataFrame, shape: tuple[int, int, int], first_day, folder: str) -> None:
-        """Cells that are not NaN, with the numbers of their chunks of ``shape`` (days, rows, columns) from the first day
-        of the axis, a chunk's cells in order. No chunk is held as one value, whatever its size; one of more than
-        PIECE_CELLS is dealt over tasks in strips of rows."""
-        days, ny, nx = shape
-        strip = F.floor(F.col("y") / max(1, PIECE_CELLS // (days * nx))) if days * ny * nx > PIECE_CELLS else F.lit(0)
-        placed = cells.where(~F.isnan("v")).select(
-            F.floor(F.datediff("t", F.lit(first_day)) / days).alias("tc"), F.floor(F.col("y") / ny).cast("int").alias("ty"),
-            F.floor(F.col("x") / nx).cast("int").alias("tx"), "t", "y", "x", F.col("v").cast("float").alias("v"),
-        )
-        dealt = placed.repartition("tc", "ty", "tx", strip).sortWithinPartitions("ty", "tx", "tc", "t", "y", "x")
-        dealt.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{folder}")
+    def write(self, fragments: DataFrame, shape: encoding.Shape, folder: str) -> None:
+        """The encoded pieces of ``fragments``, and beside them the manifest: a row a piece, read off what was written."""
+        where = f"{self.path}/{folder}"
+        encoding.gathered(fragments, shape).write.mode("overwrite").option("compression", "none").parquet(where)
+        small = [x.split()[0] for x in MANIFEST.split(", ")[:-1]]
+        rows = self.spark.read.schema(encoding.PIECES).parquet(where).select(*small, F.concat(F.lit(f"{folder}/"), F.col("_metadata.file_name")).alias("file"))
+        rows.write.mode("overwrite").parquet(f"{self.path}/manifest/{folder.split('/')[-1]}")
 
     # Tags, clean-up, state
 
@@ -206,6 +240,7 @@ class Archive:
         if apply:
             for folder in gone:
                 self.files.delete(self.hadoop(folder), True)
+                self.files.delete(self.hadoop(folder.replace("data/", "manifest/", 1)), True)
             if before != (self.reachable_bytes(), self.history().count()):
                 raise RuntimeError("collection changed what is reachable")
         return gone
@@ -232,16 +267,22 @@ class Archive:
 def spec_of(config: ArchiveConfig, whole: axis.Bounds) -> dict:
     return {
         "variable": config.variable, "strategy": config.write_strategy, "ny": config.ny, "nx": config.nx, "lat": list(config.lat), "lon": list(config.lon),
-        "chunk": list(config.chunk_shape(whole.days)), "first_day": str(whole.first),
+        "chunk": list(config.chunk_shape(whole.days)), "first_day": str(whole.first), "strip": strip_of(config.chunk_shape(whole.days)),
     }
 
 
+def strip_of(chunk: tuple[int, int, int]) -> int:
+    """Rows of a chunk's strips."""
+    days, ny, nx = chunk
+    return max(1, min(ny, PIECE_CELLS // (days * nx)))
+
+
 def begin(spark: SparkSession, config: ArchiveConfig) -> tuple[Archive, DataFrame, axis.Bounds, dict]:
     """Gate the axis by the files' names, then open or create the archive; a stored one must be of the same kind and its
     axis that of the build so far. Returns the files by day."""
     listed = raw.raw_files(spark, config).collect()  # a name a day
-    files = spark.createDataFrame(listed, "t date, path string")
-    declared = spark.createDataFrame([(dt.date.fromisoformat(x[:10]),) for x in config.expected_missing_times], "t date")
+    files = small_table(spark, listed, "t date, path string")
+    declared = small_table(spark, [(dt.date.fromisoformat(x[:10]),) for x in config.expected_missing_times], "t date")
     axis.check_coverage(files, declared)
     days = axis.complete_axis(files)
     axis.check_regular(days)
@@ -252,7 +293,7 @@ def begin(spark: SparkSession, config: ArchiveConfig) -> tuple[Archive, DataFram
     grid.check_fill(first, list(config.source_fill_values))
     store = Archive(spark, config.store_path, must_exist=False)
     there, wanted = store.spec(), spec_of(config, whole)
-    other = {k: (there[k], wanted[k]) for k in there if there[k] != wanted.get(k)}
+    other = {k: (there[k], wanted[k]) for k in there if there[k] != wanted.get(k) and k != "strip"}  # that of a stored one stays
     if other:
         raise ValueError("the archive is of another kind: " + "; ".join(f"{k} {a}, not {b}" for k, (a, b) in other.items()))
     return store, days, whole, {r["t"]: r["path"] for r in listed}
@@ -261,13 +302,13 @@ def begin(spark: SparkSession, config: ArchiveConfig) -> tuple[Archive, DataFram
 def cells_of(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> DataFrame:
     """The cells of some files as they are stored: declared and undeclared fill as NaN."""
     if not paths:
-        return spark.createDataFrame([], "t date, y int, x int, v float")
+        return small_table(spark, [], "t date, y int, x int, v float")
     return raw.raw_cells(spark, config, paths).withColumn("v", mask_fill(F.col("v"), fill_values(config.source_fill_values)))
 
 
 def pending_attributes(store: Archive, values: dict) -> DataFrame:
     """(key, value) of ``values`` that the archive does not have so."""
-    wanted = store.spark.createDataFrame([(k, json.dumps(v)) for k, v in values.items()], "key string, value string")
+    wanted = small_table(store.spark, [(k, json.dumps(v)) for k, v in values.items()], "key string, value string")
     return attributes.difference(store.attributes(), wanted).where(F.col("change").isin("add", "replace")).select("key", F.col("after").alias("value"))
 
 
@@ -293,14 +334,14 @@ def build(spark: SparkSession, config: ArchiveConfig, stop_after: int | None = N
     interruption would."""
     store, days, whole, paths = begin(spark, config)
     write = build_append if config.write_strategy == "append" else build_region
-    write(store, config, paths, days, whole, stop_after)
+    write(store, config, paths, days, whole, encoding.Shape.of(store.spec() or spec_of(config, whole)), stop_after)
     masked = {"source_fill_values_masked": list(config.source_fill_values)} if config.source_fill_values else {}
     # Later ones win: the source, what axis, grid and key say, the masks, the config.
     write_attributes(store, dict(config.source_attrs) | derived_attributes(store, config) | masked | {"layout": config.suffix} | config.attributes | config.attributes_of_variable)
     return store
 
 
-def build_append(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, stop_after: int | None) -> None:
+def build_append(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, shape: encoding.Shape, stop_after: int | None) -> None:
     """One commit a batch of whole chunks of days, from the batch's files alone. A store that ends within a batch cannot go on."""
     axis.check_prefix(store.axis(), days)
     size, done = config.commit_days(), store.axis().count()
@@ -312,35 +353,66 @@ def build_append(store: Archive, config: ArchiveConfig, paths: dict, days: DataF
             return
         folder = f"data/{uuid.uuid4().hex}"
         cells = cells_of(store.spark, config, [p for t, p in paths.items() if b["first_day"] <= t <= b["last_day"]])
-        store.write(cells, config.chunk_shape(whole.days), whole.first, folder)
+        store.write(encoding.scattered(cells, shape), shape, folder)
         store.commit(
             f"write timesteps {b['start']}-{b['stop']}", "build", folder, (b["first_day"], b["last_day"]), (0, config.ny, 0, config.nx),
             None if done or i else spec_of(config, whole), n_days=b["n_days"],
         )
 
 
-def build_region(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, stop_after: int | None) -> None:
-    """A skeleton commit with axis and kind, then one commit a block of the grid over the whole record."""
+def build_region(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, shape: encoding.Shape, stop_after: int | None) -> None:
+    """A skeleton commit with axis and kind, then one commit a block of the grid over the whole record.
+
+    The raw files are read once, however many blocks there are: `staged` deals their cells to all blocks that remain as
+    bounded fragments of pieces; each block then gathers its own. A build that goes on after an interruption uses what
+    was staged if it is whole and of the same files.
+    """
     span = (whole.first, whole.last)
     if store.tip() is None:
         store.commit("create skeleton", "skeleton", None, span, spec=spec_of(config, whole), n_days=whole.days)
     elif not axis.axis_differences(store.axis(), days).isEmpty():
         raise ValueError("the stored axis is not that of this build")
     by, bx = config.block(whole.days)
-    extent = store.spark.createDataFrame([(config.ny - 1, config.nx - 1)], "y int, x int")
+    extent = small_table(store.spark, [(config.ny - 1, config.nx - 1)], "y int, x int")
     planned = blocks.plan(extent, [config.variable], by, bx)
     messages = store.history().select("message")
     stray = blocks.stray(planned, messages).count()
     if stray:
         raise ValueError(f"{stray} committed blocks are not of this block shape")
     message = block_message(*[F.col(c) for c in blocks.KEY]).alias("message")
-    cells = cells_of(store.spark, config, list(paths.values()))
-    for i, b in enumerate(blocks.remaining(planned, messages).select("*", message).orderBy("y0", "x0").collect()):
+    left = blocks.remaining(planned, messages).select("*", message).orderBy("y0", "x0").collect()
+    if not left or stop_after == 0:
+        return
+    folder = staged(store, config, paths, shape, (by, bx))
+    for i, b in enumerate(left):
         if i == stop_after:
             return
-        folder = f"data/{uuid.uuid4().hex}"
-        store.write(grid.box(cells, y=(b["y0"], b["y1"]), x=(b["x0"], b["x1"])), config.chunk_shape(whole.days), whole.first, folder)
-        store.commit(b["message"], "build", folder, span, (b["y0"], b["y1"], b["x0"], b["x1"]))
+        own = store.spark.read.schema(f"{encoding.FRAGMENTS}, block int").parquet(folder).where(F.col("block") == block_number(config, (by, bx), b["y0"], b["x0"]))
+        data = f"data/{uuid.uuid4().hex}"
+        store.write(own.drop("block"), shape, data)
+        store.commit(b["message"], "build", data, span, (b["y0"], b["y1"], b["x0"], b["x1"]))
+    store.files.delete(store.hadoop("staging"), True)
+
+
+def block_number(config: ArchiveConfig, block: tuple[int, int], y0, x0):
+    return y0 // block[0] * -(-config.nx // block[1]) + x0 // block[1]
+
+
+def staged(store: Archive, config: ArchiveConfig, paths: dict, shape: encoding.Shape, block: tuple[int, int]) -> str:
+    """The folder of fragments of all raw cells by block. Its name says which files, of which size and time, and which
+    shape they are of; one that was written whole is used again, others are replaced."""
+    at = lambda p: store.files.getFileStatus(store.spark._jvm.org.apache.hadoop.fs.Path(p))
+    seen = [(p, s.getLen(), s.getModificationTime()) for p in sorted(paths.values()) for s in [at(p)]]
+    said = json.dumps([seen, str(shape), block, config.variable, config.source_fill_values])
+    name = f"staging/{hashlib.sha256(said.encode()).hexdigest()}"
+    if not store.has(f"{name}/_SUCCESS"):
+        store.files.delete(store.hadoop("staging"), True)
+        fragments = encoding.scattered(cells_of(store.spark, config, list(paths.values())), shape)
+        piece = F.floor(F.col("key") / shape.parts)
+        ty, tx = F.floor(piece / shape.wide) % shape.tall, piece % shape.wide
+        number = F.floor(ty * shape.ny / block[0]) * -(-config.nx // block[1]) + F.floor(tx * shape.nx / block[1])
+        fragments.withColumn("block", number.cast("int")).write.mode("overwrite").partitionBy("block").parquet(f"{store.path}/{name}")
+    return f"{store.path}/{name}"
 
 
 # Finishing

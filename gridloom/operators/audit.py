@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ArchiveConfig
-from ..functions.cells import DECLARED_FILL, fill_values, is_fill
-from . import attributes, axis, grid
+from ..functions.cells import fill_values, is_fill
+from ..functions.tables import small_table
+from . import attributes, axis, encoding, grid, levels
 from .archive import BY_LAYOUT, Archive
 from .provenance import nomenclature
 
@@ -35,7 +36,7 @@ def none(df: DataFrame, phase: str, label: str) -> DataFrame:
 
 def said(spark, phase: str, label: str, ok: bool, detail) -> DataFrame:
     """A verdict from what the driver knows."""
-    return spark.createDataFrame([(phase, label, bool(ok), str(detail))], "phase string, label string, ok boolean, detail string")
+    return small_table(spark, [(phase, label, bool(ok), str(detail))], "phase string, label string, ok boolean, detail string")
 
 
 def structure(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFrame]:
@@ -53,13 +54,14 @@ def structure(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[Dat
     attrs = store.attributes().agg(F.array_sort(F.collect_set("key")).alias("keys"))
     missing = F.array_except(F.array(*map(F.lit, [*REQUIRED, *config.attributes, *config.attributes_of_variable])), F.col("keys"))
     masked = F.array_contains("keys", "source_fill_values_masked") == F.lit(bool(config.source_fill_values))
-    cells = store.read().agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.count_if(F.isnan("v")).alias("nan"))
+    cells = store.manifest_rows().agg(
+        F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.count_if(F.isnan("v_min") | F.isnan("v_max")).alias("nan"))
     layout = "temporal" if config.chunks["time"] == -1 else "spatial"
     return [
         said(spark, "structure", "one variable, the config's", store.variables() == {config.variable}, store.variables()),
         check(one, "structure", "cells are (date, int, int, float)", F.lit(kinds == {"t": "date", "y": "int", "x": "int", "v": "float"}), F.lit(str(kinds))),
         said(spark, "structure", "the grid is the config's", (spec.get("ny"), spec.get("nx")) == (config.ny, config.nx), spec.get("ny")),
-        check(cells, "structure", "cells lie in the grid", (F.col("y0") >= 0) & (F.col("x0") >= 0) & (F.col("y1") < config.ny) & (F.col("x1") < config.nx), F.col("y1")),
+        check(cells, "structure", "cells lie in the grid", (F.col("y0") >= 0) & (F.col("x0") >= 0) & (F.col("y1") <= config.ny) & (F.col("x1") <= config.nx), F.col("y1")),
         check(cells, "structure", "fill is not stored", F.col("nan") == 0, F.col("nan")),
         said(spark, "structure", f"chunks have the shape {chunk}", tuple(spec.get("chunk", ())) == chunk, spec.get("chunk")),
         none(misplaced(store, chunk), "structure", f"cells lie in their chunk of the shape {chunk}"),
@@ -73,11 +75,15 @@ def structure(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[Dat
 
 
 def misplaced(store: Archive, chunk: tuple[int, int, int]) -> DataFrame:
-    """Cells that do not lie in the chunk of shape ``chunk`` (days, rows, columns) that holds them."""
+    """Pieces whose cells, by the manifest, do not lie in the chunk of shape ``chunk`` (days, rows, columns) that holds
+    them."""
     days, ny, nx = chunk
-    first = axis.bounds(store.axis()).first
-    place = (F.floor(F.datediff("t", F.lit(first)) / days) != F.col("tc")) | (F.floor(F.col("y") / ny) != F.col("ty")) | (F.floor(F.col("x") / nx) != F.col("tx"))
-    return store.chunked().where(place)
+    first = F.lit(axis.bounds(store.axis()).first)
+    last = F.array_max(F.zip_with("mask_from", "mask_days", lambda a, n: F.date_add(a, n - 1)))
+    outside = [F.floor(F.datediff(F.array_min("mask_from"), first) / days) != F.col("tc"), F.floor(F.datediff(last, first) / days) != F.col("tc")]
+    for low, high, size, tile in (("y0", "y1", ny, "ty"), ("x0", "x1", nx, "tx")):
+        outside += [F.floor(F.col(low) / size) != F.col(tile), F.floor((F.col(high) - 1) / size) != F.col(tile)]
+    return store.manifest_rows().where(reduce(Column.__or__, outside))
 
 
 def names(store: Archive, config: ArchiveConfig) -> list[DataFrame]:
@@ -119,7 +125,7 @@ def index(store: Archive, config: ArchiveConfig, raw: DataFrame) -> list[DataFra
         check(duration, "index", "the duration is the axis's", F.col("value") == F.concat(F.lit('"'), "span", F.lit('"')), F.col("value")),
         said(spark, "index", "lat and lon are the source's", (spec.get("lat"), spec.get("lon")) == (list(config.lat), list(config.lon)), spec.get("lat")),
         check(grown, "index", "lat and lon end where the attributes say", close, F.concat_ws("/", *[F.col(c).cast("string") for c in "abcd"])),
-        none(store.read().join(gaps, "t", "left_semi"), "index", "days without a file are fill"),
+        none(levels.by_day(store).join(gaps, "t", "left_semi"), "index", "days without a file are fill"),
         none(store.axis().groupBy("t").count().where("count > 1"), "index", "no day twice"),
     ]
 
@@ -154,7 +160,7 @@ def samples(store: Archive, config: ArchiveConfig, raw: DataFrame, n: int = 24,
     whole = axis.bounds(store.axis())
     listed = [(whole.first + dt.timedelta(k), whole.first + dt.timedelta(k + span - 1), y, x) for k, span, y, x in boxes(config, whole, n, days, seed)]
     found = grid.compare(in_boxes(store.read(), listed), in_boxes(raw, listed), fill_values(config.source_fill_values), by=["box"])
-    labels = store.spark.createDataFrame([(i, f"box {a} to {b} y {y[0]} x {x[0]}") for i, (a, b, y, x) in enumerate(listed)], "box int, name string")
+    labels = small_table(store.spark, [(i, f"box {a} to {b} y {y[0]} x {x[0]}") for i, (a, b, y, x) in enumerate(listed)], "box int, name string")
     both = labels.join(found, "box", "left")
     ok = F.coalesce(F.col("mask_ok") & F.col("values_ok"), F.lit(True))
     detail = F.concat_ws("/", F.coalesce("n_different", F.lit(0)).cast("string"), F.coalesce("n_valid", F.lit(0)).cast("string"))
@@ -162,14 +168,23 @@ def samples(store: Archive, config: ArchiveConfig, raw: DataFrame, n: int = 24,
 
 
 def reread(store: Archive, config: ArchiveConfig, raw: DataFrame, place: list[Column], k: int) -> DataFrame:
-    """The ``k`` smallest chunks against the raw, cell by cell."""
-    least = store.manifest().orderBy("n_cells", "tc", "ty", "tx").limit(k).select("tc", "ty", "tx")
+    """The chunks of the fewest stored bytes (``k`` of them) against the raw, cell by cell. Only their files are opened."""
+    least = store.manifest().orderBy("n_bytes", "tc", "ty", "tx").limit(k).select("tc", "ty", "tx")
     few = F.broadcast(least)  # k rows
-    own = store.chunked().join(few, ["tc", "ty", "tx"], "left_semi").select("t", "y", "x", "v")
+    files = [f"{store.path}/{r['file']}" for r in store.manifest_rows().join(few, ["tc", "ty", "tx"], "left_semi").select("file").distinct().collect()]  # of k chunks
+    read = store.spark.read.schema(encoding.PIECES).parquet(*files) if files else small_table(store.spark, [], encoding.PIECES)
+    own = encoding.cells_of_pieces(read.join(few, ["tc", "ty", "tx"], "left_semi"), store.shape()).select("t", "y", "x", "v")
     there = raw.select(*place, "t", "y", "x", "v").join(few, ["tc", "ty", "tx"], "left_semi").select("t", "y", "x", "v")
     return grid.compare(own, there, fill_values(config.source_fill_values))
 
 
+def unlike_manifest(store: Archive) -> DataFrame:
+    """Manifest rows that the pieces do not bear out, and what the pieces give instead: every piece is read and its
+    numbers, bounds and digests worked out anew."""
+    said, there = store.manifest_rows().drop("file"), encoding.recounted(store.pieces(), store.shape())
+    return said.exceptAll(there).unionByName(there.exceptAll(said))
+
+
 def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame, smallest: int = 3) -> list[DataFrame]:
     whole = axis.bounds(store.axis())
     days, ny, nx = config.chunk_shape(whole.days)
@@ -179,11 +194,12 @@ def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame, smallest: int =
     valid = raw.where(~F.isnan("v") & ~is_fill(F.col("v"), fill_values(config.source_fill_values)))
     with_data = valid.groupBy(*place).agg(F.count("*").alias("n_raw"))
     outside = manifest.where(~(F.col("tc").between(0, deep - 1) & F.col("ty").between(0, tall - 1) & F.col("tx").between(0, wide - 1)))
-    sizes = manifest.agg(F.count("*").alias("n"), F.min("n_cells").alias("least"), F.median("n_cells").alias("middle"), F.max("n_cells").alias("most"))
+    sizes = manifest.agg(F.count("*").alias("n"), F.min("n_bytes").alias("least"), F.median("n_bytes").alias("middle"), F.max("n_bytes").alias("most"))
     return [
         check(sizes, "sweep", "chunks there are", F.col("n") > 0, F.concat_ws("/", *[F.col(c).cast("string") for c in ("n", "least", "middle", "most")])),
         none(outside, "sweep", "chunks lie in the grid"),
-        none(manifest.groupBy("tc", "ty", "tx").count().where("count > 1"), "sweep", "no chunk twice"),
+        none(store.manifest_rows().groupBy("tc", "ty", "tx", "part").count().where("count > 1"), "sweep", "no chunk twice"),
+        none(unlike_manifest(store), "sweep", "the manifest is what the chunks hold"),
         none(with_data.join(manifest, ["tc", "ty", "tx"], "left_anti"), "sweep", "chunks with raw data are written"),
         check(reread(store, config, raw, place, smallest), "sweep", "the smallest chunks agree", F.col("mask_ok") & F.col("values_ok"), F.col("n_different")),
         none(manifest.join(with_data, ["tc", "ty", "tx"], "left").where(~F.col("n_cells").eqNullSafe(F.col("n_raw"))), "sweep", "chunks hold as many cells as the raw has"),
@@ -191,12 +207,9 @@ def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame, smallest: int =
 
 
 def footprints(store: Archive, raw: DataFrame) -> DataFrame:
-    """(t, n, footprint) of every day with a file: how many cells are not masked, and which, as an order-free hash of
-    their places. Cells that the raw marks as missing by the declared fill value are no mask: they may come and go."""
-    missing = raw.where(F.col("v") == F.lit(DECLARED_FILL).cast("float")).select("t", "y", "x")
-    place = F.xxhash64("y", "x").cast("decimal(38,0)")
-    shown = store.read().select("t", "y", "x").unionByName(missing).groupBy("t").agg(F.count("*").alias("n"), F.sum(place).cast("string").alias("footprint"))
-    return raw.select("t").distinct().join(shown, "t", "left").select("t", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("footprint", F.lit("0")).alias("footprint"))
+    """(t, n, footprint) of every day with a file: how many cells are stored, and which, by the manifest. What the raw
+    declares missing is masked in the archive as other fill is, so it counts as mask too."""
+    return raw.select("t").distinct().join(levels.by_day(store), "t", "left").select("t", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("footprint", F.lit(0)).alias("footprint"))
 
 
 def sentinel(store: Archive, config: ArchiveConfig, raw: DataFrame, planes: int = 40) -> list[DataFrame]:
@@ -204,23 +217,24 @@ def sentinel(store: Archive, config: ArchiveConfig, raw: DataFrame, planes: int
     days = grid.spaced_days(raw.select("t").distinct(), planes)
     return [
         none(grid.undeclared_negatives(raw.join(days, "t", "left_semi"), fills), "sentinel", "negative raw values are declared"),
-        none(store.read().where("v < 0"), "sentinel", "no stored value is negative"),
+        none(store.manifest_rows().where("n_negative > 0"), "sentinel", "no stored value is negative"),
         check(footprints(store, raw).agg(F.count_distinct("n", "footprint").alias("n")), "sentinel", "the masked footprint is the same on all days with a file", F.col("n") <= 1, F.col("n")),
-        check(grid.physical_range(store.read()), "sentinel", "note: cells above the ceiling", F.lit(True), F.col("above")),
+        check(store.manifest_rows().agg(F.count_if(F.col("v_max") > grid.CEILING).alias("above")), "sentinel", "note: pieces with cells above the ceiling", F.lit(True), F.col("above")),
     ]
 
 
 def metadata(store: Archive, config: ArchiveConfig, sibling: Archive) -> list[DataFrame]:
     """Against the other layout of the same record."""
     place = lambda x: {k: x.spec().get(k) for k in ("variable", "ny", "nx", "lat", "lon")}
-    days = grid.contents(store.read()).join(grid.contents(sibling.read()).toDF("t", "n_2", "digest_2"), "t", "full_outer")
+    cells = levels.different_cells(store, sibling) if place(store) == place(sibling) and store.shape().first_day == sibling.shape().first_day else store.read()
+    first = F.min(F.concat_ws(" ", F.col("t").cast("string"), F.col("y").cast("string"), F.col("x").cast("string")))
     own = F.col("key").contains(":")
     return [
         none(axis.axis_differences(store.axis(), sibling.axis()), "metadata", "axes agree"),
         said(store.spark, "metadata", "variable, grid and coordinates agree", place(store) == place(sibling), place(sibling)),
         none(attributes.disagreements(store.attributes().where(~own), sibling.attributes().where(~own), BY_LAYOUT), "metadata", "attributes agree"),
         none(attributes.disagreements(store.attributes().where(own), sibling.attributes().where(own)), "metadata", "attributes of the variable agree"),
-        none(days.where(~(F.col("n").eqNullSafe(F.col("n_2")) & F.col("digest").eqNullSafe(F.col("digest_2")))), "metadata", "cells agree on every day"),
+        check(cells.agg(F.count("*").alias("n"), first.alias("first")), "metadata", "cells agree on every day", F.col("n") == 0, F.concat_ws(": ", F.col("n").cast("string"), "first")),
     ]
 
 

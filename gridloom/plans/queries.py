@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import naming
-from ..functions.cells import NAN, is_valid
-from ..operators import attributes, axis, blocks, grid
-from . import cubes
+from ..functions.tables import small_table
+from ..functions.cells import NAN
+from ..sources import raw
+from ..operators import attributes, audit, axis, blocks, grid, levels
+from . import cubes, stores
 from .cubes import CORNER_FILL, EDGE, NX, NY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +54,7 @@ def axis_missing_days(spark, sf_dir):
 
 def declared_days(days: DataFrame) -> DataFrame:
     """The gaps that a config declares, whatever days there are."""
-    return days.sparkSession.createDataFrame([(dt.date.fromisoformat(d),) for d in DECLARED], "t date")
+    return small_table(days.sparkSession, [(dt.date.fromisoformat(d),) for d in DECLARED], "t date")
 
 
 @query(f"""WITH {cubes.AXIS}, {DECLARED_SQL}
@@ -407,3 +409,98 @@ def sample_ends(spark, sf_dir):
     drawn = grid.sampled_days(axis.days(cubes.read(spark, sf_dir, "lineitem"), "l_shipdate").distinct(), 24, 20)
     ends = drawn.agg(F.min("t").alias("a"), F.max("t").alias("b"), F.count("*").alias("n"))
     return ends.select(text("a").alias("first_day"), text("b").alias("last_day"), F.col("n").between(22, 24).alias("enough"))
+
+
+# Archives: built of the events, interrupted, gone on with, read and audited
+
+
+@query(f"WITH {stores.EVENT_CUBE} SELECT CAST(t AS VARCHAR) AS t, y, x, CAST(v AS DOUBLE) AS v FROM event_cube")
+def archive_append_cells(spark, sf_dir):
+    """All cells of the archive by days."""
+    return stores.stores(spark, sf_dir).maps.read().select(text("t").alias("t"), "y", "x", F.col("v").cast("double").alias("v"))
+
+
+@query(f"WITH {stores.EVENT_CUBE} SELECT CAST(t AS VARCHAR) AS t, y, x, CAST(v AS DOUBLE) AS v FROM event_cube")
+def archive_region_cells(spark, sf_dir):
+    """All cells of the archive by tiles, which was built from one pass over the raw files."""
+    return stores.stores(spark, sf_dir).series.read().select(text("t").alias("t"), "y", "x", F.col("v").cast("double").alias("v"))
+
+
+@query(f"""WITH {stores.EVENT_CUBE}
+SELECT 'days' AS layout, CAST(t AS VARCHAR) AS t, y, x, CAST(v AS DOUBLE) AS v FROM event_cube, first_day WHERE t >= d0 + 5 AND t < d0 + 15 AND y >= 13 AND y < 37 AND x >= 19 AND x < 22
+UNION ALL SELECT 'tiles', CAST(t AS VARCHAR), y, x, CAST(v AS DOUBLE) FROM event_cube, first_day WHERE t >= d0 + 5 AND t < d0 + 15 AND y >= 13 AND y < 37 AND x >= 19 AND x < 22""")
+def archive_boxes(spark, sf_dir):
+    """A box that cuts through commits, blocks and chunks, out of both layouts."""
+    built = stores.stores(spark, sf_dir)
+    first = built.maps.shape().first_day
+    out = []
+    for name, store in (("days", built.maps), ("tiles", built.series)):
+        box = store.read(t0=first + dt.timedelta(5), t1=first + dt.timedelta(15), y=(13, 37), x=(19, 22))
+        out.append(box.select(F.lit(name).alias("layout"), text("t").alias("t"), "y", "x", F.col("v").cast("double").alias("v")))
+    return out[0].unionByName(out[1])
+
+
+@query(f"""WITH {stores.EVENT_CUBE}
+SELECT 'days' AS layout, CAST(t - d0 AS BIGINT) AS tc, 0 AS ty, 0 AS tx, count(*) AS n_cells, CAST(min(v) AS DOUBLE) AS v_min, CAST(max(v) AS DOUBLE) AS v_max, min(y) AS y0, max(x) + 1 AS x1
+FROM event_cube, first_day GROUP BY t, d0
+UNION ALL SELECT 'tiles', CAST(0 AS BIGINT), CAST(y // {EDGE} AS INTEGER), CAST(x // {EDGE} AS INTEGER), count(*), CAST(min(v) AS DOUBLE), CAST(max(v) AS DOUBLE), min(y), max(x) + 1 FROM event_cube GROUP BY 3, 4""")
+def archive_manifest(spark, sf_dir):
+    """The chunks of both layouts by what their commits wrote of them; no data is opened."""
+    built = stores.stores(spark, sf_dir)
+    out = []
+    for name, store in (("days", built.maps), ("tiles", built.series)):
+        found = store.manifest_rows().groupBy("tc", "ty", "tx").agg(
+            F.sum("n_cells").alias("n_cells"), F.min("v_min").cast("double").alias("v_min"), F.max("v_max").cast("double").alias("v_max"), F.min("y0").alias("y0"), F.max("x1").alias("x1"))
+        out.append(found.select(F.lit(name).alias("layout"), "*"))
+    return out[0].unionByName(out[1])
+
+
+@query(f"""WITH {stores.EVENT_CUBE}, batches AS (SELECT unnest(range(0, CAST(d1 - d0 + 1 AS BIGINT), {stores.DAYS_A_COMMIT})) AS a, d1 - d0 + 1 AS n, d0 FROM first_day)
+SELECT 'days' AS layout, CAST(a // {stores.DAYS_A_COMMIT} AS BIGINT) AS seq, 'build' AS kind, 'write timesteps ' || a || '-' || least(a + {stores.DAYS_A_COMMIT}, n) AS message,
+CAST(d0 + CAST(a AS INTEGER) AS VARCHAR) AS first_day, CAST(least(a + {stores.DAYS_A_COMMIT}, n) - a AS BIGINT) AS n_days FROM batches
+UNION ALL SELECT 'tiles', CAST(0 AS BIGINT), 'skeleton', 'create skeleton', CAST(d0 AS VARCHAR), CAST(d1 - d0 + 1 AS BIGINT) FROM first_day
+UNION ALL SELECT 'tiles', CAST(b // {stores.BLOCK_ROWS} + 1 AS BIGINT), 'build', 'write block value y[' || b || ':' || (b + {stores.BLOCK_ROWS}) || '] x[0:{NX}]', CAST(d0 AS VARCHAR), CAST(0 AS BIGINT)
+FROM first_day, range(0, {NY}, {stores.BLOCK_ROWS}) r(b)""")
+def archive_commits(spark, sf_dir):
+    """The commits of both builds, each once though both were interrupted."""
+    built = stores.stores(spark, sf_dir)
+    out = []
+    for name, store in (("days", built.maps), ("tiles", built.series)):
+        own = store.history().where("kind <> 'attributes'").withColumn("place", F.row_number().over(Window.orderBy("seq")) - 1)  # a row a commit
+        out.append(own.select(F.lit(name).alias("layout"), F.col("place").cast("long").alias("seq"), "kind", "message", text("first_day").alias("first_day"), "n_days"))
+    return out[0].unionByName(out[1])
+
+
+@query(f"""WITH {stores.EVENT_CUBE}, m AS (SELECT t, string_agg(y || ',' || x, ';' ORDER BY y, x) AS f FROM event_cube GROUP BY t)
+SELECT 'days' AS layout, p AS phase, CASE WHEN p = 'sentinel' AND (SELECT count(DISTINCT f) FROM m) > 1 THEN 1 ELSE 0 END AS n_failures
+FROM (SELECT unnest(['structure', 'index', 'samples', 'sweep', 'sentinel', 'metadata']) AS p)
+UNION ALL SELECT 'tiles', p, CASE WHEN p = 'sentinel' AND (SELECT count(DISTINCT f) FROM m) > 1 THEN 1 ELSE 0 END
+FROM (SELECT unnest(['structure', 'index', 'samples', 'sweep', 'sentinel', 'metadata']) AS p)""")
+def archive_audit(spark, sf_dir):
+    """Failures by phase of the audits of both layouts, each against the raw files and the other layout. The events' cells
+    come and go, so the masked footprint moves, and that check must fail."""
+    built = stores.stores(spark, sf_dir)
+    cells = raw.raw_cells(spark, built.config)
+    out = []
+    for name, store, config, other in (("days", built.maps, built.config, built.series), ("tiles", built.series, built.series_config, built.maps)):
+        found = audit.audit(store, config, cells, [*audit.PHASES, "metadata"], other, n=4, days=10)
+        out.append(attributes.totals(found, ["phase"]).select(F.lit(name).alias("layout"), "phase", F.col("n_failures").cast("int").alias("n_failures")))
+    return out[0].unionByName(out[1])
+
+
+@query(f"""WITH {stores.EVENT_CUBE} SELECT CAST(t AS VARCHAR) AS t, y, x, CAST(v AS DOUBLE) AS left_v, CAST(CAST(v + 1 AS FLOAT) AS DOUBLE) AS right_v
+FROM event_cube, first_day WHERE t = d1 AND y = {stores.CHANGED_ROW}""")
+def archive_different_cells(spark, sf_dir):
+    """Where an archive by tiles differs from one by days: found by digests of spans and rows, then read."""
+    built = stores.stores(spark, sf_dir)
+    found = levels.different_cells(built.maps, built.changed)
+    return found.select(text("t").alias("t"), "y", "x", F.col("left_v").cast("double").alias("left_v"), F.col("right_v").cast("double").alias("right_v"))
+
+
+@query(f"""WITH {stores.EVENT_CUBE} SELECT CAST(t AS VARCHAR) AS t, count(*) AS n, count(DISTINCT y * {NX} + x) = count(*) AS once FROM event_cube GROUP BY t""")
+def archive_footprints(spark, sf_dir):
+    """Cells a day by the manifest of the archive by tiles; its digests of places are those of the archive by days."""
+    built = stores.stores(spark, sf_dir)
+    days = levels.by_day(built.maps).select("t", F.col("footprint").alias("other"))
+    found = levels.by_day(built.series).join(days, "t")
+    return found.select(text("t").alias("t"), "n", (F.col("footprint") == F.col("other")).alias("once"))

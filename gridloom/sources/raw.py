@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FORMATS, ArchiveConfig
 from ..functions.cells import NAN
-from ..functions.naming import day_of_checked_stamp, day_of_stamp
+from ..functions.naming import day_of_checked_stamp, day_of_stamp, stamp_of
 from ..operators.axis import complete_axis
 
 
@@ -50,6 +52,26 @@ def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | Non
     return files.select(day_of_checked_stamp(name).alias("t"), "y", "x", value.cast("float").alias("v"))
 
 
+def write_days(spark: SparkSession, config: ArchiveConfig, cells: DataFrame) -> list[dt.date]:
+    """Write cells (t, y, x, v) as raw files, one a day, named as `raw_files` lists them; returns the days. A day's cells
+    are sorted by place, so that row groups have ranges of rows."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{config.raw_dir}/_new")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    named = cells.select(stamp_of(F.col("t")).alias("stamp"), "y", "x", F.col("v").cast("float").alias(config.variable))
+    named.repartition("stamp").sortWithinPartitions("stamp", "y", "x").write.mode("overwrite").partitionBy("stamp").parquet(folder.toString())
+    days = []
+    for part in files.listStatus(folder):
+        if part.isDirectory():
+            stamp = part.getPath().getName().split("=")[1]
+            for one in files.listStatus(part.getPath()):
+                if one.getPath().getName().endswith(".parquet"):
+                    files.rename(one.getPath(), hadoop.Path(f"{config.raw_dir}/{stamp}.parquet"))
+            days.append(dt.datetime.strptime(stamp, "%Y%j").date())
+    files.delete(folder, True)
+    return sorted(days)
+
+
 def raw_box(cells: DataFrame, axis: DataFrame, t0, t1, y: tuple[int, int], x: tuple[int, int]) -> DataFrame:
     """Cells of a half-open box on the axis: a day without a file is a plane of NaN. Nothing is masked."""
     days = axis.where((F.col("t") >= t0) & (F.col("t") < t1))

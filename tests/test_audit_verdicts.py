@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom import __main__ as command
-from gridloom.operators import archive, audit, provenance
+from gridloom.operators import archive, audit, encoding, provenance
 from gridloom.config import ArchiveConfig
 from gridloom.sources import raw
 
@@ -98,7 +98,7 @@ def test_siblings_are_compared_by_day(spark, config):
     store, sibling, cells = archive.build(spark, config), archive.build(spark, temporal), raw.raw_cells(spark, config)
     assert not failed(audit.audit(store, config, cells, ["metadata"], sibling))
     folder = f"data/{'x' * 8}"
-    sibling.write(cells.where("y = 3").limit(1).withColumn("v", F.lit(99.0)), (6, 2, 2), FIRST, folder)
+    sibling.write(encoding.scattered(cells.where("y = 3").limit(1).withColumn("v", F.lit(99.0)), sibling.shape()), sibling.shape(), folder)
     sibling.commit("write more", "build", folder, (FIRST, FIRST), (0, 4, 0, 4))
     archive.write_attributes(sibling, {"rain:units": "m", "note": "x"})
     assert failed(audit.audit(store, config, cells, ["metadata"], sibling)) == {"attributes agree", "attributes of the variable agree", "cells agree on every day"}
