@@ -32,7 +32,7 @@ def write_raw(folder: Path, days: int) -> None:
 
 
 def main() -> None:
-    cpus, days = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_DAYS", "4"))
+    cpus, days = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_DAYS", "16"))
     root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench of archives")

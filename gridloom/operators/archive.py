@@ -306,6 +306,13 @@ def cells_of(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> Da
     return raw.raw_cells(spark, config, paths).withColumn("v", mask_fill(F.col("v"), fill_values(config.source_fill_values)))
 
 
+def fragments(spark: SparkSession, config: ArchiveConfig, paths: list[str], shape: encoding.Shape) -> DataFrame:
+    """The cells of some files as they are stored, dealt to pieces."""
+    if not paths or config.raw_format != "parquet":
+        return encoding.scattered(cells_of(spark, config, paths), shape)
+    return encoding.scattered_files(raw.raw_contents(spark, config, paths), config.variable, fill_values(config.source_fill_values), shape)
+
+
 def pending_attributes(store: Archive, values: dict) -> DataFrame:
     """(key, value) of ``values`` that the archive does not have so."""
     wanted = small_table(store.spark, [(k, json.dumps(v)) for k, v in values.items()], "key string, value string")
@@ -352,8 +359,7 @@ def build_append(store: Archive, config: ArchiveConfig, paths: dict, days: DataF
         if i == stop_after:
             return
         folder = f"data/{uuid.uuid4().hex}"
-        cells = cells_of(store.spark, config, [p for t, p in paths.items() if b["first_day"] <= t <= b["last_day"]])
-        store.write(encoding.scattered(cells, shape), shape, folder)
+        store.write(fragments(store.spark, config, [p for t, p in paths.items() if b["first_day"] <= t <= b["last_day"]], shape), shape, folder)
         store.commit(
             f"write timesteps {b['start']}-{b['stop']}", "build", folder, (b["first_day"], b["last_day"]), (0, config.ny, 0, config.nx),
             None if done or i else spec_of(config, whole), n_days=b["n_days"],
@@ -407,11 +413,11 @@ def staged(store: Archive, config: ArchiveConfig, paths: dict, shape: encoding.S
     name = f"staging/{hashlib.sha256(said.encode()).hexdigest()}"
     if not store.has(f"{name}/_SUCCESS"):
         store.files.delete(store.hadoop("staging"), True)
-        fragments = encoding.scattered(cells_of(store.spark, config, list(paths.values())), shape)
+        dealt = fragments(store.spark, config, list(paths.values()), shape)
         piece = F.floor(F.col("key") / shape.parts)
         ty, tx = F.floor(piece / shape.wide) % shape.tall, piece % shape.wide
         number = F.floor(ty * shape.ny / block[0]) * -(-config.nx // block[1]) + F.floor(tx * shape.nx / block[1])
-        fragments.withColumn("block", number.cast("int")).write.mode("overwrite").partitionBy("block").parquet(f"{store.path}/{name}")
+        dealt.withColumn("block", number.cast("int")).write.mode("overwrite").partitionBy("block").parquet(f"{store.path}/{name}")
     return f"{store.path}/{name}"
 
 

@@ -4,11 +4,12 @@ bitmap of the cells that are there, and digests by day and row that combine over
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 
 #: A piece: a strip of rows of a chunk (tc, ty, tx); what it holds, its stored size, digests; then its bytes.
@@ -24,7 +25,8 @@ HELD_CELLS, FRAGMENT_CELLS = 1 << 20, 1 << 17
 EPOCH = dt.date(1970, 1, 1)
 #: Days from the archive's first one on whose values share a digest.
 SPAN = 32
-LEVEL = 3
+#: Of zstd.
+LEVEL = 1
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,13 +75,16 @@ class Shape:
 
     def places(self, t: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(piece, place in it) of cells, ``t`` in days since 1970."""
-        tc, day = np.divmod(t.astype(np.int64) - self.day0, self.days)
-        ty, row = np.divmod(y.astype(np.int64), self.ny)
-        tx, column = np.divmod(x.astype(np.int64), self.nx)
-        part, row = np.divmod(row, self.strip)
-        if len(t) and (min(tc.min(), y.min(), x.min()) < 0 or y.max() >= self.grid[0] or x.max() >= self.grid[1]):
+        if len(t) and (min(int(t.min()) - self.day0, y.min(), x.min()) < 0 or y.max() >= self.grid[0] or x.max() >= self.grid[1]):
             raise ValueError("cells lie outside the grid or before its first day")
-        return ((tc * self.tall + ty) * self.wide + tx) * self.parts + part, (day * self.strip + row) * self.nx + column
+        # By table: a grid has few rows and columns, a record few days, beside its cells.
+        days = np.arange(int(t.min()) - self.day0, int(t.max()) - self.day0 + 1) if len(t) else np.zeros(0, np.int64)
+        rows, columns = np.arange(self.grid[0]), np.arange(self.grid[1])
+        strips, inside = np.divmod(rows % self.ny, self.strip)
+        at = lambda table, index: table[index]
+        t = t - (int(t.min()) if len(t) else 0)
+        key = at(days // self.days * (self.tall * self.wide * self.parts), t) + at(rows // self.ny * (self.wide * self.parts) + strips, y) + at(columns // self.nx * self.parts, x)
+        return key, at(days % self.days * (self.strip * self.nx), t) + at(inside * self.nx, y) + at(columns % self.nx, x)
 
     def piece(self, key: int) -> tuple[int, int, int, int]:
         """(tc, ty, tx, part)."""
@@ -95,9 +100,40 @@ class Shape:
         return day + (tc * self.days + self.day0), row + (ty * self.ny + part * self.strip), column + tx * self.nx
 
 
+Arrays = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
 def scattered(cells: DataFrame, shape: Shape) -> DataFrame:
-    """(key, n, places, numbers): the cells (t, y, x, v) that are not NaN, in fragments of pieces. A task holds a bounded
-    number of cells, sorts them by piece and place, and sends bytes; nothing is a row a cell from here on."""
+    """(key, n, places, numbers): the cells (t, y, x, v) that are not NaN, in fragments of pieces."""
+
+    def arrays(batch: pa.RecordBatch) -> Iterator[Arrays]:
+        t, y, x = (batch.column(c).cast(pa.int32()).to_numpy(zero_copy_only=False) for c in ("t", "y", "x"))
+        yield t, y, x, batch.column("v").to_numpy(zero_copy_only=False)
+
+    return fragments_of(cells.select("t", "y", "x", "v"), arrays, shape)
+
+
+def scattered_files(files: DataFrame, variable: str, fills: list[float], shape: Shape) -> DataFrame:
+    """`scattered` of whole day files (stamp, content): Parquet is decoded to arrays in the task that reads the file, so no
+    cell ever becomes a row. Values that are fill, of type float, count as NaN."""
+    masked = np.array(fills, "<f4")
+
+    def arrays(batch: pa.RecordBatch) -> Iterator[Arrays]:
+        for stamp, content in zip(batch.column("stamp").to_pylist(), batch.column("content"), strict=True):
+            day = (dt.datetime.strptime(stamp, "%Y%j").date() - EPOCH).days
+            file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+            for i in range(file.num_row_groups):
+                group = file.read_row_group(i, ["y", "x", variable])
+                y, x = (group.column(c).cast(pa.int32()).to_numpy() for c in ("y", "x"))
+                v = group.column(variable).cast(pa.float32()).to_numpy()
+                yield np.full(len(v), day, np.int32), y, x, np.where(np.isin(v, masked), np.float32(np.nan), v)
+
+    return fragments_of(files.select("stamp", "content"), arrays, shape)
+
+
+def fragments_of(source: DataFrame, arrays: Callable[[pa.RecordBatch], Iterator[Arrays]], shape: Shape) -> DataFrame:
+    """A task holds a bounded number of cells, sorts them by piece and place unless they come so, and sends bytes;
+    nothing is a row a cell from here on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -121,10 +157,9 @@ def scattered(cells: DataFrame, shape: Shape) -> DataFrame:
                     pa.array([v[a:b].tobytes() for a, b in zip(starts[some], ends[some], strict=True)], pa.binary()),
                 ], ["key", "n", "places", "numbers"])
 
-        for batch in batches:
-            v = batch.column("v").to_numpy(zero_copy_only=False).astype("<f4")
+        for t, y, x, v in (a for batch in batches for a in arrays(batch)):
+            v = v.astype("<f4")
             there = ~np.isnan(v)
-            t, y, x = (batch.column(c).cast(pa.int32()).to_numpy(zero_copy_only=False) for c in ("t", "y", "x"))
             if not there.all():
                 t, y, x, v = t[there], y[there], x[there], v[there]
             if len(v):
@@ -136,7 +171,7 @@ def scattered(cells: DataFrame, shape: Shape) -> DataFrame:
         if held:
             yield from out()
 
-    return cells.select("t", "y", "x", "v").mapInArrow(run, FRAGMENTS)
+    return source.mapInArrow(run, FRAGMENTS)
 
 
 def pack_places(place: np.ndarray) -> bytes:
@@ -177,7 +212,8 @@ def summed(shape: Shape, key: int, places: np.ndarray, values: np.ndarray) -> di
     so a mask that stands still is one entry. Values: a digest a span of SPAN days and one a row of the grid."""
     t, y, x = shape.back(shape.piece(key), places)
     place = mixed(y.astype(np.int64) * shape.grid[1] + x)
-    value = mixed(place ^ mixed(t.astype(np.int64)) ^ (values.view(np.uint32).astype(np.uint64) << np.uint64(7)))
+    days = mixed(np.arange(int(t[0]), int(t[-1]) + 1))
+    value = mixed(place ^ days[t - t[0]] ^ (values.view(np.uint32).astype(np.uint64) << np.uint64(7)))
     folded = lambda h, at: np.bitwise_xor.reduceat(h, at).view(np.int64)
     day_at = np.flatnonzero(np.diff(t, prepend=t[0] - 1))  # places go by day first
     day, cells, mask = t[day_at], np.diff(np.append(day_at, len(t))), folded(place, day_at)
@@ -186,14 +222,17 @@ def summed(shape: Shape, key: int, places: np.ndarray, values: np.ndarray) -> di
     run_at = np.flatnonzero(new)
     span = (t - shape.day0) // SPAN
     span_at = np.flatnonzero(np.diff(span, prepend=-1))
-    order = np.argsort(y, kind="stable")
-    row_at = np.flatnonzero(np.diff(y[order], prepend=-1))
+    row, of_row = y, value
+    if (row[1:] < row[:-1]).any():
+        order = np.argsort(row, kind="stable")
+        row, of_row = row[order], value[order]
+    row_at = np.flatnonzero(np.diff(row, prepend=-1))
     return {
         "v_min": float(values.min()), "v_max": float(values.max()), "n_negative": int((values < 0).sum()),
         "y0": int(y.min()), "y1": int(y.max()) + 1, "x0": int(x.min()), "x1": int(x.max()) + 1,
         "mask_from": day[run_at].astype(np.int32).tolist(), "mask_days": np.diff(np.append(run_at, len(day))).tolist(),
         "mask_cells": cells[run_at].tolist(), "mask_places": mask[run_at].tolist(),
-        "spans": span[span_at].tolist(), "span_values": folded(value, span_at).tolist(), "rows": y[order][row_at].tolist(), "row_values": folded(value[order], row_at).tolist(),
+        "spans": span[span_at].tolist(), "span_values": folded(value, span_at).tolist(), "rows": row[row_at].tolist(), "row_values": folded(of_row, row_at).tolist(),
     }
 
 
@@ -229,8 +268,9 @@ def gathered(fragments: DataFrame, shape: Shape, parts: int | None = None) -> Da
         def out() -> pa.RecordBatch:
             places = np.concatenate([p for p, _ in held])
             values = np.concatenate([v for _, v in held])
-            order = np.argsort(places, kind="stable")
-            places, values = places[order], values[order]
+            if (places[1:] < places[:-1]).any():
+                order = np.argsort(places, kind="stable")
+                places, values = places[order], values[order]
             if (places[1:] == places[:-1]).any():
                 raise ValueError(f"a cell of piece {shape.piece(key)} stands twice")
             return as_batch([row_of(shape, key, places, values)])

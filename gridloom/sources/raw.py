@@ -52,6 +52,13 @@ def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | Non
     return files.select(day_of_checked_stamp(name).alias("t"), "y", "x", value.cast("float").alias("v"))
 
 
+def raw_contents(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> DataFrame:
+    """(stamp, content) of raw Parquet files, a file a row: what reads them decodes them to arrays. A day is a file, so
+    a row is as large as a day's plane."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(F.regexp_extract("path", r"([0-9]{7})\.parquet$", 1).alias("stamp"), "content")
+
+
 def write_days(spark: SparkSession, config: ArchiveConfig, cells: DataFrame) -> list[dt.date]:
     """Write cells (t, y, x, v) as raw files, one a day, named as `raw_files` lists them; returns the days. A day's cells
     are sorted by place, so that row groups have ranges of rows."""
@@ -66,7 +73,9 @@ def write_days(spark: SparkSession, config: ArchiveConfig, cells: DataFrame) ->
             stamp = part.getPath().getName().split("=")[1]
             for one in files.listStatus(part.getPath()):
                 if one.getPath().getName().endswith(".parquet"):
-                    files.rename(one.getPath(), hadoop.Path(f"{config.raw_dir}/{stamp}.parquet"))
+                    own = hadoop.Path(f"{config.raw_dir}/{stamp}.parquet")
+                    files.delete(own, False)
+                    files.rename(one.getPath(), own)
             days.append(dt.datetime.strptime(stamp, "%Y%j").date())
     files.delete(folder, True)
     return sorted(days)
