@@ -27,10 +27,10 @@ from .provenance import code_revision, nomenclature, object_counts
 
 COMMITS = (
     "seq long, id string, parent string, message string, kind string, written_at timestamp, folder string, n_days long, first_day date, last_day date, "
-    "y0 int, y1 int, x0 int, x1 int, spec string"
+    "y0 int, y1 int, x0 int, x1 int, spec string, batch long"
 )
 MANIFEST = ", ".join(x for x in encoding.PIECES.split(", ") if x.split()[0] not in ("valid", "payload")) + ", file string"
-ADMIN = ("attributes", "tag", "gc")
+ADMIN = ("attributes", "tag", "gc", "held")
 BY_LAYOUT = ("chunking", "title", "history", "date_created", "related_store", "layout", "summary", "verification")
 OWN_HISTORY = "built by gridloom"
 #: Cells that a strip of a large chunk has at most, as long as a single row of it has no more.
@@ -76,13 +76,14 @@ class Archive:
     def tip(self):
         return self.history().first()
 
-    def commit(self, message: str, kind: str, folder: str | None = None, days: tuple | None = None, box: tuple | None = None, spec: dict | None = None, own: str | None = None, n_days: int = 0) -> str:
+    def commit(self, message: str, kind: str, folder: str | None = None, days: tuple | None = None, box: tuple | None = None, spec: dict | None = None, own: str | None = None, n_days: int = 0, batch: int | None = None) -> str:
         """Add the row that makes what was written part of the archive. ``days`` and ``box`` (y0, y1, x0, x1) are the
-        extent of the folder; ``n_days`` counts those by which the axis grows."""
+        extent of the folder; ``n_days`` counts those by which the axis grows; ``batch`` is the micro-batch of a stream
+        whose days are in it."""
         tip = self.tip()
         own = own or uuid.uuid4().hex
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (tip["seq"] + 1 if tip else 0, own, tip["id"] if tip else None, message, kind, now, folder, n_days, *(days or (None, None)), *(box or (None,) * 4), json.dumps(spec) if spec else None)
+        row = (tip["seq"] + 1 if tip else 0, own, tip["id"] if tip else None, message, kind, now, folder, n_days, *(days or (None, None)), *(box or (None,) * 4), json.dumps(spec) if spec else None, batch)
         self.add("commits", COMMITS, [row])
         return own
 
