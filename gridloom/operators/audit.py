@@ -212,11 +212,19 @@ def footprints(store: Archive, raw: DataFrame) -> DataFrame:
     return raw.select("t").distinct().join(levels.by_day(store), "t", "left").select("t", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("footprint", F.lit(0)).alias("footprint"))
 
 
+def undeclared(cells: DataFrame, fills: list[float]) -> DataFrame:
+    """A verdict that names each undeclared negative value, its days by number, the first and the last."""
+    found = grid.value_days(cells, fills)
+    days = grid.days_of_bitmap(found).groupBy("v").agg(F.count("*").alias("days"), F.min("t").alias("a"), F.max("t").alias("b"))
+    named = F.concat_ws(", ", F.slice(F.array_sort(F.collect_list(F.concat_ws(" ", F.col("v").cast("string"), F.lit("on"), F.col("days").cast("string"), F.lit("days from"), F.col("a").cast("string"), F.lit("to"), F.col("b").cast("string")))), 1, 10))
+    return check(days.agg(F.count("*").alias("n"), named.alias("named")), "sentinel", "negative raw values are declared", F.col("n") == 0, F.concat_ws(": ", F.col("n").cast("string"), "named"))
+
+
 def sentinel(store: Archive, config: ArchiveConfig, raw: DataFrame, planes: int = 40) -> list[DataFrame]:
     fills = fill_values(config.source_fill_values)
     days = grid.spaced_days(raw.select("t").distinct(), planes)
     return [
-        none(grid.undeclared_negatives(raw.join(days, "t", "left_semi"), fills), "sentinel", "negative raw values are declared"),
+        undeclared(raw.join(days, "t", "left_semi"), fills),
         none(store.manifest_rows().where("n_negative > 0"), "sentinel", "no stored value is negative"),
         check(footprints(store, raw).agg(F.count_distinct("n", "footprint").alias("n")), "sentinel", "the masked footprint is the same on all days with a file", F.col("n") <= 1, F.col("n")),
         check(store.manifest_rows().agg(F.count_if(F.col("v_max") > grid.CEILING).alias("above")), "sentinel", "note: pieces with cells above the ceiling", F.lit(True), F.col("above")),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import NAN, is_fill, is_finite, is_valid, mask_fill, same_cell
+from ..functions.naming import EPOCH, days_since_epoch
 
 FLOOR, CEILING = 0.0, 2000.0
 
@@ -138,3 +139,59 @@ def overlap_statistics(a: DataFrame, b: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.corr("a", "b").alias("correlation"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(d).alias("bias"),
         F.avg((d == 0).cast("double")).alias("identical"),
     )
+
+
+def value_days(cube: DataFrame, fills: Sequence[float], kind: str = "float") -> DataFrame:
+    """(v, bucket, n, n_days, days) of negative values that are no fill: ``days`` is a bitmap of the days since 1900 on which
+    the value stands, 32,768 days a bucket. A value that stands on every day of a record is a row of 4 KB, whatever the
+    number of its cells: bitmaps are made in each task and merged."""
+    bad = cube.where((F.col("v") < 0) & ~is_fill(F.col("v"), fills, kind))
+    day = days_since_epoch(F.col("t")) + 1
+    days = bad.groupBy("v", F.bitmap_bucket_number(day).alias("bucket")).agg(F.count("*").alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("days"))
+    return days.select("v", "bucket", "n", F.bitmap_count("days").alias("n_days"), "days")
+
+
+def days_of_bitmap(found: DataFrame) -> DataFrame:
+    """(v, t): the days that the bitmaps of `value_days` hold."""
+    octet = lambda i: F.conv(F.hex(F.substring("days", i, 1)), 16, 10).cast("int")
+    bytes_there = found.select("v", "bucket", F.explode(F.sequence(F.lit(1), F.length("days"))).alias("i"), "days").select("v", "bucket", "i", octet(F.col("i")).alias("byte")).where("byte > 0")
+    bits = bytes_there.select("v", "bucket", "i", "byte", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("b")).where(F.expr("byte & shiftleft(1, b)") > 0)
+    day = (F.col("bucket") - 1) * 32768 + (F.col("i") - 1) * 8 + F.col("b")
+    return bits.select("v", F.date_add(F.lit(EPOCH).cast("date"), day.cast("int")).alias("t"))
+
+
+MOMENTS = ["n", "mean_a", "mean_b", "m_aa", "m_bb", "m_ab", "m_dd", "identical"]
+
+
+def overlap_moments(a: DataFrame, b: DataFrame, by: Sequence[Column | str]) -> DataFrame:
+    """For each ``by`` (columns of t, y, x) the moments of the cells that two products share: n, means, centred squares and
+    products, squared differences, identical cells. Stored, they stand for the cells: `merged_moments` combines them."""
+    both = a.select("t", "y", "x", F.col("v").cast("double").alias("a")).join(b.select("t", "y", "x", F.col("v").cast("double").alias("b")), ["t", "y", "x"])
+    d = F.col("a") - F.col("b")
+    n = F.count("*")
+    return both.where(~F.isnan("a") & ~F.isnan("b")).groupBy(*by).agg(
+        n.alias("n"), F.avg("a").alias("mean_a"), F.avg("b").alias("mean_b"), (F.var_pop("a") * n).alias("m_aa"), (F.var_pop("b") * n).alias("m_bb"),
+        (F.covar_pop("a", "b") * n).alias("m_ab"), F.sum(d * d).alias("m_dd"), F.count_if(d == 0).alias("identical"),
+    )
+
+
+def merged_moments(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The moments of several parts as of one, for each ``by``: parts of days added later join those stored before, and no
+    cell is read again. A part's means are centred on the whole's, so nothing is lost to large sums."""
+    n = F.sum("n")
+    means = parts.groupBy(*by).agg(n.alias("n_all"), (F.sum(F.col("n") * F.col("mean_a")) / n).alias("a_all"), (F.sum(F.col("n") * F.col("mean_b")) / n).alias("b_all"))
+    centred = parts.join(means, list(by)) if by else parts.join(F.broadcast(means))  # one row
+    da, db = F.col("mean_a") - F.col("a_all"), F.col("mean_b") - F.col("b_all")
+    return centred.groupBy(*by, "n_all", "a_all", "b_all").agg(
+        F.sum(F.col("m_aa") + F.col("n") * da * da).alias("m_aa"), F.sum(F.col("m_bb") + F.col("n") * db * db).alias("m_bb"), F.sum(F.col("m_ab") + F.col("n") * da * db).alias("m_ab"),
+        F.sum("m_dd").alias("m_dd"), F.sum("identical").alias("identical"),
+    ).select(*by, F.col("n_all").alias("n"), F.col("a_all").alias("mean_a"), F.col("b_all").alias("mean_b"), "m_aa", "m_bb", "m_ab", "m_dd", "identical")
+
+
+def statistics_of_moments(moments: DataFrame) -> DataFrame:
+    """`overlap_statistics` from moments, beside the columns they are for."""
+    keys = [c for c in moments.columns if c not in MOMENTS]
+    return moments.select(
+        *keys, "n", F.try_divide(F.col("m_ab"), F.sqrt(F.col("m_aa") * F.col("m_bb"))).alias("correlation"), F.sqrt(F.col("m_dd") / F.col("n")).alias("rmse"),
+        (F.col("mean_a") - F.col("mean_b")).alias("bias"), (F.col("identical") / F.col("n")).alias("identical"),
+    )

@@ -239,6 +239,25 @@ def product_overlap_stats(spark, sf_dir):
     return found.select("n", F.round("correlation", 6).alias("correlation"), F.round("rmse", 4).alias("rmse"), F.round("bias", 4).alias("bias"), "identical")
 
 
+@query(f"""WITH {cubes.LINE_CUBE}, {cubes.ORDER_CUBE}
+SELECT y // {EDGE} AS ty, count(*) AS n, round(corr(CAST(l.v AS DOUBLE), o.v), 6) AS correlation, round(sqrt(avg((CAST(l.v AS DOUBLE) - o.v) * (CAST(l.v AS DOUBLE) - o.v))), 4) AS rmse,
+round(avg(CAST(l.v AS DOUBLE) - o.v), 4) AS bias FROM line_cube l JOIN order_cube o USING (t, y, x) GROUP BY 1""")
+def product_overlap_merged(spark, sf_dir):
+    """By bands of tiles, merged from moments of each band's months, as a record that grows would store them."""
+    band = F.floor(F.col("y") / EDGE).cast("int").alias("ty")
+    months = grid.overlap_moments(cubes.line_cube(spark, sf_dir), cubes.order_cube(spark, sf_dir), [band, F.trunc("t", "month").alias("month")])
+    found = grid.statistics_of_moments(grid.merged_moments(months, ["ty"]))
+    return found.select("ty", "n", F.round("correlation", 6).alias("correlation"), F.round("rmse", 4).alias("rmse"), F.round("bias", 4).alias("bias"))
+
+
+@query(f"""WITH {cubes.LINE_CUBE} SELECT DISTINCT CAST(-v AS DOUBLE) AS v, CAST(t AS VARCHAR) AS t FROM line_cube WHERE v > 0""")
+def undeclared_value_days(spark, sf_dir):
+    """Every day of each negative value that nobody declared, out of bitmaps: all values of a cube turned negative."""
+    cube = cubes.line_cube(spark, sf_dir).withColumn("v", -F.col("v"))
+    found = grid.days_of_bitmap(grid.value_days(cube, FILLS))
+    return found.select(F.col("v").cast("double").alias("v"), text("t").alias("t"))
+
+
 # Chunks, samples, plans of work
 
 
