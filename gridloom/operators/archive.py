@@ -13,6 +13,7 @@ import json
 import os
 import time
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -341,6 +342,9 @@ def build(spark: SparkSession, config: ArchiveConfig, stop_after: int | None = N
     """Build or go on building an archive from its raw files. ``stop_after`` ends after so many commits, as an
     interruption would."""
     store, days, whole, paths = begin(spark, config)
+    if config.raw_format == "netcdf":  # what the source says of itself is read off it; the config's words win
+        own, encoded = raw.source_attributes(spark, config, paths[whole.first])
+        config = replace(config, source_attrs=own | dict(config.source_attrs), source_encoding=encoded | dict(config.source_encoding), original_units=config.original_units or str(encoded.get("units", "")))
     write = build_append if config.write_strategy == "append" else build_region
     write(store, config, paths, days, whole, encoding.Shape.of(store.spec() or spec_of(config, whole)), stop_after)
     masked = {"source_fill_values_masked": list(config.source_fill_values)} if config.source_fill_values else {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +34,41 @@ def raw_index(files: DataFrame) -> DataFrame:
     return complete_axis(files).join(files, "t", "left")
 
 
-def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | None = None) -> DataFrame:
+def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | None = None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
     """(t, y, x, v float) of ``paths``, or of all files that `raw_files` lists, undecoded: fill values stand as
-    published. Only the files named are opened; their names must be such as `raw_files` lists."""
+    published. Only the files named are opened; their names must be such as `raw_files` lists. Of a half-open box only
+    its slabs or row groups are read."""
     if paths is None:
         paths = [r["path"] for r in raw_files(spark, config).collect()]  # a name a day
     if config.raw_format == "netcdf":
         from .netcdf import NetcdfSource
 
         spark.dataSource.register(NetcdfSource)
-        files = spark.read.format(NetcdfSource.name()).option("paths", ",".join(paths)).option("variable", config.variable).load()
+        files = spark.read.format(NetcdfSource.name()).option("paths", ",".join(paths)).option("variable", config.variable).option("rows", config.ny)
+        for name, box in (("y", y), ("x", x)):
+            files = files.option(f"{name}0", box[0]).option(f"{name}1", box[1]) if box else files
+        files = files.load()
         name, value = F.element_at(F.split("path", "/"), -1), F.col("v")
     else:
         files = spark.read.parquet(*paths)
         if config.variable not in files.columns:
             raise ValueError(f"the raw files have {files.columns}, not {config.variable!r}")
         name, value = F.col("_metadata.file_name"), F.col(config.variable)
+    for column, box in (("y", y), ("x", x)):
+        files = files.where((F.col(column) >= box[0]) & (F.col(column) < box[1])) if box else files
     return files.select(day_of_checked_stamp(name).alias("t"), "y", "x", value.cast("float").alias("v"))
 
 
+def source_attributes(spark: SparkSession, config: ArchiveConfig, path: str) -> tuple[dict, dict]:
+    """(attributes of a raw netCDF file, attributes and encoding of its variable), read off the file."""
+    from .netcdf import NetcdfAttributes
+
+    spark.dataSource.register(NetcdfAttributes)
+    rows = spark.read.format(NetcdfAttributes.name()).option("paths", path).option("variable", config.variable).load().collect()  # of one file
+    of = lambda *owners: {r["key"]: json.loads(r["value"]) for r in rows if r["owner"] in owners}
+    return of(""), of(f"{config.variable}:encoding", config.variable)
+
+
 def raw_contents(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> DataFrame:
     """(stamp, content) of raw Parquet files, a file a row: what reads them decodes them to arrays. A day is a file, so
     a row is as large as a day's plane."""
