@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +32,7 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What is no article: elements that go with all they hold and end no block, elements that begin one, roles.
 LEFT_OUT = frozenset("script style noscript template iframe svg canvas object audio video math datalist select button textarea title xmp noembed noframes".split())
-NO_ARTICLE = frozenset("head nav footer aside form dialog menu".split())
+NO_ARTICLE = frozenset("head nav footer aside dialog menu".split())
 NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 # Words that name what is no article: for sure, if it holds no more than half of the text, and within a line.
 SURE_WORDS = frozenset(
@@ -104,6 +105,8 @@ def judged(tag: str, attrs: dict[str, str]) -> tuple[str, int, bool]:
         return label, 2 if words & NOT_THE_ARTICLE else 0, main
     if tag in ("html", "body"):
         return label, 0, main
+    if tag == "form":  # some sites put a whole page into one
+        return label, 2 if words & SURE_WORDS else 1, main
     return label, 2 if words & SURE_WORDS else 1 if words & DOUBTFUL_WORDS else 0, main
 
 
@@ -130,6 +133,7 @@ def parse(text: str) -> Node:
     root = Node("#page", "", None, 0, False)
     at, here, run, skip_inline = 0, root, [], []
     ends: dict[str, dict[int, int]] = {}
+    above: Counter[str] = Counter()  # open elements by tag, so that no end tag looks for a start that is not there
 
     def flush() -> None:
         if run:
@@ -141,6 +145,10 @@ def parse(text: str) -> Node:
     def close_to(node: Node) -> None:
         nonlocal here
         flush()
+        while here is not node:
+            above[here.tag] -= 1
+            here = here.up
+        above[node.tag] -= 1
         here = node.up
 
     for m in MARKUP.finditer(text):
@@ -171,10 +179,10 @@ def parse(text: str) -> Node:
                     skip_inline.pop()
                 continue
             skip_inline.clear()
-            node = here
-            while node.up is not None and node.tag != tag:
-                node = node.up
-            if node.up is not None:
+            if above[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.up
                 close_to(node)
             else:
                 flush()
@@ -192,6 +200,8 @@ def parse(text: str) -> Node:
         if here.tag == "p" or here.tag in HEADINGS and tag in HEADINGS:
             close_to(here)
         for like in ALONE.get(tag, ()):
+            if not above[like]:
+                continue
             node = here
             while node.up is not None and node.tag != like and node.tag not in ("ul", "ol", "dl", "table", "menu", "article", "main"):
                 node = node.up
@@ -203,6 +213,7 @@ def parse(text: str) -> Node:
         node = Node(tag, label, here, max(out, 1) if tag == "header" else out, main)
         here.items.append(node)
         here = node
+        above[tag] += 1
     if at < len(text) and not skip_inline:
         run.append(references.unescape(text[at:]))
     flush()

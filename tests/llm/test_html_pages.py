@@ -60,6 +60,8 @@ def test_what_recurs_in_main_beside_the_article_goes(spark):
     ("<p>See the <a class=header-link href=x>linked header</a> and <span class=notice>take notice</span>, <span class='ad-slot'>buy</span>now.</p>", "See the linked header and take notice, now."),
     ("<div class=notice-board><p>Kept words</p></div><div class='cookie-bar'>We use cookies</div><div class=site-footer>foot</div>", "Kept words"),
     ("<div class=social><p>Most of the page stands in a thing of this name.</p></div><div class=site-footer>foot</div>", "Most of the page stands in a thing of this name."),
+    ("<form id=aspnetForm><div class=content><h1>T</h1><p>The page in a form.</p></div></form><form><label>Find</label> words</form>", "T\nThe page in a form."),
+    ("<p>A text that is longer than what is asked of the reader.</p><form><h3>Write to us</h3><p>Your name</p></form>", "A text that is longer than what is asked of the reader."),
     ("<a class=skip-to-content href=#c>Skip</a><div><p>Text</p></div><div class=related-posts><p>Much longer than the text itself, but related</p></div>", "Text"),
 ])
 def test_what_stands_within_a_line_and_what_names_say(page, text):
@@ -69,6 +71,15 @@ def test_what_stands_within_a_line_and_what_names_say(page, text):
     assert html.article_text(parts, set(), parts == [root]) == text
 
 
+@pytest.mark.parametrize("unit", ["</p>", "x</td>", "<li></li>", "</form>"])
+def test_a_megabyte_of_tags_under_open_elements_takes_time_in_proportion(unit):
+    import time
+
+    began = time.process_time()
+    html.hashed(html.parse("<div>" * 50_000 + unit * (800_000 // len(unit))))
+    assert time.process_time() - began < 10
+
+
 @pytest.mark.parametrize("unit", ["<svg>", "<object><p>", "</svg>", "<button>x", "<div>", "<script>", "<a ", "<p class=ad>", "<!--", "&amp", "<td>", "</div><div>"])
 def test_long_pages_of_odd_markup_take_time_in_proportion(unit):
     import time
