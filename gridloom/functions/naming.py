@@ -74,6 +74,11 @@ def unit_note(conversion: Column, original: Column, canonical: Column) -> Column
     )
 
 
+def size_text(n_bytes: Column) -> Column:
+    """Bytes as GiB with two places."""
+    return F.format_string("%.2f GiB", n_bytes / F.lit(float(1 << 30)))
+
+
 # Driver forms, for a config's few strings.
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import ArchiveConfig
 from ..functions.cells import fill_values, mask_fill
-from ..functions.naming import block_message
+from ..functions.naming import block_message, size_text
 from ..functions.tables import small_table
 from ..sources import raw
 from . import attributes, axis, blocks, encoding, grid
@@ -257,8 +257,9 @@ class Archive:
         tags, gone = sorted(r["name"] for r in self.tags().collect()), self.unreachable()
         steps = ["verify"] if not verified else [*["attrs"] * bool(pending), *["tag"] * (not tags), *["gc"] * bool(gone)]
         on_disk = {r["folder"].rsplit("/", 1)[-1]: r["n_files"] for r in object_counts(self.spark, self.path).where(~F.col("folder").contains("/data/")).collect()}
+        shown = self.manifest_rows().agg(size_text(F.coalesce(F.sum("n_bytes"), F.lit(0))).alias("s")).first()["s"] if self.spec() else ""
         return {
-            "commits": self.history().count(), "tags": tags, "pending": pending, "verified_checks": verified, "reachable_bytes": self.reachable_bytes(),
+            "chunks": shown, "commits": self.history().count(), "tags": tags, "pending": pending, "verified_checks": verified, "reachable_bytes": self.reachable_bytes(),
             "unreachable": gone, "days": self.axis().count(), "files_on_disk": on_disk, "remaining": steps,
         }
 

@@ -201,6 +201,7 @@ def sweep(store: Archive, config: ArchiveConfig, raw: DataFrame, smallest: int =
         none(store.manifest_rows().groupBy("tc", "ty", "tx", "part").count().where("count > 1"), "sweep", "no chunk twice"),
         none(unlike_manifest(store), "sweep", "the manifest is what the chunks hold"),
         none(with_data.join(manifest, ["tc", "ty", "tx"], "left_anti"), "sweep", "chunks with raw data are written"),
+        said(store.spark, "sweep", "note: chunks divide the grid", True, grid.divides(config.ny, config.nx, ny, nx)[1] or "without a rest"),
         check(reread(store, config, raw, place, smallest), "sweep", "the smallest chunks agree", F.col("mask_ok") & F.col("values_ok"), F.col("n_different")),
         none(manifest.join(with_data, ["tc", "ty", "tx"], "left").where(~F.col("n_cells").eqNullSafe(F.col("n_raw"))), "sweep", "chunks hold as many cells as the raw has"),
     ]

@@ -76,6 +76,13 @@ def tile_grid(ny: int, nx: int, edge: int, spark) -> DataFrame:
     return spark.range(-(-ny // edge) * wide).select(F.floor(F.col("id") / wide).cast("int").alias("ty"), (F.col("id") % wide).cast("int").alias("tx"))
 
 
+def divides(ny: int, nx: int, edge_y: int, edge_x: int) -> tuple[bool, str]:
+    """Whether tiles cut the grid without a rest, and which dimension does not."""
+    rest = {"y": (ny, edge_y, ny % edge_y), "x": (nx, edge_x, nx % edge_x)}
+    said = [f"{name} {n} in {edge} leaves {r}" for name, (n, edge, r) in rest.items() if r]
+    return not said, "; ".join(said)
+
+
 def lattice(tiles: DataFrame, parts: int = 6) -> DataFrame:
     """Tiles on a lattice of about ``parts`` steps a side."""
     top = tiles.agg((F.max("ty") + 1).alias("ny"), (F.max("tx") + 1).alias("nx"))

@@ -46,3 +46,14 @@ def canonical(names: DataFrame, key: DataFrame, original: str) -> DataFrame:
     if unknown:
         raise ValueError(f"names that the key does not have: {unknown}")
     return found.select("original", "canonical")
+
+
+def original(names: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """(canonical, original) of canonical names by a key table, the way back of `canonical`; refused, by name, where the
+    table has none or several originals for one."""
+    key = table.select(F.col("canonical_name").alias("canonical"), F.col(column).alias("original"))
+    found = names.select("canonical").distinct().join(key, "canonical", "left").groupBy("canonical").agg(F.collect_set("original").alias("all"))
+    wrong = [f"{r['canonical']}: {sorted(r['all'])}" for r in found.where(F.size("all") != 1).orderBy("canonical").limit(10).collect()]
+    if wrong:
+        raise ValueError(f"names without one original: {wrong}")
+    return found.select("canonical", F.col("all")[0].alias("original"))

@@ -311,6 +311,18 @@ def test_key_tables(spark, tmp_path):
         key.canonical(names.union(spark.createDataFrame([("snow",)], "original string")), table, "original_name")
     with pytest.raises(ValueError):
         key.key_table(spark, str(path), ["nothing"])
+    back = spark.createDataFrame([("precipitation",)], "canonical string")
+    assert [tuple(r) for r in key.original(back, table, "original_name").collect()] == [("precipitation", "rain")]
+    for names, said in ((back.union(spark.createDataFrame([("snowfall",)], "canonical string")), "snowfall"), (back, "precipitation")):
+        with pytest.raises(ValueError, match=said):
+            key.original(names, table.union(spark.createDataFrame([("drizzle", "precipitation")], "a string, b string")), "original_name")
+
+
+def test_sizes_as_text_and_grids_that_divide(spark):
+    from gridloom.functions.naming import size_text
+
+    assert spark.range(1).select(size_text(F.lit(3 << 29))).first()[0] == "1.50 GiB"
+    assert grid.divides(1800, 3600, 20, 20) == (True, "") and grid.divides(1800, 3600, 20, 700) == (False, "x 3600 in 700 leaves 100")
 
 
 def test_golden_tile_counts(spark):

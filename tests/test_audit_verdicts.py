@@ -60,6 +60,15 @@ def test_a_moving_mask_fails(spark, config, tmp_path):
     assert any("footprint" in x for x in failed(audit.audit(archive.build(spark, moving), moving, raw.raw_cells(spark, moving), ["sentinel"])))
 
 
+def test_a_moving_mask_of_the_declared_value_fails(spark, tmp_path):
+    """Days that store 11, 11, 11, 7, 7, 7 cells, for the rest is -9999."""
+    own = record(tmp_path, source_fill_values=())
+    rows = [(FIRST + dt.timedelta(k), i // 4, i % 4, -9999.0 if i < (5 if k < 3 else 9) else 1.0 + i) for k in range(6) for i in range(16)]
+    raw.write_days(spark, own, spark.createDataFrame(rows, "t date, y int, x int, v float"))
+    store = archive.build(spark, own)
+    assert failed(audit.audit(store, own, raw.raw_cells(spark, own), ["sentinel"])) == {"the masked footprint is the same on all days with a file"}
+
+
 def test_another_kind_of_archive_fails(spark, config):
     store, cells = archive.build(spark, config), raw.raw_cells(spark, config)
     for change, word in (
