@@ -119,3 +119,13 @@ def test_clashing_names_and_empty_tables(spark):
     assert pii.pii_stage(spark, docs.limit(0), "").count() == 0
     again = pii.pii_stage(spark, docs.union(docs), "").collect()
     assert len(again) == 2 and again[0] == again[1] == kept  # the cluster's key stays the same
+
+
+def test_no_plan_shows_the_key(spark):
+    docs = spark.createDataFrame([(1, "write to a@b.co", "clash")], "doc_id long, text string, pii_key string")
+    found = pii.pseudonymise(docs, "a key that nobody reads")
+    assert found.columns == ["doc_id", "text", "pii_key", "pii_found", "pii_kinds"] and found.first()["pii_key"] == "clash"
+    assert found.first()["text"] != "write to a@b.co"
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended")
+    shown = found._jdf.queryExecution().explainString(mode) + found._jdf.queryExecution().toString()
+    assert "nobody reads" not in shown
