@@ -102,12 +102,17 @@ def secret(spark: SparkSession, key: str) -> Column:
     return small_table(spark, [(key,)], "pii_key string").scalar()
 
 
-def feistel(left: Column, right: Column, left_size: Column, right_size: Column, tweak: Column, key: Column) -> Column:
+def as_column(key: str | Column) -> Column:
+    """A key as it is given to the functions below: a column, or, where plans may show it, a text."""
+    return key if isinstance(key, Column) else F.lit(key)
+
+
+def feistel(left: Column, right: Column, left_size: Column, right_size: Column, tweak: Column, key: str | Column) -> Column:
     """struct(l, r): a keyed permutation of pairs below (left_size, right_size). Each round adds a hash of one half to
     the other, in turns, so it can be undone round by round whatever the sizes."""
 
     def hashed(i: Column, half: Column, size: Column) -> Column:
-        text = F.concat_ws("|", key, tweak, i.cast("string"), half.cast("string"))
+        text = F.concat_ws("|", as_column(key), tweak, i.cast("string"), half.cast("string"))
         return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long") % size
 
     def one(acc: Column, i: Column) -> Column:
@@ -125,7 +130,7 @@ def with_value(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def permuted_digits(digits: Column, tweak: Column, key: Column) -> Column:
+def permuted_digits(digits: Column, tweak: Column, key: str | Column) -> Column:
     """A digit string as another of its length (2 to 34 digits)."""
     half = (F.length(digits) / 2).cast("int")
     rest = F.length(digits) - half
@@ -175,10 +180,10 @@ def iban_remainder(iban: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
 
 
-def shifted(text: Column, other: Column, forth: str, i: Column, key: Column) -> Column:
+def shifted(text: Column, other: Column, forth: str, i: Column, key: str | Column) -> Column:
     """Each ASCII letter of ``text`` moved on in the alphabet and each digit in 0 to 9, by a keyed hash of ``other``."""
     blocks = F.sequence(F.lit(0), (F.length(text) / 32).cast("int"))
-    hashes = F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", key, F.lit("email"), F.lit(forth), i.cast("string"), b.cast("string"), other), 512)), "")
+    hashes = F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", as_column(key), F.lit("email"), F.lit(forth), i.cast("string"), b.cast("string"), other), 512)), "")
 
     def moved(c: Column, draw: Column) -> Column:
         code = F.ascii(c)
@@ -195,7 +200,7 @@ def shifted(text: Column, other: Column, forth: str, i: Column, key: Column) ->
     return F.when(F.length(text) == 0, text).otherwise(with_value(hashes, all_moved))
 
 
-def email_pseudonym(m: Column, key: Column) -> Column:
+def email_pseudonym(m: Column, key: str | Column) -> Column:
     """Letters and digits before the top-level domain are permuted among the addresses of the same form; case and the
     rest stay, and addresses that only differ in case stay so. Each round moves one half by a hash of the other."""
     top = F.substring_index(m, ".", -1)
@@ -213,7 +218,7 @@ def email_pseudonym(m: Column, key: Column) -> Column:
     return with_value(F.aggregate(rounds, start, one), lambda p: F.concat(p["l"], p["r"], top))
 
 
-def phone_pseudonym(m: Column, key: Column) -> Column:
+def phone_pseudonym(m: Column, key: str | Column) -> Column:
     """Country code and the first digits of area code and exchange stay; the other digits are permuted."""
     d = only_digits(m)
     of_ten = lambda x, head: F.concat(
@@ -228,14 +233,14 @@ def phone_pseudonym(m: Column, key: Column) -> Column:
     return in_format(m, F.when(is_foreign, foreign).when(m.startswith("+1"), F.concat(F.lit("1"), american)).otherwise(american))
 
 
-def card_pseudonym(m: Column, key: Column) -> Column:
+def card_pseudonym(m: Column, key: str | Column) -> Column:
     """The first digit stays, the check digit follows from the others, which are permuted."""
     d = only_digits(m)
     body = F.substr(d, F.lit(2), F.length(d) - 2)
     return in_format(m, with_value(F.concat(F.substr(d, F.lit(1), F.lit(1)), permuted_digits(body, F.substr(d, F.lit(1), F.lit(1)), key)), with_luhn))
 
 
-def ip_pseudonym(m: Column, key: Column) -> Column:
+def ip_pseudonym(m: Column, key: str | Column) -> Column:
     part = lambda i: F.split_part(m, F.lit("."), F.lit(i)).cast("long")
     size = F.lit(65536).cast("long")
     pair = feistel(part(1) * 256 + part(2), part(3) * 256 + part(4), size, size, F.lit("ip"), key)
@@ -243,7 +248,7 @@ def ip_pseudonym(m: Column, key: Column) -> Column:
     return with_value(pair, parts)
 
 
-def ssn_pseudonym(m: Column, key: Column) -> Column:
+def ssn_pseudonym(m: Column, key: str | Column) -> Column:
     """The number's place among the valid ones, permuted."""
     part = lambda i: F.split_part(m, F.lit("-"), F.lit(i)).cast("long")
     area = part(1) - F.when(part(1) > 666, 2).otherwise(1)
@@ -257,7 +262,7 @@ def ssn_pseudonym(m: Column, key: Column) -> Column:
     return with_value(pair, shown)
 
 
-def iban_pseudonym(m: Column, key: Column) -> Column:
+def iban_pseudonym(m: Column, key: str | Column) -> Column:
     """The account's digits are permuted, its letters stay, the check digits follow."""
     plain = F.regexp_replace(m, " ", "")
     land = F.substr(plain, F.lit(1), F.lit(2))
@@ -292,7 +297,7 @@ def date_shown(d: Column, like: Column) -> Column:
     return F.when(year_first(like), parts(year, month, day)).when(day_first, parts(day, month, year)).otherwise(parts(month, day, year))
 
 
-def date_pseudonym(m: Column, key: Column) -> Column:
+def date_pseudonym(m: Column, key: str | Column) -> Column:
     """Another day of the same two centuries."""
     left, right = F.lit(DAYS_LEFT).cast("long"), F.lit(DAYS_RIGHT).cast("long")
     n = F.datediff(date_of(m), F.lit(FIRST_DAY).cast("date")).cast("long")
