@@ -13,7 +13,9 @@ import json
 import os
 import time
 import uuid
+from bisect import bisect_left, bisect_right
 from dataclasses import replace
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +33,14 @@ COMMITS = (
     "y0 int, y1 int, x0 int, x1 int, spec string, batch long"
 )
 MANIFEST = ", ".join(x for x in encoding.PIECES.split(", ") if x.split()[0] not in ("valid", "payload")) + ", file string"
+SMALL = [x.split()[0] for x in MANIFEST.split(", ")[:-1]]
 ADMIN = ("attributes", "tag", "gc", "held")
 BY_LAYOUT = ("chunking", "title", "history", "date_created", "related_store", "layout", "summary", "verification")
 OWN_HISTORY = "built by gridloom"
 #: Cells that a strip of a large chunk has at most, as long as a single row of it has no more.
 PIECE_CELLS = 1 << 20
+#: Raw bytes up to which an appending build writes several commits at a time, and that a task reads of whole raw files.
+WAVE_BYTES, TASK_BYTES = 1 << 28, 1 << 26
 #: Pieces of a box up to which the files that hold them are opened by name.
 NAMED_FILES = 4096
 
@@ -81,13 +86,22 @@ class Archive:
         """Add the row that makes what was written part of the archive. ``days`` and ``box`` (y0, y1, x0, x1) are the
         extent of the folder; ``n_days`` counts those by which the axis grows; ``batch`` is the micro-batch of a stream
         whose days are in it."""
-        tip = self.tip()
         own = own or uuid.uuid4().hex
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (tip["seq"] + 1 if tip else 0, own, tip["id"] if tip else None, message, kind, now, folder, n_days, *(days or (None, None)), *(box or (None,) * 4), json.dumps(spec) if spec else None, batch)
-        self.add("commits", COMMITS, [row])
+        self.commit_all([(own, message, kind, folder, days, box, spec, n_days, batch)])
         return own
 
+    def commit_all(self, wanted: list[tuple]) -> None:
+        """Add the rows of several commits at once, in their order, each (id, message, kind, folder, days, box, spec, n_days,
+        batch) as `commit` has them."""
+        tip = self.tip()
+        seq, parent = (tip["seq"] + 1, tip["id"]) if tip else (0, None)
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = []
+        for own, message, kind, folder, days, box, spec, n_days, batch in wanted:
+            rows.append((seq, own, parent, message, kind, now, folder, n_days, *(days or (None, None)), *(box or (None,) * 4), json.dumps(spec) if spec else None, batch))
+            seq, parent = seq + 1, own
+        self.add("commits", COMMITS, rows)
+
     def tags(self) -> DataFrame:
         return self.small("tags", "name string, id string")
 
@@ -211,10 +225,34 @@ class Archive:
         """The encoded pieces of ``fragments``, and beside them the manifest: a row a piece, read off what was written."""
         where = f"{self.path}/{folder}"
         encoding.gathered(fragments, shape).write.mode("overwrite").option("compression", "none").parquet(where)
-        small = [x.split()[0] for x in MANIFEST.split(", ")[:-1]]
-        rows = self.spark.read.schema(encoding.PIECES).parquet(where).select(*small, F.concat(F.lit(f"{folder}/"), F.col("_metadata.file_name")).alias("file"))
+        rows = self.spark.read.schema(encoding.PIECES).parquet(where).select(*SMALL, F.concat(F.lit(f"{folder}/"), F.col("_metadata.file_name")).alias("file"))
         rows.write.mode("overwrite").parquet(f"{self.path}/manifest/{folder.split('/')[-1]}")
 
+    def write_wave(self, fragments: DataFrame, shape: encoding.Shape, numbers: list[int], size: int) -> list[str]:
+        """`write` for several small commits of ``size`` days in two jobs, whatever their count; a commit is gathered in one
+        task. ``numbers`` counts commits from the first day on. Returns the folders, one a commit, in that order."""
+        wave = uuid.uuid4().hex
+        number = lambda tc: F.floor(tc * shape.days / size)
+        own = F.concat(F.lit(f"{wave}-"), number(F.col("tc")).cast("string")).alias("own")
+        tc = F.floor(F.col("key") / (shape.tall * shape.wide * shape.parts))
+        encoding.gathered(fragments, shape, by=number(tc)).select("*", own).write.option("compression", "none").options(**raw.BY_TASKS).partitionBy("own").parquet(f"{self.path}/data/{wave}")
+        there = self.spark.read.schema(f"{encoding.PIECES}, own string").parquet(f"{self.path}/data/{wave}")
+        rows = there.select(*SMALL, F.concat(F.lit("data/"), "own", F.lit("/"), F.col("_metadata.file_name")).alias("file"), "own")
+        rows.repartition("own").write.options(**raw.BY_TASKS).partitionBy("own").parquet(f"{self.path}/manifest/{wave}")
+
+        def move(name: str) -> None:
+            for kind in ("data", "manifest"):
+                written, final = self.hadoop(f"{kind}/{wave}/own={name}"), self.hadoop(f"{kind}/{name}")
+                if not (self.files.rename(written, final) if self.files.exists(written) else self.files.mkdirs(final)):  # none: all fill
+                    raise OSError(f"could not move {written.toString()}")
+
+        names = [f"{wave}-{i}" for i in numbers]
+        with ThreadPool(8) as pool:
+            pool.map(move, names)
+        for kind in ("data", "manifest"):
+            self.files.delete(self.hadoop(f"{kind}/{wave}"), True)
+        return [f"data/{name}" for name in names]
+
     # Tags, clean-up, state
 
     def tag(self, name: str) -> None:
@@ -282,9 +320,9 @@ def strip_of(chunk: tuple[int, int, int]) -> int:
 
 def begin(spark: SparkSession, config: ArchiveConfig) -> tuple[Archive, DataFrame, axis.Bounds, dict]:
     """Gate the axis by the files' names, then open or create the archive; a stored one must be of the same kind and its
-    axis that of the build so far. Returns the files by day."""
-    listed = raw.raw_files(spark, config).collect()  # a name a day
-    files = small_table(spark, listed, "t date, path string")
+    axis that of the build so far. Returns the files as listed, by day."""
+    listed = raw.listing(spark, config)
+    files = small_table(spark, [(r["t"], r["path"]) for r in listed], "t date, path string")
     declared = small_table(spark, [(dt.date.fromisoformat(x[:10]),) for x in config.expected_missing_times], "t date")
     axis.check_coverage(files, declared)
     days = axis.complete_axis(files)
@@ -299,7 +337,7 @@ def begin(spark: SparkSession, config: ArchiveConfig) -> tuple[Archive, DataFram
     other = {k: (there[k], wanted[k]) for k in there if there[k] != wanted.get(k) and k != "strip"}  # that of a stored one stays
     if other:
         raise ValueError("the archive is of another kind: " + "; ".join(f"{k} {a}, not {b}" for k, (a, b) in other.items()))
-    return store, days, whole, {r["t"]: r["path"] for r in listed}
+    return store, days, whole, {r["t"]: r for r in listed}
 
 
 def cells_of(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> DataFrame:
@@ -309,11 +347,13 @@ def cells_of(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> Da
     return raw.raw_cells(spark, config, paths).withColumn("v", mask_fill(F.col("v"), fill_values(config.source_fill_values)))
 
 
-def fragments(spark: SparkSession, config: ArchiveConfig, paths: list[str], shape: encoding.Shape) -> DataFrame:
-    """The cells of some files as they are stored, dealt to pieces."""
+def fragments(spark: SparkSession, config: ArchiveConfig, files: list, shape: encoding.Shape) -> DataFrame:
+    """The cells of some files as they are stored, dealt to pieces. Small files share a task."""
+    paths = [r["path"] for r in files]
     if not paths or config.raw_format != "parquet":
         return encoding.scattered(cells_of(spark, config, paths), shape)
-    return encoding.scattered_files(raw.raw_contents(spark, config, paths), config.variable, fill_values(config.source_fill_values), shape)
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-sum(r["n_bytes"] for r in files) // TASK_BYTES))
+    return encoding.scattered_files(raw.raw_contents(spark, config, paths).coalesce(tasks), config.variable, fill_values(config.source_fill_values), shape)
 
 
 def pending_attributes(store: Archive, values: dict) -> DataFrame:
@@ -342,37 +382,60 @@ def derived_attributes(store: Archive, config: ArchiveConfig) -> dict:
 def build(spark: SparkSession, config: ArchiveConfig, stop_after: int | None = None) -> Archive:
     """Build or go on building an archive from its raw files. ``stop_after`` ends after so many commits, as an
     interruption would."""
-    store, days, whole, paths = begin(spark, config)
+    store, days, whole, files = begin(spark, config)
     if config.raw_format == "netcdf":  # what the source says of itself is read off it; the config's words win
-        own, encoded = raw.source_attributes(spark, config, paths[whole.first])
+        own, encoded = raw.source_attributes(spark, config, files[whole.first]["path"])
         config = replace(config, source_attrs=own | dict(config.source_attrs), source_encoding=encoded | dict(config.source_encoding), original_units=config.original_units or str(encoded.get("units", "")))
     write = build_append if config.write_strategy == "append" else build_region
-    write(store, config, paths, days, whole, encoding.Shape.of(store.spec() or spec_of(config, whole)), stop_after)
+    write(store, config, files, days, whole, encoding.Shape.of(store.spec() or spec_of(config, whole)), stop_after)
     masked = {"source_fill_values_masked": list(config.source_fill_values)} if config.source_fill_values else {}
     # Later ones win: the source, what axis, grid and key say, the masks, the config.
     write_attributes(store, dict(config.source_attrs) | derived_attributes(store, config) | masked | {"layout": config.suffix} | config.attributes | config.attributes_of_variable)
     return store
 
 
-def build_append(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, shape: encoding.Shape, stop_after: int | None) -> None:
-    """One commit a batch of whole chunks of days, from the batch's files alone. A store that ends within a batch cannot go on."""
+def build_append(store: Archive, config: ArchiveConfig, files: dict, days: DataFrame, whole: axis.Bounds, shape: encoding.Shape, stop_after: int | None) -> None:
+    """One commit a batch of whole chunks of days, from the batch's files alone. Small batches are written in waves of as many
+    as were committed before, so jobs grow with the logarithm of the commits and an interruption costs no more than
+    what is there. A store that ends within a batch cannot go on."""
     axis.check_prefix(store.axis(), days)
     size, done = config.commit_days(), store.axis().count()
     if done and done < whole.days and done % size:
         raise ValueError(f"the store holds {done} days, which is no whole number of commits of {size}")
     planned = blocks.batches(days, config.timesteps_per_commit, max(1, config.chunks["time"])).where(F.col("start") >= done).orderBy("start")
-    for i, b in enumerate(planned.collect()):  # one row a commit
-        if i == stop_after:
-            return
-        folder = f"data/{uuid.uuid4().hex}"
-        store.write(fragments(store.spark, config, [p for t, p in paths.items() if b["first_day"] <= t <= b["last_day"]], shape), shape, folder)
-        store.commit(
-            f"write timesteps {b['start']}-{b['stop']}", "build", folder, (b["first_day"], b["last_day"]), (0, config.ny, 0, config.nx),
-            None if done or i else spec_of(config, whole), n_days=b["n_days"],
-        )
-
-
-def build_region(store: Archive, config: ArchiveConfig, paths: dict, days: DataFrame, whole: axis.Bounds, shape: encoding.Shape, stop_after: int | None) -> None:
+    left = planned.collect()[:stop_after]  # one row a commit
+    by_time = sorted(files)
+    own = [[files[t] for t in by_time[bisect_left(by_time, b["first_day"]):bisect_right(by_time, b["last_day"])]] for b in left]
+    i = 0
+    while i < len(left):
+        j = wave_end([sum(r["n_bytes"] for r in x) for x in own], i, i + done // size)
+        cells = fragments(store.spark, config, [r for x in own[i:j] for r in x], shape)
+        told = [
+            (f"write timesteps {b['start']}-{b['stop']}", (b["first_day"], b["last_day"]), (0, config.ny, 0, config.nx), None if done or i + k else spec_of(config, whole), b["n_days"])
+            for k, b in enumerate(left[i:j])
+        ]
+        if j == i + 1:
+            folder = f"data/{uuid.uuid4().hex}"
+            store.write(cells, shape, folder)
+            [(message, extent, box, spec, n)] = told
+            store.commit(message, "build", folder, extent, box, spec, n_days=n)
+        else:
+            folders = store.write_wave(cells, shape, [b["batch"] for b in left[i:j]], size)
+            store.commit_all([(uuid.uuid4().hex, message, "build", folder, extent, box, spec, n, None) for folder, (message, extent, box, spec, n) in zip(folders, told, strict=True)])
+        i = j
+
+
+def wave_end(sizes: list[int], i: int, there: int) -> int:
+    """The end of the wave from batch ``i`` on with ``there`` commits made: one batch at least, at most as many as those and
+    WAVE_BYTES of raw bytes."""
+    j, held = i + 1, sizes[i]
+    while j < len(sizes) and j - i < there and held + sizes[j] <= WAVE_BYTES:
+        held += sizes[j]
+        j += 1
+    return j
+
+
+def build_region(store: Archive, config: ArchiveConfig, files: dict, days: DataFrame, whole: axis.Bounds, shape: encoding.Shape, stop_after: int | None) -> None:
     """A skeleton commit with axis and kind, then one commit a block of the grid over the whole record.
 
     The raw files are read once, however many blocks there are: `staged` deals their cells to all blocks that remain as
@@ -395,7 +458,7 @@ def build_region(store: Archive, config: ArchiveConfig, paths: dict, days: DataF
     left = blocks.remaining(planned, messages).select("*", message).orderBy("y0", "x0").collect()
     if not left or stop_after == 0:
         return
-    folder = staged(store, config, paths, shape, (by, bx))
+    folder = staged(store, config, files, shape, (by, bx))
     for i, b in enumerate(left):
         if i == stop_after:
             return
@@ -410,16 +473,15 @@ def block_number(config: ArchiveConfig, block: tuple[int, int], y0, x0):
     return y0 // block[0] * -(-config.nx // block[1]) + x0 // block[1]
 
 
-def staged(store: Archive, config: ArchiveConfig, paths: dict, shape: encoding.Shape, block: tuple[int, int]) -> str:
+def staged(store: Archive, config: ArchiveConfig, files: dict, shape: encoding.Shape, block: tuple[int, int]) -> str:
     """The folder of fragments of all raw cells by block. Its name says which files, of which size and time, and which
     shape they are of; one that was written whole is used again, others are replaced."""
-    at = lambda p: store.files.getFileStatus(store.spark._jvm.org.apache.hadoop.fs.Path(p))
-    seen = [(p, s.getLen(), s.getModificationTime()) for p in sorted(paths.values()) for s in [at(p)]]
+    seen = sorted((r["path"], r["n_bytes"], r["modified"]) for r in files.values())
     said = json.dumps([seen, str(shape), block, config.variable, config.source_fill_values])
     name = f"staging/{hashlib.sha256(said.encode()).hexdigest()}"
     if not store.has(f"{name}/_SUCCESS"):
         store.files.delete(store.hadoop("staging"), True)
-        dealt = fragments(store.spark, config, list(paths.values()), shape)
+        dealt = fragments(store.spark, config, list(files.values()), shape)
         piece = F.floor(F.col("key") / shape.parts)
         ty, tx = F.floor(piece / shape.wide) % shape.tall, piece % shape.wide
         number = F.floor(ty * shape.ny / block[0]) * -(-config.nx // block[1]) + F.floor(tx * shape.nx / block[1])

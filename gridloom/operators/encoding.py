@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 #: A piece: a strip of rows of a chunk (tc, ty, tx); what it holds, its stored size, digests; then its bytes.
 PIECES = (
@@ -258,9 +258,10 @@ def row_of(shape: Shape, key: int, places: np.ndarray, values: np.ndarray) -> di
     return {"tc": tc, "ty": ty, "tx": tx, "part": part, "n_cells": len(values), "n_bytes": len(valid) + len(payload), **summed(shape, key, places, values), "valid": valid, "payload": payload}
 
 
-def gathered(fragments: DataFrame, shape: Shape, parts: int | None = None) -> DataFrame:
+def gathered(fragments: DataFrame, shape: Shape, parts: int | None = None, by: Column | str = "key") -> DataFrame:
     """The encoded pieces of fragments. Fragments of a piece meet in one task, in order of pieces, and are put together a
-    piece at a time; a piece is bounded by the shape. A cell that stands twice is refused."""
+    piece at a time; a piece is bounded by the shape. ``by`` may deal more than a piece to a task. A cell that stands twice
+    is refused."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -285,7 +286,7 @@ def gathered(fragments: DataFrame, shape: Shape, parts: int | None = None) -> Da
         if held:
             yield out()
 
-    dealt = fragments.repartition(parts, "key") if parts else fragments.repartition("key")
+    dealt = fragments.repartition(parts, by) if parts else fragments.repartition(by)
     return dealt.sortWithinPartitions("key").mapInArrow(run, PIECES)
 
 

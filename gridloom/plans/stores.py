@@ -6,6 +6,7 @@ import datetime as dt
 import tempfile
 import uuid
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +45,22 @@ first_day AS (SELECT min(t) AS d0, max(t) AS d1 FROM event_cube)"""
 
 @dataclass
 class Stores:
-    """One record in both layouts, each build interrupted after its first commit and gone on with, and a third archive
-    whose last day differs in one row."""
+    """One record in both layouts, each build interrupted after its first commit and gone on with, and, for who asks for it,
+    a third archive whose last day differs in one row."""
 
     maps: archive.Archive
     series: archive.Archive
-    changed: archive.Archive
     config: ArchiveConfig
     series_config: ArchiveConfig
+    last: dt.date
+
+    @cached_property
+    def changed(self) -> archive.Archive:
+        """Built of the raw files of the other two, so the events are not read again."""
+        spark, other = self.maps.spark, replace(self.series_config, download=f"{self.config.download}/changed")
+        differs = (F.col("t") == F.lit(self.last)) & (F.col("y") == CHANGED_ROW)
+        raw.write_days(spark, other, raw.raw_cells(spark, self.config).withColumn("v", F.when(differs, F.col("v") + 1).otherwise(F.col("v")).cast("float")))
+        return archive.build(spark, other)
 
 
 _BUILT: dict[tuple[str, str], Stores] = {}
@@ -76,10 +85,7 @@ def build(spark: SparkSession, sf_dir: str) -> Stores:
     for config in (maps, series):
         archive.build(spark, config, stop_after=1)
         built.append(archive.build(spark, config))
-    other = replace(series, download=f"{root}/changed")
-    last = F.lit(days[-1])
-    raw.write_days(spark, other, cube.withColumn("v", F.when((F.col("t") == last) & (F.col("y") == CHANGED_ROW), F.col("v") + 1).otherwise(F.col("v")).cast("float")))
-    return Stores(*built, archive.build(spark, other), maps, series)
+    return Stores(*built, maps, series, days[-1])
 
 
 def gaps(days: list[dt.date]) -> list[str]:

@@ -4,29 +4,42 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FORMATS, ArchiveConfig
 from ..functions.cells import NAN
 from ..functions.naming import day_of_checked_stamp, day_of_stamp, stamp_of
+from ..functions.tables import small_table
 from ..operators.axis import complete_axis
 
+#: For a folder that is read only once its job has ended: tasks move their own files, not the driver one by one.
+BY_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
-def raw_files(spark: SparkSession, config: ArchiveConfig) -> DataFrame:
-    """(t, path), by time. If there are year folders, only their files count; a name that is no stamp is passed over,
-    one whose stamp is no date is refused."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FORMATS[config.raw_format]).load(config.raw_dir).select("path")
+
+def listing(spark: SparkSession, config: ArchiveConfig) -> list[Row]:
+    """(t, path, n_bytes, modified), by time, a name a day, of one listing. If there are year folders, only their files count;
+    a name that is no stamp is passed over, one whose stamp is no date is refused."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FORMATS[config.raw_format]).load(config.raw_dir)
+    listed = found.select("path", F.col("length").alias("n_bytes"), F.unix_millis("modificationTime").alias("modified"))
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.element_at(F.split("path", "/"), -2)
-    named = listed.select("path", F.regexp_extract(name, config.file_pattern, 1).alias("stamp"), folder.rlike(r"^\d{4}$").alias("in_year")).where("stamp <> ''")
-    any_year = named.agg(F.coalesce(F.bool_or("in_year"), F.lit(False)).alias("any_year"))
-    files = named.join(F.broadcast(any_year)).where("in_year or not any_year").select(day_of_stamp(F.col("stamp")).alias("t"), "path")  # one row
-    wrong = [r["path"] for r in files.where("t is null").limit(3).collect()]
+    named = listed.select("*", F.regexp_extract(name, config.file_pattern, 1).alias("stamp"), folder.rlike(r"^\d{4}$").alias("in_year")).where("stamp <> ''")
+    dated = named.select(day_of_stamp(F.col("stamp")).alias("t"), "path", "n_bytes", "modified", "in_year")
+    rows = dated.coalesce(2 * spark.sparkContext.defaultParallelism).collect()
+    any_year = any(r["in_year"] for r in rows)
+    files = [r for r in rows if r["in_year"] or not any_year]
+    wrong = [r["path"] for r in files if r["t"] is None]
     if wrong:
-        raise ValueError(f"names that are no date: {wrong}")
-    return files.orderBy("t")
+        raise ValueError(f"names that are no date: {wrong[:3]}")
+    return sorted(files, key=lambda r: (r["t"], r["path"]))
+
+
+def raw_files(spark: SparkSession, config: ArchiveConfig) -> DataFrame:
+    """(t, path) of `listing`."""
+    return small_table(spark, [(r["t"], r["path"]) for r in listing(spark, config)], "t date, path string")
 
 
 def raw_index(files: DataFrame) -> DataFrame:
@@ -39,7 +52,7 @@ def raw_cells(spark: SparkSession, config: ArchiveConfig, paths: list[str] | Non
     published. Only the files named are opened; their names must be such as `raw_files` lists. Of a half-open box only
     its slabs or row groups are read."""
     if paths is None:
-        paths = [r["path"] for r in raw_files(spark, config).collect()]  # a name a day
+        paths = [r["path"] for r in listing(spark, config)]
     if config.raw_format == "netcdf":
         from .netcdf import NetcdfSource
 
@@ -71,8 +84,10 @@ def source_attributes(spark: SparkSession, config: ArchiveConfig, path: str) ->
 
 def raw_contents(spark: SparkSession, config: ArchiveConfig, paths: list[str]) -> DataFrame:
     """(stamp, content) of raw Parquet files, a file a row: what reads them decodes them to arrays. A day is a file, so
-    a row is as large as a day's plane."""
-    files = spark.read.format("binaryFile").load(paths)
+    a row is as large as a day's plane. Their folders are listed, not each file looked up; a day has one file, so its name
+    alone tells it."""
+    folders, names = zip(*(p.rsplit("/", 1) for p in paths), strict=True)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "{" + ",".join(sorted(names)) + "}").load(sorted(set(folders)))
     return files.select(F.regexp_extract("path", r"([0-9]{7})\.parquet$", 1).alias("stamp"), "content")
 
 
@@ -82,18 +97,23 @@ def write_days(spark: SparkSession, config: ArchiveConfig, cells: DataFrame) ->
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(f"{config.raw_dir}/_new")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    again = files.exists(hadoop.Path(config.raw_dir))
     named = cells.select(stamp_of(F.col("t")).alias("stamp"), "y", "x", F.col("v").cast("float").alias(config.variable))
-    named.repartition("stamp").sortWithinPartitions("stamp", "y", "x").write.mode("overwrite").partitionBy("stamp").parquet(folder.toString())
-    days = []
-    for part in files.listStatus(folder):
-        if part.isDirectory():
-            stamp = part.getPath().getName().split("=")[1]
-            for one in files.listStatus(part.getPath()):
-                if one.getPath().getName().endswith(".parquet"):
-                    own = hadoop.Path(f"{config.raw_dir}/{stamp}.parquet")
+    named.repartition("stamp").sortWithinPartitions("stamp", "y", "x").write.mode("overwrite").options(**BY_TASKS).partitionBy("stamp").parquet(folder.toString())
+
+    def move(stamp: str) -> dt.date:
+        own = hadoop.Path(f"{config.raw_dir}/{stamp}.parquet")
+        for one in files.listStatus(hadoop.Path(f"{folder.toString()}/stamp={stamp}")):
+            if one.getPath().getName().endswith(".parquet"):
+                if again:
                     files.delete(own, False)
-                    files.rename(one.getPath(), own)
-            days.append(dt.datetime.strptime(stamp, "%Y%j").date())
+                if not files.rename(one.getPath(), own):
+                    raise OSError(f"could not move {own.toString()}")
+        return dt.datetime.strptime(stamp, "%Y%j").date()
+
+    names = [part.getPath().getName() for part in files.listStatus(folder)]
+    with ThreadPool(8) as pool:
+        days = pool.map(move, [name.split("=")[1] for name in names if name.startswith("stamp=")])
     files.delete(folder, True)
     return sorted(days)
 

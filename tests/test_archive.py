@@ -356,3 +356,59 @@ def test_chunks_larger_than_a_piece_are_dealt_in_strips(spark, spatial, tmp_path
     rows = parts.manifest_rows()
     assert rows.where("y1 - y0 > 1").isEmpty() and rows.count() == parts.read().select("t", "y").distinct().count()
     assert parts.manifest().drop("n_bytes").exceptAll(whole.manifest().drop("n_bytes")).isEmpty()
+
+
+@pytest.mark.parametrize("crash", [None, "write_wave", "commit_all"])
+def test_small_commits_are_written_in_waves(spark, spatial, cells, monkeypatch, crash):
+    """Ten commits of a day, one without a file: two written alone, then waves of two, four and two. A crash in a wave costs
+    that wave, and every commit is a state of its own."""
+    config = replace(spatial, filename="{suffix}/waves" + str(crash) + ".{version}", timesteps_per_commit=1)
+    if crash:
+        whole, calls = getattr(archive.Archive, crash), []
+
+        def fails(self, *args):
+            calls.append(args)
+            if crash == "write_wave":
+                whole(self, *args)  # data is there, the commits are not
+            if len(args[0]) > 1 if crash == "commit_all" else len(calls) == 2:
+                raise RuntimeError("lost")
+            return whole(self, *args)
+
+        monkeypatch.setattr(archive.Archive, crash, fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            archive.build(spark, config)
+        monkeypatch.undo()
+    add, added = archive.Archive.add, []
+    monkeypatch.setattr(archive.Archive, "add", lambda self, name, schema, rows: (added.append((name, len(rows))), add(self, name, schema, rows))[1])
+    store = archive.build(spark, config)
+    assert [n for name, n in added if name == "commits"] == {None: [1, 1, 2, 4, 2, 1], "write_wave": [4, 2, 1], "commit_all": [2, 4, 2, 1]}[crash]
+    history = store.history().where("kind = 'build'").orderBy("seq").collect()
+    assert [(r["message"], r["first_day"], r["n_days"]) for r in history] == [(f"write timesteps {k}-{k + 1}", FIRST + dt.timedelta(k), 1) for k in range(DAYS)]
+    parents = [r["parent"] for r in history]
+    assert parents == [None, *[r["id"] for r in history[:-1]]] and len({r["folder"] for r in history}) == DAYS
+    assert {(r["t"], r["y"], r["x"], r["v"]) for r in store.read().collect()} == expected()
+    for k in (3, 6):  # within a wave
+        assert {r["t"] for r in store.read(history[k]["id"]).select("t").collect()} == {FIRST + dt.timedelta(i) for i in range(k + 1)} - {HOLE}
+    found = audit.audit(store, config, cells, ["structure", "index", "sweep"]).collect()
+    assert all(r["ok"] for r in found), [r for r in found if not r["ok"]]
+    assert store.collect_garbage(apply=True, older_than_hours=0) is not None and store.unreachable() == []
+    assert store.read().count() == len(expected())
+
+
+def test_a_wave_is_bounded_by_bytes_and_by_what_is_there(monkeypatch):
+    monkeypatch.setattr(archive, "WAVE_BYTES", 10)
+    assert [archive.wave_end([3, 3, 3, 3, 3], i, there) for i, there in ((0, 0), (1, 1), (0, 2), (0, 9), (4, 9))] == [1, 2, 2, 3, 5]
+    assert archive.wave_end([11, 1], 0, 9) == 1
+
+
+def test_raw_files_are_listed_by_one_job(spark, spatial):
+    spark.sparkContext.setJobGroup("listed", "")
+    files = raw.raw_files(spark, spatial).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("listed")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(files) == DAYS - 1 and len(jobs) <= 2
+
+
+def test_contents_are_those_of_the_files_named(spark, spatial):
+    files = [r["path"] for r in raw.raw_files(spark, spatial).collect()]
+    assert sorted(r["stamp"] for r in raw.raw_contents(spark, spatial, files[2:5]).select("stamp").collect()) == sorted(p[-15:-8] for p in files[2:5])
